@@ -26,21 +26,18 @@ def hash_text(c: Column) -> Column:
 
 def number_text(c: Column) -> Column:
     """Text of a floating number: shortest digits, positional from 1e-4 to 1e16."""
-    value = F.when(~F.isnan(c), c.cast("double"))
-    text = value.cast("string")
-    size = F.abs(value)
+    text = F.nullif(c.cast("string"), F.lit("NaN"))
+    exponent = F.substring_index(text, "E", -1).try_cast("int")
     digits = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
     positional = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
-    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(text, "E", -1).try_cast("int")
     scientific = F.concat(
-        mantissa,
+        F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", ""),
         F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
         F.lpad(F.abs(exponent).cast("string"), 2, "0"),
     )
     return (
         F.when(~text.contains("E"), text)
-        .when(size.between(1e-4, 9999999999999998.0), positional)
+        .when(exponent.between(-4, 15), positional)
         .otherwise(scientific)
     )
 
@@ -52,9 +49,7 @@ def record_hash(*columns: Column) -> Column:
     """
     parts = [
         F.coalesce(
-            F.when(
-                F.typeof(c).isin("double", "float"), number_text(c.try_cast("double"))
-            ).otherwise(c.cast("string")),
+            F.when(F.typeof(c).isin("double", "float"), number_text(c)).otherwise(c.cast("string")),
             F.lit(""),
         )
         for c in columns

@@ -63,8 +63,8 @@ def parse_iso(c: Column) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Seconds from `start` to `end`, three decimals."""
-    return F.round((F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e6), 3)
+    """Seconds from `start` to `end`, three decimals, halves to the even one."""
+    return F.rint((F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e3)) / F.lit(1e3)
 
 
 def iso_text(c: Column) -> Column:

@@ -36,7 +36,7 @@ def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path).select("value")
+    return reader.load(path).select("value").where(F.trim("value") != "")
 
 
 def topic_records(events: DataFrame, key: str = "event_id") -> DataFrame:
