@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 DATE = r"(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-?W\d{2}(?:-?[1-7])?)"
 TIME = r"(\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d+)?)?)?)"
 OFFSET = r"([+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)"
+USUAL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 ISO = rf"^{DATE}(?:.{TIME}{OFFSET}?)?$"
 
 
@@ -23,12 +24,8 @@ def _week_date(text: Column) -> Column:
     return F.when((F.extract(F.lit("WEEK"), found) == week) & (week > 0), found.cast("string"))
 
 
-def parse_iso(c: Column) -> Column:
-    """Timestamp of an ISO-8601 text, null where it is none.
-
-    A trailing Z is the zero offset; a time without offset counts as UTC.
-    """
-    text = F.replace(c, F.lit("Z"), F.lit("+00:00"))
+def _rarer_form(text: Column) -> Column:
+    """Basic and week dates, short times, other separators, long fractions."""
     date, time, offset = (F.regexp_extract(text, ISO, i) for i in (1, 2, 3))
     day = (
         F.when(date.contains("W"), _week_date(date))
@@ -41,7 +38,7 @@ def parse_iso(c: Column) -> Column:
         F.substring(digits, 1, 2),
         *[F.when(F.length(digits) >= n, F.substring(digits, n - 1, 2)).otherwise("00") for n in (4, 6)],
     )
-    # Spark keeps six decimals, like the microseconds of the text's reader.
+    # Spark keeps six decimals.
     fraction = F.regexp_extract(time, r"[.,](\d{1,6})", 1)
     zone_digits = F.regexp_replace(offset, r"[:]", "")
     zone = F.when(
@@ -62,6 +59,19 @@ def parse_iso(c: Column) -> Column:
     return F.when(text.rlike(ISO), full.try_cast("timestamp"))
 
 
+def parse_iso(c: Column) -> Column:
+    """Timestamp of an ISO-8601 text, null where it is none.
+
+    A trailing Z is the zero offset; a time without offset counts as UTC. Spark
+    reads the usual form by itself. The rarer ones go through a lambda, which
+    keeps their long expression out of the generated code of every row.
+    """
+    text = F.replace(c, F.lit("Z"), F.lit("+00:00"))
+    return F.when(c.rlike(USUAL), c.try_cast("timestamp")).otherwise(
+        F.transform(F.array(text), _rarer_form)[0]
+    )
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Seconds from `start` to `end`, three decimals, halves to the even one."""
     return F.rint((F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e3)) / F.lit(1e3)

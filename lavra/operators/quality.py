@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from lavra.functions.text import hash_text
 from lavra.operators.keys import ROW_ID
 from lavra.operators.uniqueness import flag_repeats
 
+FAILS = "_fails"
 FAILED = "_failed_rules"
 
 
@@ -80,11 +82,10 @@ def standardize(df: DataFrame, standardizers: Mapping[str, Callable[[Column], Co
 
 
 def check_rows(df: DataFrame, spec: QualitySpec) -> DataFrame:
-    """Standardised rows with the names of the row rules they fail."""
+    """Standardised rows with one boolean per row rule in `_fails`."""
     require_columns(df, spec)
-    names = [F.when(~holds(r.predicate), F.lit(r.name)) for r in spec.rules]
-    failed = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
-    checked = standardize(df, spec.standardizers).withColumn(FAILED, failed)
+    fails = [(~holds(r.predicate)).alias(f"r{i}") for i, r in enumerate(spec.rules)]
+    checked = standardize(df, spec.standardizers).withColumn(FAILS, F.struct(F.lit(False).alias("none"), *fails))
     return standardize(checked, {c: hash_text for c in spec.pseudonymise})
 
 
@@ -93,26 +94,61 @@ def check_keys(checked: DataFrame, spec: QualitySpec, firsts: DataFrame | None =
     keys = spec.present_keys(checked)
     if not keys:
         return checked
-    name = spec.all_rules(checked)[-1][0]
     flagged = flag_repeats(checked, keys, spec.order_by, firsts=firsts)
-    return flagged.withColumn(
-        FAILED, F.when(F.col("_repeat"), F.array_append(FAILED, F.lit(name))).otherwise(F.col(FAILED))
-    ).drop("_repeat")
+    return flagged.withColumn(FAILS, F.col(FAILS).withField(f"r{len(spec.rules)}", F.col("_repeat"))).drop("_repeat")
 
 
-def split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows, and invalid rows with their reasons."""
-    fine = F.size(FAILED) == 0
-    return tagged.where(fine).drop(FAILED, ROW_ID), tagged.where(~fine).drop(ROW_ID)
+def _failing(i: int) -> Column:
+    return F.col(f"{FAILS}.r{i}")
 
 
-def rule_counts(tagged: DataFrame) -> DataFrame:
+def any_failure(rules: Sequence[tuple]) -> Column:
+    """Whether a checked row fails a rule: plain booleans, no array per row."""
+    return reduce(Column.__or__, [_failing(i) for i in range(len(rules))], F.lit(False))
+
+
+def failed_names(rules: Sequence[tuple]) -> Column:
+    """Names of the rules that a checked row fails, in rule order."""
+    return F.array_compact(
+        F.array(F.lit(None).cast("string"), *[F.when(_failing(i), F.lit(r[0])) for i, r in enumerate(rules)])
+    )
+
+
+def split(checked: DataFrame, spec: QualitySpec) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, and invalid rows with the names of the rules they fail."""
+    rules = spec.all_rules(checked)
+    bad = any_failure(rules)
+    valid = checked.where(~bad).drop(FAILS, ROW_ID)
+    invalid = checked.where(bad).withColumn(FAILED, failed_names(rules)).drop(FAILS, ROW_ID)
+    return valid, invalid
+
+
+def rule_counts(invalid: DataFrame) -> DataFrame:
     """Failed rows per rule, for the rules that failed at all."""
-    return tagged.select(F.explode(FAILED).alias("rule")).groupBy("rule").agg(
+    return invalid.select(F.explode(FAILED).alias("rule")).groupBy("rule").agg(
         F.count("*").alias("failed_count")
     )
 
 
+def count_failures(checked: DataFrame, spec: QualitySpec) -> DataFrame:
+    """One row: rows read, valid rows, and rows that fail each rule."""
+    rules = spec.all_rules(checked)
+    return checked.agg(
+        F.count("*").alias("total_read"),
+        F.count_if(~any_failure(rules)).alias("valid_count"),
+        *[F.count_if(_failing(i)).alias(f"c{i}") for i in range(len(rules))],
+    )
+
+
+def count_written(invalid: DataFrame, rules: Sequence[tuple], total: int, valid: int) -> DataFrame:
+    """The same row from the invalid rows alone: a valid row fails no rule."""
+    return invalid.agg(
+        F.lit(total).cast("bigint").alias("total_read"),
+        F.lit(valid).cast("bigint").alias("valid_count"),
+        *[F.count_if(F.array_contains(FAILED, r[0])).alias(f"c{i}") for i, r in enumerate(rules)],
+    )
+
+
 def _message(rule: str, column: str | None) -> str:
     """The two message texts of a report."""
     if rule.startswith("unique."):
@@ -121,40 +157,26 @@ def _message(rule: str, column: str | None) -> str:
 
 
 def report(
-    tagged: DataFrame,
-    spec: QualitySpec,
+    counts: DataFrame,
+    entity: str,
+    rules: Sequence[tuple[str, str | None, str]],
     run_id: str = "",
     started_at: str = "",
     finished_at: str = "",
     duration_seconds: float = 0.0,
     layer: str = "silver",
-    pipeline: str | None = None,
     silver_path: str | None = None,
     quarantine_path: str | None = None,
-    rules: Sequence[tuple[str, str | None, str]] | None = None,
-    totals: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """One row: totals, count per rule and status, in a single aggregation.
-
-    Where the totals (read, valid) and the `rules` are known already, `tagged`
-    need hold only the invalid rows.
-    """
-    rules = spec.all_rules(tagged) if rules is None else rules
-    read = F.count("*") if totals is None else F.lit(totals[0]).cast("bigint")
-    valid = F.count_if(F.size(FAILED) == 0) if totals is None else F.lit(totals[1]).cast("bigint")
-    counts = tagged.agg(
-        read.alias("total_read"),
-        valid.alias("valid_count"),
-        *[F.count_if(F.array_contains(FAILED, name)).alias(f"_c{i}") for i, (name, _, _) in enumerate(rules)],
-    )
+    """One row: totals, count per rule and status, made from the counts."""
     results = F.array(
         *[
             F.struct(
                 F.lit(name).alias("rule"),
                 F.lit(column).cast("string").alias("column"),
                 F.lit(severity).alias("severity"),
-                F.col(f"_c{i}").alias("failed_count"),
-                F.concat(F.col(f"_c{i}").cast("string"), F.lit(_message(name, column))).alias("message"),
+                F.col(f"c{i}").alias("failed_count"),
+                F.concat(F.col(f"c{i}").cast("string"), F.lit(_message(name, column))).alias("message"),
             )
             for i, (name, column, severity) in enumerate(rules)
         ]
@@ -172,8 +194,8 @@ def report(
     )
     return counts.select(
         F.lit(run_id).alias("quality_run_id"),
-        F.lit(pipeline or f"{layer}_{spec.entity}").alias("pipeline"),
-        F.lit(spec.entity).alias("entity"),
+        F.lit(f"{layer}_{entity}").alias("pipeline"),
+        F.lit(entity).alias("entity"),
         F.lit(layer).alias("layer"),
         report_status(invalid).alias("status"),
         F.lit(started_at).alias("started_at"),
@@ -198,6 +220,9 @@ def report_status(invalid: Column, error: Column | None = None) -> Column:
 
 def run_quality(df: DataFrame, spec: QualitySpec, run_id: str = "", layer: str = "silver") -> QualityResult:
     """Check `df` against `spec`; raises when a required column is missing."""
-    tagged = check_keys(check_rows(df, spec), spec)
-    valid, invalid = split(tagged)
-    return QualityResult(tagged, valid, invalid, report(tagged, spec, run_id, layer=layer))
+    checked = check_keys(check_rows(df, spec), spec)
+    valid, invalid = split(checked, spec)
+    rules = spec.all_rules(checked)
+    lines = report(count_failures(checked, spec), spec.entity, rules, run_id, layer=layer)
+    tagged = checked.withColumn(FAILED, failed_names(rules)).drop(FAILS, ROW_ID)
+    return QualityResult(tagged, valid, invalid, lines)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lavra.operators.keys import ROW_ID, left_lookup, semi, with_row_id
@@ -18,18 +18,19 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1").select(*keys, "copies")
 
 
+def row_order(order_by: Sequence[str]) -> Column:
+    """What rows are ordered by: `order_by`, then the input position."""
+    return F.struct(*[F.col(c) for c in order_by], F.col(ROW_ID))
+
+
 def first_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """For each repeated key, the order value of the row that comes first.
 
-    Rows are ordered by `order_by`, then by input position.
+    All rows are only counted by key. The order is looked at for the rows of
+    repeated keys alone, where a minimum is again taken before the shuffle.
     """
-    order = F.struct(*[F.col(c) for c in order_by], F.col(ROW_ID))
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(order).alias("_first"), F.count("*").alias("_copies"))
-        .where("_copies > 1")
-        .drop("_copies")
-    )
+    narrow = df.select(*keys, row_order(order_by).alias("_order"))
+    return semi(narrow, repeated_keys(df, keys), keys).groupBy(*keys).agg(F.min("_order").alias("_first"))
 
 
 def flag_repeats(
@@ -47,10 +48,10 @@ def flag_repeats(
     """
     df = with_row_id(df)
     firsts = first_rows(df, keys, order_by) if firsts is None else firsts
-    order = F.struct(*[F.col(c) for c in order_by], F.col(ROW_ID))
+    later = F.col("_first").isNotNull() & (row_order(order_by) != F.col("_first"))
     return (
         left_lookup(df, firsts, keys)
-        .withColumn(flag, F.col("_first").isNotNull() & (order != F.col("_first")))
+        .withColumn(flag, later)
         .drop("_first")
     )
 

@@ -146,15 +146,17 @@ def build_silver(
     checked = Q.check_rows(rows, spec)
     keys = spec.present_keys(checked)
     firsts = stage(first_rows(checked, keys, spec.order_by), "firsts") if keys else None
-    valid, invalid = Q.split(Q.check_keys(checked, spec, firsts))
+    marked = Q.check_keys(checked, spec, firsts)
+    rules = spec.all_rules(marked)
+    valid, invalid = Q.split(marked, spec)
 
     day, processed = started.date().isoformat(), started.isoformat()
     paths = {"VALID": layout.silver(spec.entity), "INVALID": layout.quarantine(spec.entity)}
     written = {}
     for status, part in (("VALID", valid), ("INVALID", invalid)):
-        marked = silver_columns(part.drop("ingestion_date"), status, processed)
-        marked = marked.withColumns({"processing_date": F.lit(day), "_quality_run_id": F.lit(run_id)})
-        tb.write_partitions(marked, paths[status], ["processing_date", "_quality_run_id"])
+        out = silver_columns(part.drop("ingestion_date"), status, processed)
+        out = out.withColumns({"processing_date": F.lit(day), "_quality_run_id": F.lit(run_id)})
+        tb.write_partitions(out, paths[status], ["processing_date", "_quality_run_id"])
         written[status] = f"{paths[status]}/processing_date={day}/_quality_run_id={run_id}"
     valid_count = tb.row_count(spark, written["VALID"])
     invalid_count = tb.row_count(spark, written["INVALID"])
@@ -168,16 +170,15 @@ def build_silver(
     )
     finished = audit.utc_now()
     lines = Q.report(
-        failed,
-        spec,
+        Q.count_written(failed, rules, bronze_count, valid_count),
+        spec.entity,
+        rules,
         run_id,
         processed,
         finished.isoformat(),
         round((finished - started).total_seconds(), 3),
         silver_path=paths["VALID"],
         quarantine_path=paths["INVALID"],
-        rules=spec.all_rules(checked),
-        totals=(bronze_count, valid_count),
     )
     audit.append_audit(lines, layout.audit, "quality_results")
 

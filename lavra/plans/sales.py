@@ -263,7 +263,7 @@ def quality_report(spark, d):
 
 
 def failures_by_rule(spark, d):
-    return Q.rule_counts(Q.run_quality(_lines(spark, d), lineitem_spec()).tagged)
+    return Q.rule_counts(Q.run_quality(_lines(spark, d), lineitem_spec()).invalid)
 
 
 def first_line_per_key(spark, d):
@@ -605,19 +605,19 @@ def _line_events(lines: DataFrame) -> DataFrame:
         F.col("l_quantity").cast("string").alias("quantity"),
         F.col("l_returnflag").alias("flag"),
         F.col("l_extendedprice").alias("price"),
-        *[c for c in lines.columns if c == "_row_id"],
     )
 
 
 def routed_events(spark, d):
-    events = validate_events(_line_events(_lines(spark, d)), LINE_EVENTS)
+    events = validate_events(_line_events(table(spark, d, "lineitem")), LINE_EVENTS)
     routed = route_events(events, LINE_EVENTS, order_by=EVENT_ORDER)
     return routed.withColumn("errors", F.array_join("errors", "; "))
 
 
 def routed_against_seen(spark, d):
     """Events from 1998 on, where the ids of earlier valid ones are known already."""
-    events = validate_events(_line_events(_lines(spark, d)), LINE_EVENTS)
+    events = stage(validate_events(_line_events(table(spark, d, "lineitem")), LINE_EVENTS), "events")
+    events = tb.with_positions(events)
     earlier = events.where("size(errors) = 0 AND event_time < '1998'").select("event_id")
     routed = route_events(events.where("event_time >= '1998'"), LINE_EVENTS, earlier, EVENT_ORDER)
     return routed.groupBy("route").agg(F.count("*").alias("event_count"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,21 +48,18 @@ def decode_events(raw: DataFrame, fields: Sequence[str], value: str = "value") -
     )
 
 
+def _listed(errors: list[Column]) -> Column:
+    """The errors that are not null. An array is built for a bad event only."""
+    some = reduce(Column.__or__, [e.isNotNull() for e in errors], F.lit(False))
+    return F.when(some, F.array_compact(F.array(*errors))).otherwise(F.array().cast("array<string>"))
+
+
 def event_errors(spec: EventSpec, bad_json: Column | None = None) -> Column:
     """All errors of an event, in order; an empty array for a good one."""
-    missing = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f).isNull() | (F.col(f).cast("string") == ""),
-                    F.lit(f"campo obrigatório ausente: {f}"),
-                )
-                for f in spec.required
-            ]
-        )
-    )
-    failed = F.array_compact(F.array(*[F.when(~holds(good), text) for text, good in spec.checks()]))
-    errors = F.when(F.size(missing) > 0, missing).otherwise(failed)
+    absent = [F.col(f).isNull() | (F.col(f).cast("string") == "") for f in spec.required]
+    missing = [F.when(a, F.lit(f"campo obrigatório ausente: {f}")) for f, a in zip(spec.required, absent)]
+    failed = [F.when(~holds(good), F.coalesce(text, F.lit(""))) for text, good in spec.checks()]
+    errors = F.when(reduce(Column.__or__, absent, F.lit(False)), _listed(missing)).otherwise(_listed(failed))
     if bad_json is None:
         return errors
     return F.when(bad_json, F.array(F.lit(BAD_JSON))).otherwise(errors)

@@ -7,33 +7,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.operators.keys import ROW_ID, left_lookup, with_row_id
+from lavra.operators.keys import ROW_ID, left_lookup, semi, with_row_id
+from lavra.operators.uniqueness import row_order
 from lavra.streaming.events import DUPLICATE, EventSpec
 
 
-def _firsts(events: DataFrame, spec: EventSpec, order_by: Sequence[str]) -> DataFrame:
-    """Per id of a valid event: its first position and its count in this batch."""
-    order = F.struct(*[F.col(c) for c in order_by], F.col(ROW_ID))
-    return (
-        events.where(F.size("errors") == 0)
-        .groupBy(spec.id_column)
-        .agg(F.min(order).alias("_first"), F.count("*").alias("_copies"))
-    )
+def _valid(events: DataFrame) -> DataFrame:
+    return events.where(F.size("errors") == 0)
+
 
+def _route(events: DataFrame, touched: DataFrame, spec: EventSpec, order_by: Sequence[str]) -> DataFrame:
+    """Route by `touched`: the ids that occur again, with `_seen` for those known before.
 
-def _route(events: DataFrame, firsts: DataFrame, spec: EventSpec, order_by: Sequence[str]) -> DataFrame:
-    order = F.struct(*[F.col(c) for c in order_by], F.col(ROW_ID))
-    first = ~F.col("_seen") & (F.col("_first") == order)
+    Events of all other ids are the only ones of theirs. Only for touched ids
+    is the first event looked for, with a minimum before the shuffle.
+    """
+    key = [spec.id_column]
+    narrow = _valid(events).select(*key, row_order(order_by).alias("_order"))
+    firsts = semi(narrow, touched, key).groupBy(*key).agg(F.min("_order").alias("_first"))
+    firsts = left_lookup(firsts, touched.select(*key, "_seen"), key)
+    alone = F.col("_first").isNull()
+    first = alone | (~F.col("_seen") & (F.col("_first") == row_order(order_by)))
     route = (
         F.when(F.size("errors") > 0, F.lit("invalid"))
         .when(first, F.lit("valid"))
         .otherwise(F.lit("duplicate"))
     )
-    routed = left_lookup(events, firsts, [spec.id_column]).withColumn("route", route)
+    routed = left_lookup(events, firsts, key).withColumn("route", route)
     errors = F.when(F.col("route") == "duplicate", F.array(F.lit(DUPLICATE))).otherwise(F.col("errors"))
     return routed.withColumn("errors", errors).drop("_first", "_seen", ROW_ID)
 
 
+def _flag(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Whether the id is among the known ones."""
+    ids = known.select(key).distinct().withColumn("_known", F.lit(True))
+    return left_lookup(df, ids, [key]).withColumn("_known", F.coalesce("_known", F.lit(False)))
+
+
 def route_events(
     events: DataFrame, spec: EventSpec, seen: DataFrame | None = None, order_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -44,15 +54,13 @@ def route_events(
     before the shuffle, so an id that floods the batch is one row per task.
     """
     events = with_row_id(events)
-    firsts = _firsts(events, spec, order_by).drop("_copies")
+    counts = _valid(events).groupBy(spec.id_column).agg(F.count("*").alias("_copies"))
     if seen is None:
-        firsts = firsts.withColumn("_seen", F.lit(False))
+        touched = counts.where("_copies > 1").withColumn("_seen", F.lit(False))
     else:
-        known = seen.select(spec.id_column).distinct().withColumn("_seen", F.lit(True))
-        firsts = left_lookup(firsts, known, [spec.id_column]).withColumn(
-            "_seen", F.coalesce("_seen", F.lit(False))
-        )
-    return _route(events, firsts, spec, order_by)
+        touched = _flag(counts, seen, spec.id_column).where("_copies > 1 OR _known")
+        touched = touched.withColumnRenamed("_known", "_seen")
+    return _route(events, touched, spec, order_by)
 
 
 def route_with_totals(
@@ -64,15 +72,15 @@ def route_with_totals(
 ) -> DataFrame:
     """Like `route_events`, with the stream's running `total` per id of this batch.
 
-    An id was seen earlier when its total is above its count in the batch, so
-    the cost follows the batch and not the history.
+    An id whose total is 1 is new. One whose total is above its count in the
+    batch was seen earlier, so the cost follows the batch and not the history.
     """
     events = with_row_id(events)
-    firsts = left_lookup(_firsts(events, spec, order_by), totals, [spec.id_column])
-    earlier = F.col("total") > F.col("_copies")
-    if seen is not None:
-        known = seen.select(spec.id_column).distinct().withColumn("_known", F.lit(True))
-        firsts = left_lookup(firsts, known, [spec.id_column])
-        earlier = earlier | F.coalesce("_known", F.lit(False))
-    firsts = firsts.select(spec.id_column, "_first", earlier.alias("_seen"))
-    return _route(events, firsts, spec, order_by)
+    key = spec.id_column
+    again = totals.withColumn("_known", F.lit(False)) if seen is None else _flag(totals, seen, key)
+    again = again.where("total > 1 OR _known")
+    counts = semi(_valid(events).select(key), again, [key]).groupBy(key).agg(F.count("*").alias("_copies"))
+    touched = left_lookup(counts, again, [key]).select(
+        key, (F.col("_known") | (F.col("total") > F.col("_copies"))).alias("_seen")
+    )
+    return _route(events, touched, spec, order_by)
