@@ -88,12 +88,11 @@ def ingest(
     ingestion_id, at = ingestion_id or str(uuid4()), at or started
     df = check_contract(reader(spark, source), source)
     path = layout.bronze(source.name)
-    write_bronze(to_bronze(df, source, ingestion_id, at), path, at)
-    day = at.astimezone(timezone.utc).date().isoformat()
-    written = f"{path}/ingestion_date={day}/_ingestion_id={ingestion_id}"
-    read = tb.row_count(spark, written)
+    read = write_bronze(to_bronze(df, source, ingestion_id, at), path, ingestion_id, at)
     loaded = None
     if loader is not None:
+        day = at.astimezone(timezone.utc).date().isoformat()
+        written = f"{path}/ingestion_date={day}/_ingestion_id={ingestion_id}"
         rows = spark.read.option("basePath", path).parquet(written).drop("ingestion_date")
         loaded = loader(rows, source.name)
         tb.require_equal(f"bronze load of {source.name}", read, loaded)
@@ -152,14 +151,12 @@ def build_silver(
 
     day, processed = started.date().isoformat(), started.isoformat()
     paths = {"VALID": layout.silver(spec.entity), "INVALID": layout.quarantine(spec.entity)}
-    written = {}
+    counts = {}
     for status, part in (("VALID", valid), ("INVALID", invalid)):
         out = silver_columns(part.drop("ingestion_date"), status, processed)
-        out = out.withColumns({"processing_date": F.lit(day), "_quality_run_id": F.lit(run_id)})
-        tb.write_partitions(out, paths[status], ["processing_date", "_quality_run_id"])
-        written[status] = f"{paths[status]}/processing_date={day}/_quality_run_id={run_id}"
-    valid_count = tb.row_count(spark, written["VALID"])
-    invalid_count = tb.row_count(spark, written["INVALID"])
+        counts[status] = tb.write_partition(out, paths[status], processing_date=day, _quality_run_id=run_id)
+    valid_count, invalid_count = counts["VALID"], counts["INVALID"]
+    written = {s: f"{path}/processing_date={day}/_quality_run_id={run_id}" for s, path in paths.items()}
     tb.require_equal(f"quality split of {spec.entity}", bronze_count, valid_count + invalid_count)
 
     # Valid rows fail no rule, so the counts per rule come from quarantine alone.
@@ -231,12 +228,10 @@ def write_gold(df: DataFrame, layout: Layout, product: str, day: str, loader: Lo
     """
     spark = df.sparkSession
     path = layout.gold(product)
-    dated = df.withColumn("processing_date", F.lit(day))
-    tb.write_partitions(dated, path, ["processing_date"])
-    folder = f"{path}/processing_date={day}"
-    count = tb.row_count(spark, folder)
+    count = tb.write_partition(df, path, processing_date=day)
     if not count:
         return None
+    folder = f"{path}/processing_date={day}"
     written = spark.read.parquet(folder)
     if loader is not None:
         tb.require_equal(f"gold load of {product}", count, loader(written, product))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from lavra.functions import numbers as N
 from lavra.functions import predicates as P
 from lavra.functions.jsontext import flatten_nested
-from lavra.functions.text import hash_text, record_hash, strip_text, upper_text
+from lavra.functions.text import hash_text, row_hash, strip_text, upper_text
 from lavra.functions.times import iso_text, parse_iso, seconds_between
 from lavra.operators import integrity as I
 from lavra.operators import products as prod
@@ -139,8 +139,9 @@ def _two_runs(spark, d) -> str:
     customers = table(spark, d, "customer")
     path = new_folder(spark, "bronze")
     short = Source("customer", CUSTOMERS.table_id, CUSTOMERS.columns[:4], ("c_custkey",), "0.9")
-    write_bronze(to_bronze(customers.drop("c_mktsegment"), short, "run-a", FIRST_RUN), path, FIRST_RUN)
-    write_bronze(to_bronze(customers, CUSTOMERS, "run-b", SECOND_RUN), path, SECOND_RUN)
+    first = to_bronze(customers.drop("c_mktsegment"), short, "run-a", FIRST_RUN)
+    write_bronze(first, path, "run-a", FIRST_RUN)
+    write_bronze(to_bronze(customers, CUSTOMERS, "run-b", SECOND_RUN), path, "run-b", SECOND_RUN)
     return path
 
 
@@ -522,10 +523,11 @@ def normalised_documents(spark, d):
 
 
 def record_hashes(spark, d):
-    return table(spark, d, "events").select(
+    events = table(spark, d, "events")
+    return events.select(
         "event_id",
         hash_text(F.col("user_id")).alias("user_hash"),
-        record_hash(*[F.col(c) for c in ("event_id", "user_id", "event_type", "value")]).alias("record_hash"),
+        row_hash(events, ["event_id", "user_id", "event_type", "value"]).alias("record_hash"),
     )
 
 

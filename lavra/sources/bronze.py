@@ -7,9 +7,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.functions.text import record_hash
+from lavra.functions.text import row_hash
 from lavra.sources.contracts import Source
-from lavra.sources.tables import write_partitions
+from lavra.sources.tables import write_partition
 
 # The lineage columns, in order.
 LINEAGE = (
@@ -47,15 +47,13 @@ def to_bronze(
             "_source_dataset": F.lit(dataset),
             "_source_table": F.lit(source.table_id),
             "_load_type": F.lit(load_type),
-            "_record_hash": record_hash(*[F.col(c) for c in source.selected]),
+            "_record_hash": row_hash(df, source.selected),
             "_schema_version": F.lit(source.schema_version),
         }
     )
 
 
-def write_bronze(df: DataFrame, path: str, ingestion_timestamp: datetime) -> None:
+def write_bronze(df: DataFrame, path: str, ingestion_id: str, ingestion_timestamp: datetime) -> int:
     """Write one run under its date and run id; repeating the run replaces it."""
     day = ingestion_timestamp.astimezone(timezone.utc).date().isoformat()
-    write_partitions(
-        df.withColumn("ingestion_date", F.lit(day)), path, ["ingestion_date", "_ingestion_id"]
-    )
+    return write_partition(df, path, ingestion_date=day, _ingestion_id=ingestion_id)

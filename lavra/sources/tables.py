@@ -33,30 +33,51 @@ def with_positions(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, file_row_id())
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace just the partitions that `df` holds, so a repeated run is harmless.
-
-    An empty frame writes nothing.
-    """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+def _folder(spark: SparkSession, path: str):
+    """Hadoop handle of a folder: its file system and path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    fs, target = _folder(spark, path)
+    return fs.exists(target)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of a table, if it is there."""
+    fs, target = _folder(spark, path)
+    fs.delete(target, True)
+
+
+def write_partition(df: DataFrame, path: str, **partition: str) -> int:
+    """Replace one partition, named by constants, and return its row count.
+
+    The rows go straight into the partition's folder: a dynamic partition write
+    would sort them all by the constants first. Without rows nothing is left.
+    """
+    spark = df.sparkSession
+    levels = [path]
+    for key, value in partition.items():
+        levels.append(f"{levels[-1]}/{key}={value}")
+    folder = levels[-1]
+    rows = df.drop(*partition)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    count = row_count(spark, folder)
+    if not count:
+        drop_folder(spark, folder)
+        for level in reversed(levels[:-1]):
+            fs, target = _folder(spark, level)
+            if not fs.listStatus(target):
+                drop_folder(spark, level)
+    return count
 
 
 def partition_values(spark: SparkSession, path: str, key: str) -> list[str]:
     """Sorted values of a table's first partition column, from its folder names."""
-    if not exists(spark, path):
+    fs, target = _folder(spark, path)
+    if not fs.exists(target):
         return []
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [status.getPath().getName() for status in fs.listStatus(target)]
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{key}="))
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lavra.functions.times import parse_iso, seconds_between
 from lavra.sources.audit import append_audit, utc_now
-from lavra.sources.tables import exists, with_positions
+from lavra.sources.tables import drop_folder, exists, with_positions
 from lavra.streaming.events import EventSpec, validate_events
 from lavra.streaming.routing import route_with_totals
 
@@ -79,12 +79,16 @@ def enrich(events: DataFrame, at: datetime, spec: EventSpec) -> DataFrame:
     )
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int, *partition_by: str) -> DataFrame:
-    """Replace everything an earlier attempt of the batch wrote; gives it back."""
-    folder = f"{path}/batch_id={batch_id}"
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+def _write_batch(df: DataFrame, path: str, batch_id: int, at: datetime) -> DataFrame:
+    """Write a batch's rows and give them back.
+
+    Whatever an earlier attempt of the batch wrote, on any day, goes first.
+    """
+    spark, batch = df.sparkSession, f"{path}/batch_id={batch_id}"
+    drop_folder(spark, batch)
+    folder = f"{batch}/ingestion_date={at.date().isoformat()}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def write_routed(routed: DataFrame, paths: StreamPaths, batch_id: int, at: datetime) -> None:
@@ -93,13 +97,12 @@ def write_routed(routed: DataFrame, paths: StreamPaths, batch_id: int, at: datet
     Everything lies under the batch id. The counters are read from what was
     written, so the routing is not worked out a third time.
     """
-    dated = routed.withColumn("ingestion_date", F.lit(at.date().isoformat()))
-    good = dated.where("route = 'valid'").drop("route", "errors", "_bad_json")
-    rest = dated.where("route <> 'valid'").drop("_latency_s", "_load_type", "_bad_json")
-    kept = _write_batch(good, paths.bronze, batch_id, "ingestion_date").agg(
+    good = routed.where("route = 'valid'").drop("route", "errors", "_bad_json")
+    rest = routed.where("route <> 'valid'").drop("_latency_s", "_load_type", "_bad_json")
+    kept = _write_batch(good, paths.bronze, batch_id, at).agg(
         F.count("*").alias("valid"), F.sum("_latency_s").alias("latency_sum")
     )
-    left_out = _write_batch(rest, paths.quarantine, batch_id, "ingestion_date").agg(
+    left_out = _write_batch(rest, paths.quarantine, batch_id, at).agg(
         F.count_if(F.col("route") == "invalid").alias("invalid"),
         F.count_if(F.col("route") == "duplicate").alias("duplicates"),
     )
@@ -111,6 +114,7 @@ def write_routed(routed: DataFrame, paths: StreamPaths, batch_id: int, at: datet
         counts.select("*", consumed.alias("consumed"), F.lit(at.isoformat()).alias("timestamp")),
         paths.metrics,
         batch_id,
+        at,
     )
 
 

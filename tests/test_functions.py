@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lavra.functions import numbers as N
 from lavra.functions import predicates as P
 from lavra.functions.jsontext import flatten_nested
-from lavra.functions.text import hash_text, record_hash, strip_text, upper_text
+from lavra.functions.text import hash_text, row_hash, strip_text, upper_text
 from lavra.functions.times import iso_text, parse_iso, seconds_between
 
 
@@ -38,7 +38,7 @@ def test_record_hash_joins_text_and_writes_floats_alike(spark):
     df = spark.createDataFrame(
         [(i, "x" if i % 2 else None, v) for i, v in enumerate(floats)], "i int, s string, v double"
     )
-    got = {r["i"]: r["h"] for r in df.select("i", record_hash(F.col("i"), F.col("s"), F.col("v")).alias("h")).collect()}
+    got = {r["i"]: r["h"] for r in df.select("i", row_hash(df, ["i", "s", "v"]).alias("h")).collect()}
     for i, v in enumerate(floats):
         text = "" if v is None or v != v else repr(v)
         want = "|".join([str(i), "x" if i % 2 else "", text])

@@ -70,10 +70,10 @@ def test_contract_report(spark, rows):
 def test_history_and_latest_snapshot(spark, layout):
     source, path = lit.SOURCES["municipio"], layout.bronze("municipio")
     second = AT.replace(hour=13)
-    write_bronze(to_bronze(places(spark), source, "b-first", AT), path, AT)
+    write_bronze(to_bronze(places(spark), source, "b-first", AT), path, "b-first", AT)
     newer = places(spark).limit(1).selectExpr("*", "'x' as extra")
-    write_bronze(to_bronze(newer, source, "a-second", second), path, second)
-    write_bronze(to_bronze(newer, source, "a-second", second), path, second)  # a repeated run
+    write_bronze(to_bronze(newer, source, "a-second", second), path, "a-second", second)
+    write_bronze(to_bronze(newer, source, "a-second", second), path, "a-second", second)  # a repeated run
     history = tb.read_history(spark, path)
     assert history.count() == 3 and "extra" in history.columns
     latest = tb.read_latest_snapshot(spark, path)
