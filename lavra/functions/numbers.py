@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
+NUMERIC_TYPES = (*WHOLE_TYPES, "float", "double", "decimal")
 NUMERIC_TEXT = r"^\s*[+-]?(((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)|(?i:inf|infinity))\s*$"
 
 # The status names of the products.
@@ -35,7 +36,9 @@ def to_number(c: Column) -> Column:
 def to_year(c: Column) -> Column:
     """Whole number, or null."""
     number = to_number(c)
-    return F.when(number == F.floor(number), number.try_cast("int"))
+    return F.when(F.typeof(c).isin(*WHOLE_TYPES), c.try_cast("int")).otherwise(
+        F.when(number == F.floor(number), number.try_cast("int"))
+    )
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

@@ -13,15 +13,18 @@ from lavra.session import stage
 ROW_ID = "_row_id"
 
 
-def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
-    """Null-safe equality of `keys` between two aliased frames."""
-    return reduce(
-        Column.__and__, [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys]
-    )
+def same_keys(left: str, right: str, keys: Sequence[str], null_safe: bool = True) -> Column:
+    """Equality of `keys` between two aliased frames."""
+    pairs = [(F.col(f"{left}.`{k}`"), F.col(f"{right}.`{k}`")) for k in keys]
+    return reduce(Column.__and__, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+
 
+def left_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+    """Left join keeping one copy of the keys.
 
-def left_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join keeping one copy of the keys; null keys match null keys.
+    Null keys match null keys unless `null_safe` is off. Turn it off where keys
+    are never null: a plain equality can use tables bucketed by the key, and a
+    partitioning that is there already.
 
     No broadcast hint: Spark broadcasts `right` only below its size threshold,
     and otherwise splits a hot key of `left` over several tasks.
@@ -29,7 +32,7 @@ def left_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     added = [c for c in right.columns if c not in keys]
     return (
         left.alias("l")
-        .join(right.alias("r"), same_keys("l", "r", keys), "left")
+        .join(right.alias("r"), same_keys("l", "r", keys, null_safe), "left")
         .select("l.*", *[F.col(f"r.`{c}`") for c in added])
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.operators.keys import left_lookup
+from lavra.session import stage
 
 
 def exact_median(df: DataFrame, group: str, value: str, name: str = "median", accuracy: int = 10_000) -> DataFrame:
@@ -16,6 +17,8 @@ def exact_median(df: DataFrame, group: str, value: str, name: str = "median", ac
     the middle; rows below the bracket are only counted, and equal values inside
     it are counted before the shuffle. Just the few values inside are sorted.
     A bracket that missed the middle would fail the query, not bend the result.
+    The brackets, one row per group, are staged: `df` is read once for them and
+    once for the rest, and does not move where they are small.
     """
     values = df.select(group, value).where(F.col(value).isNotNull())
     edge = 2.0 / accuracy
@@ -23,7 +26,7 @@ def exact_median(df: DataFrame, group: str, value: str, name: str = "median", ac
         F.percentile_approx(value, [0.5 - edge, 0.5 + edge], accuracy).alias("_edges"),
         F.count("*").alias("_n"),
     )
-    marked = left_lookup(values, bracket, [group]).select(
+    marked = left_lookup(values, stage(bracket, "brackets"), [group]).select(
         group,
         F.col("_n"),
         F.when(F.col(value) < F.col("_edges")[0], F.lit(-1))

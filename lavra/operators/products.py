@@ -39,23 +39,28 @@ def target_comparison(
     region: DataFrame | None = None,
     region_key: str | None = None,
     as_of: Column | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
     """Measure with its dimension, target, gap, attainment and status.
 
     `dim_columns` maps dimension columns to output names. `region` is a lookup
     on `region_key` (an output name) with one further column. Without a target
-    table the target is null and every status says so.
+    table the target is null and every status says so. Set `null_safe` off
+    where no entity or period is null.
+
+    The region is looked up for the dimension, so the measure is joined with
+    one table for both.
     """
     base = measure.select(period, entity, value).withColumns(_typed(period, value))
     named = dim.select(entity, *[F.col(c).alias(out) for c, out in dim_columns.items()])
-    result = left_lookup(base, named, [entity])
     lookup_columns = []
     if region is not None:
         lookup_columns = [c for c in region.columns if c != region_key]
-        result = left_lookup(result, region, [region_key])
+        named = left_lookup(named, region, [region_key], null_safe)
+    result = left_lookup(base, named, [entity], null_safe)
     if target is not None:
         wanted = _target(target, [period, entity], period, target_value, "target")
-        result = left_lookup(result, wanted, [period, entity])
+        result = left_lookup(result, wanted, [period, entity], null_safe)
     else:
         result = result.withColumn("target", F.lit(None).cast("double"))
     v, t = F.col(value), F.col("target")
@@ -84,7 +89,7 @@ class TargetLevel:
 
 
 def multi_level_targets(
-    compared: DataFrame, levels: Sequence[TargetLevel], *, period: str, value: str
+    compared: DataFrame, levels: Sequence[TargetLevel], *, period: str, value: str, null_safe: bool = True
 ) -> DataFrame:
     """Add `target_<level>` and `gap_<level>` for each level, null without a table."""
     result = compared
@@ -94,7 +99,7 @@ def multi_level_targets(
             result = result.withColumn(name, F.lit(None).cast("double"))
         else:
             wanted = _target(level.table, level.on, period, level.value, name)
-            result = left_lookup(result, wanted, level.on)
+            result = left_lookup(result, wanted, level.on, null_safe)
         result = result.withColumn(f"gap_{level.name}", F.col(value) - F.col(name))
     return result
 
@@ -237,12 +242,14 @@ def feature_table(
     entity: str,
     period: str,
     value: str,
-    columns: Sequence[str],
+    columns: Sequence[str | Column],
+    null_safe: bool = True,
 ) -> DataFrame:
     """Chosen columns, the change since the previous period and a 0/1 label."""
     change = evolution.select(period, F.col("entity_code").alias(entity), "period_change")
     label = N.reached_label(F.col(value), F.col("target")).alias("reached")
-    return left_lookup(compared, change, [period, entity]).select(*columns, "period_change", label)
+    joined = left_lookup(compared, change, [period, entity], null_safe)
+    return joined.select(*columns, "period_change", label)
 
 
 def status_counts(compared: DataFrame, status: str = "status") -> DataFrame:

@@ -243,7 +243,11 @@ EVENTS = EventSpec(EVENT_FIELDS, _event_checks)
 
 
 def indicador_municipio_ano(
-    indicador: DataFrame, meta_municipio: DataFrame | None, municipio: DataFrame, as_of: str | None = None
+    indicador: DataFrame,
+    meta_municipio: DataFrame | None,
+    municipio: DataFrame,
+    as_of: str | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
     """Municipal rate per year against its target."""
     return target_comparison(
@@ -258,6 +262,7 @@ def indicador_municipio_ano(
         region=regions(indicador.sparkSession),
         region_key="sigla_uf",
         as_of=None if as_of is None else F.lit(as_of),
+        null_safe=null_safe,
     ).withColumnsRenamed(
         {
             "target": "meta_municipal",
@@ -269,7 +274,9 @@ def indicador_municipio_ano(
     )
 
 
-def meta_vs_resultado(p1: DataFrame, meta_uf: DataFrame | None, meta_brasil: DataFrame | None) -> DataFrame:
+def meta_vs_resultado(
+    p1: DataFrame, meta_uf: DataFrame | None, meta_brasil: DataFrame | None, null_safe: bool = True
+) -> DataFrame:
     """Municipal rate against the municipal, state and national targets."""
     compared = multi_level_targets(
         p1,
@@ -279,6 +286,7 @@ def meta_vs_resultado(p1: DataFrame, meta_uf: DataFrame | None, meta_brasil: Dat
         ],
         period="ano",
         value="taxa_alfabetizacao",
+        null_safe=null_safe,
     )
     return compared.select(
         "ano",
@@ -350,7 +358,7 @@ def resumo_uf(p1: DataFrame, meta_uf: DataFrame | None) -> DataFrame:
     )
 
 
-def ml_features_municipio(p1: DataFrame, evolucao: DataFrame) -> DataFrame:
+def ml_features_municipio(p1: DataFrame, evolucao: DataFrame, null_safe: bool = True) -> DataFrame:
     """Model features per municipality and year, without personal data."""
     return feature_table(
         p1.withColumnRenamed("meta_municipal", "target"),
@@ -367,6 +375,7 @@ def ml_features_municipio(p1: DataFrame, evolucao: DataFrame) -> DataFrame:
             F.col("target").alias("meta_municipal"),
             "diferenca_meta",
         ],
+        null_safe=null_safe,
     ).withColumnsRenamed({"period_change": "variacao_anual", "reached": "atingiu_meta"})
 
 
@@ -398,7 +407,10 @@ def build_gold(
     """All products that the silver tables at hand allow, written and read back.
 
     The first product and the evolution feed others and are read from their
-    written tables, not worked out again.
+    written tables, not worked out again. Silver rows have a valid year and
+    municipality, so the joins need not match nulls. A municipality may be
+    missing from the directory, so the state of a result may be null; no valid
+    target has a null state.
     """
     day = day or utc_now().date().isoformat()
     silver = {e: read_silver(spark, layout, e) for e in SPECS if e != "aluno"}
@@ -413,12 +425,11 @@ def build_gold(
         made[product] = write_gold(df, layout, product, day, loader)
         return made[product]
 
-    p1 = write(
-        "indicador_municipio_ano", indicador_municipio_ano(indicador, silver["meta_municipio"], municipio, day)
-    )
-    write("meta_vs_resultado", meta_vs_resultado(p1, silver["meta_uf"], silver["meta_brasil"]))
+    first = indicador_municipio_ano(indicador, silver["meta_municipio"], municipio, day, null_safe=False)
+    p1 = write("indicador_municipio_ano", first)
+    write("meta_vs_resultado", meta_vs_resultado(p1, silver["meta_uf"], silver["meta_brasil"], null_safe=False))
     # Silver keeps one row per year and municipality.
     evolution = write("evolucao_temporal", evolucao_temporal(indicador, unique_periods=True))
     write("resumo_uf", resumo_uf(p1, silver["meta_uf"]))
-    write("ml_features_municipio", ml_features_municipio(p1, evolution))
+    write("ml_features_municipio", ml_features_municipio(p1, evolution, null_safe=False))
     return made

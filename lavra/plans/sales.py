@@ -21,6 +21,7 @@ from lavra.functions.times import iso_text, parse_iso, seconds_between
 from lavra.operators import integrity as I
 from lavra.operators import products as prod
 from lavra.operators import quality as Q
+from lavra.operators.median import exact_median
 from lavra.operators.uniqueness import duplicated_keys, keep_first
 from lavra.plans import layers
 from lavra.session import apply_settings, new_folder, stage
@@ -347,30 +348,46 @@ def integrity_report(spark, d):
 
 
 def spend_per_year(spark, d) -> DataFrame:
-    """The measure: what a customer spent in a year. (customer, year) is its key."""
-    return (
+    """The measure: what a customer spent in a year. (customer, year) is its key.
+
+    It is far smaller than the orders and feeds several products, so it is
+    staged and the orders are read once.
+    """
+    return stage(
         _dated_orders(spark, d)
         .groupBy(F.col("o_custkey").alias("c_custkey"), "year")
         .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("amount"))
-        .select("c_custkey", "year", F.col("amount").cast("double").alias("spend"))
+        .select("c_custkey", "year", F.col("amount").cast("double").alias("spend")),
+        "spend",
     )
 
 
-def _nation_means(spark, d) -> DataFrame:
+def _mean_spend() -> Column:
+    return (F.sum(F.col("spend").cast(MONEY)).cast("double") / F.count("*")).alias("target_spend")
+
+
+def _nation_means(spark, d, spend: DataFrame) -> DataFrame:
     """Mean spend of a nation's customers, as the target of the year after."""
     customers = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    amount = F.sum(F.col("spend").cast(MONEY)).cast("double") / F.count("*")
     return (
-        spend_per_year(spark, d)
-        .join(customers, "c_custkey")
+        spend.join(customers, "c_custkey")
         .groupBy("c_nationkey", (F.col("year") + 1).alias("year"))
-        .agg(amount.alias("target_spend"))
+        .agg(_mean_spend())
     )
 
 
-def _customer_targets(spark, d) -> DataFrame:
+def _named_nation_means(spark, d, spend: DataFrame) -> DataFrame:
+    names = table(spark, d, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation")
+    )
+    return _nation_means(spark, d, spend).join(names, "c_nationkey")
+
+
+def _customer_targets(spark, d, spend: DataFrame) -> DataFrame:
     customers = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    return customers.join(_nation_means(spark, d), "c_nationkey").select("c_custkey", "year", "target_spend")
+    return customers.join(_nation_means(spark, d, spend), "c_nationkey").select(
+        "c_custkey", "year", "target_spend"
+    )
 
 
 def _customers_with_nation(spark, d) -> DataFrame:
@@ -387,10 +404,11 @@ def _regions(spark, d) -> DataFrame:
     )
 
 
-def target_comparison(spark, d):
+def _comparison(spark, d, spend: DataFrame) -> DataFrame:
+    """No key is null here, so joins are plain equalities."""
     return prod.target_comparison(
-        spend_per_year(spark, d),
-        _customer_targets(spark, d),
+        spend,
+        _customer_targets(spark, d, spend),
         _customers_with_nation(spark, d),
         entity="c_custkey",
         period="year",
@@ -400,10 +418,16 @@ def target_comparison(spark, d):
         region=_regions(spark, d),
         region_key="nation",
         as_of=F.lit("2002-01-01"),
+        null_safe=False,
     )
 
 
+def target_comparison(spark, d):
+    return _comparison(spark, d, spend_per_year(spark, d))
+
+
 def comparison_without_targets(spark, d):
+    """The same without targets, and with joins that also match nulls."""
     return prod.target_comparison(
         spend_per_year(spark, d),
         None,
@@ -418,33 +442,31 @@ def comparison_without_targets(spark, d):
 
 
 def multi_level_targets(spark, d):
-    named = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
-    per_nation = _nation_means(spark, d).join(named, "c_nationkey")
-    total = F.sum(F.col("spend").cast(MONEY)).cast("double") / F.count("*")
-    overall = spend_per_year(spark, d).groupBy((F.col("year") + 1).alias("year")).agg(total.alias("target_spend"))
+    spend = spend_per_year(spark, d)
+    overall = spend.groupBy((F.col("year") + 1).alias("year")).agg(_mean_spend())
     return prod.multi_level_targets(
-        target_comparison(spark, d),
+        _comparison(spark, d, spend),
         [
-            prod.TargetLevel("nation", per_nation, ["year", "nation"], "target_spend"),
+            prod.TargetLevel("nation", _named_nation_means(spark, d, spend), ["year", "nation"], "target_spend"),
             prod.TargetLevel("overall", overall, ["year"], "target_spend"),
             prod.TargetLevel("planned", None, ["year"], "target_spend"),
         ],
         period="year",
         value="spend",
+        null_safe=False,
     )
 
 
-def time_evolution(spark, d):
+def _evolution(spend: DataFrame) -> DataFrame:
     return prod.time_evolution(
-        spend_per_year(spark, d),
-        entity="c_custkey",
-        period="year",
-        value="spend",
-        kind="customer",
-        unique_periods=True,
+        spend, entity="c_custkey", period="year", value="spend", kind="customer", unique_periods=True
     )
 
 
+def time_evolution(spark, d):
+    return _evolution(spend_per_year(spark, d))
+
+
 def evolution_of_part_values(spark, d):
     """Quantity per part and year, where the operator is told of no key."""
     per_year = (
@@ -465,9 +487,9 @@ def evolution_of_part_values(spark, d):
 
 def group_summary(spark, d):
     """Per nation. The comparison is written once, since the summary reads it more than once."""
-    compared = stage(target_comparison(spark, d).select("nation", "spend", "status"), "compared")
-    named = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
-    targets = _nation_means(spark, d).join(named, "c_nationkey")
+    spend = spend_per_year(spark, d)
+    compared = stage(_comparison(spark, d, spend).select("nation", "spend", "status"), "compared")
+    targets = _named_nation_means(spark, d, spend)
     summary = prod.group_summary(
         compared, "nation", value="spend", group_target=targets, target_value="target_spend"
     )
@@ -477,19 +499,19 @@ def group_summary(spark, d):
 
 def price_medians(spark, d):
     """Exact medians over all lines, with very large groups."""
-    from lavra.operators.median import exact_median
-
     return exact_median(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice")
 
 
 def feature_table(spark, d):
+    spend = spend_per_year(spark, d)
     return prod.feature_table(
-        target_comparison(spark, d),
-        time_evolution(spark, d),
+        _comparison(spark, d, spend),
+        _evolution(spend),
         entity="c_custkey",
         period="year",
         value="spend",
         columns=["year", "c_custkey", "nation", "region", "spend", "target", "target_gap"],
+        null_safe=False,
     )
 
 
@@ -508,9 +530,9 @@ def top_nations(spark, d):
 def written_product(spark, d):
     """The comparison written as a gold table twice on one day, and read back."""
     layout = layers.Layout(new_folder(spark, "lake"))
-    columns = ["year", "c_custkey", "spend", "target", "status"]
-    layers.write_gold(target_comparison(spark, d).select(*columns), layout, "comparison", "2024-01-01")
-    return layers.write_gold(target_comparison(spark, d).select(*columns), layout, "comparison", "2024-01-01")
+    product = target_comparison(spark, d).select("year", "c_custkey", "spend", "target", "status")
+    layers.write_gold(product, layout, "comparison", "2024-01-01")
+    return layers.write_gold(product, layout, "comparison", "2024-01-01")
 
 
 # --- functions -------------------------------------------------------------
