@@ -397,6 +397,8 @@ def integrity(
             IntegrityCheck("resultados_sem_meta", "orphans", results, meta_municipio, period_key),
             IntegrityCheck("anos_incompativeis_indicador_meta", "periods", results, meta_municipio, ["ano"]),
             IntegrityCheck("municipio_chaves_duplicadas", "duplicates", municipio, keys=["id_municipio"]),
+            # A repeated target key would multiply the rows of the first product.
+            IntegrityCheck("metas_chaves_duplicadas", "duplicates", meta_municipio, keys=period_key),
         ]
     )
 

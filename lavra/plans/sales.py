@@ -33,7 +33,7 @@ from lavra.sources.events import topic_records
 from lavra.sources.extraction import directory_scan, observed_scan, ordered_sample, target_scan
 from lavra.streaming.events import EventSpec, validate_events
 from lavra.streaming.ingest import StreamPaths, run_session
-from lavra.streaming.routing import route_events
+from lavra.streaming.routing import new_events, route_events
 
 # Times that stand for two runs, so that no result holds the current time.
 FIRST_RUN = datetime(2024, 1, 1, 6, tzinfo=timezone.utc)
@@ -647,6 +647,15 @@ def routed_against_seen(spark, d):
     return routed.groupBy("route").agg(F.count("*").alias("event_count"))
 
 
+def new_documents(spark, d):
+    """The first of all documents with the same text, where the labelled ones are known."""
+    documents = table(spark, d, "documents").withColumn("fingerprint", hash_text(strip_text(F.col("text"))))
+    documents = stage(documents.select("doc_id", "lang", "source", "fingerprint"), "documents")
+    labels = table(spark, d, "labels").select("doc_id").distinct()
+    known = documents.join(labels, "doc_id", "left_semi").select("fingerprint")
+    return new_events(tb.with_positions(documents), "fingerprint", known, ["doc_id"])
+
+
 def _run_stream(spark, d) -> tuple[StreamPaths, DataFrame]:
     base = new_folder(spark, "stream")
     paths = StreamPaths.under(base, "lines")
@@ -837,6 +846,7 @@ QUERIES = {
         topic_messages,
         routed_events,
         routed_against_seen,
+        new_documents,
         streamed_bronze,
         stream_session,
         stream_quarantine,

@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lavra.folders import drop_folder
+
+_staged: list[str] = []
+
 # Shuffle partitions are left to the cluster: AQE coalesces small ones and
 # splits skewed ones, also where that costs a later shuffle.
 SETTINGS = {
@@ -20,6 +24,7 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -69,4 +74,11 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove every staged copy of this process, once nothing reads them any more."""
+    while _staged:
+        drop_folder(spark, _staged.pop())

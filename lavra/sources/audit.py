@@ -9,10 +9,11 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lavra.folders import exists
 from lavra.functions.jsontext import flatten_nested
 from lavra.functions.numbers import percent
 from lavra.functions.times import parse_iso, seconds_between
-from lavra.sources.tables import exists, full_refresh
+from lavra.sources.tables import full_refresh
 
 # The three logs and their fields.
 SCHEMAS = {

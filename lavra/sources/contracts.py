@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -80,7 +79,3 @@ def contract_report(df: DataFrame, source: Source) -> DataFrame:
         ]
     )
     return counts.select(F.inline(rows))
-
-
-def missing_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    return [c for c in columns if c not in df.columns]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lavra.folders import drop_folder, exists, folder_names
 from lavra.operators.keys import ROW_ID, file_row_id
 
 
@@ -33,23 +34,6 @@ def with_positions(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, file_row_id())
 
 
-def _folder(spark: SparkSession, path: str):
-    """Hadoop handle of a folder: its file system and path."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _folder(spark, path)
-    return fs.exists(target)
-
-
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder of a table, if it is there."""
-    fs, target = _folder(spark, path)
-    fs.delete(target, True)
-
-
 def write_partition(df: DataFrame, path: str, **partition: str) -> int:
     """Replace one partition, named by constants, and return its row count.
 
@@ -67,18 +51,14 @@ def write_partition(df: DataFrame, path: str, **partition: str) -> int:
     if not count:
         drop_folder(spark, folder)
         for level in reversed(levels[:-1]):
-            fs, target = _folder(spark, level)
-            if not fs.listStatus(target):
+            if not folder_names(spark, level):
                 drop_folder(spark, level)
     return count
 
 
 def partition_values(spark: SparkSession, path: str, key: str) -> list[str]:
     """Sorted values of a table's first partition column, from its folder names."""
-    fs, target = _folder(spark, path)
-    if not fs.exists(target):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(target)]
+    names = folder_names(spark, path)
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{key}="))
 
 

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lavra.folders import drop_folder, exists
 from lavra.functions.times import parse_iso, seconds_between
 from lavra.sources.audit import append_audit, utc_now
-from lavra.sources.tables import drop_folder, exists, with_positions
+from lavra.sources.tables import with_positions
 from lavra.streaming.events import EventSpec, validate_events
 from lavra.streaming.routing import route_with_totals
 

@@ -84,3 +84,17 @@ def route_with_totals(
         key, (F.col("_known") | (F.col("total") > F.col("_copies"))).alias("_seen")
     )
     return _route(events, touched, spec, order_by)
+
+
+def new_events(
+    events: DataFrame, id_column: str, seen: DataFrame | None = None, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """Add `is_new`: the first event of an id that `seen` does not hold.
+
+    No other check is made; an event without an id is never new.
+    """
+    filled = F.col(id_column).isNotNull() & (F.col(id_column).cast("string") != "")
+    plain = EventSpec((), list, id_column)
+    no_id = F.when(filled, F.array()).otherwise(F.array(F.lit(""))).cast("array<string>")
+    routed = route_events(events.withColumn("errors", no_id), plain, seen, order_by)
+    return routed.withColumn("is_new", F.col("route") == "valid").drop("errors", "route")

@@ -351,6 +351,10 @@ ORACLES = {
         SELECT CASE WHEN errors <> '' THEN 'invalid' WHEN rn = 1 AND event_id NOT IN (
           SELECT event_id FROM events_checked WHERE errors = '' AND event_time < '1998') THEN 'valid'
           ELSE 'duplicate' END AS route, count(*) AS event_count FROM late GROUP BY 1""",
+    "new_documents": """WITH d AS (
+          SELECT doc_id, lang, source, sha256(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS fingerprint FROM documents)
+        SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY doc_id) = 1 AND fingerprint NOT IN (
+          SELECT fingerprint FROM d WHERE doc_id IN (SELECT doc_id FROM labels)) AS is_new FROM d""",
     "streamed_bronze": f"""WITH {_EVENTS} SELECT event_id, event_time, quantity, flag, price, 'STREAMING' AS _load_type
         FROM routed WHERE route = 'valid'""",
     "stream_session": f"""WITH {_EVENTS} SELECT count(*) AS consumed, count(*) FILTER (route = 'valid') AS valid,

@@ -10,7 +10,7 @@ from lavra.sources import audit
 from lavra.sources.events import read_event_file, text_stream, topic_records
 from lavra.streaming.events import decode_events, validate_events
 from lavra.streaming.ingest import StreamPaths, run_session, session_batches
-from lavra.streaming.routing import route_events
+from lavra.streaming.routing import new_events, route_events
 
 EVENT = {
     "event_id": "e1", "event_type": "indicador_atualizado", "codigo_municipio": "3550308", "sigla_uf": "SP",
@@ -152,3 +152,12 @@ def test_event_files_and_topic_records(spark, tmp_path):
         assert sorted(r["event_id"] for r in df.collect()) == ["e1", "e2"]
     record = topic_records(read_event_file(spark, str(array), schema)).orderBy("key").first()
     assert (record["key"], json.loads(record["value"])) == ("e1", {"event_id": "e1", "taxa_alfabetizacao": 87.5})
+
+
+def test_new_events_without_other_checks(spark, rows):
+    events = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("", 3), (None, 4), ("b", 5), ("c", 6)], "id string, n int"
+    ).coalesce(1)
+    got = new_events(events, "id", spark.createDataFrame([("b",)], "id string"))
+    assert rows(got.where("is_new"), "n") == [(1,), (6,)]
+    assert got.count() == 6
