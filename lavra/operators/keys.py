@@ -27,7 +27,9 @@ def left_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], null_saf
     partitioning that is there already.
 
     No broadcast hint: Spark broadcasts `right` only below its size threshold,
-    and otherwise splits a hot key of `left` over several tasks.
+    and otherwise splits a hot key of `left` over several tasks. With a plain
+    equality, stage a `right` that is grouped by the same keys: Spark splits
+    only a join whose two sides it shuffles.
     """
     added = [c for c in right.columns if c not in keys]
     return (

@@ -663,7 +663,13 @@ def _run_stream(spark, d) -> tuple[StreamPaths, DataFrame]:
     # A pattern, because the table may be one file or a folder of them.
     stream = _line_events(spark.readStream.schema(schema).parquet(f"{d}/lineitem.parque[t]"))
     metrics = run_session(
-        stream, LINE_EVENTS, paths, f"{base}/checkpoint", f"{base}/audit", order_by=EVENT_ORDER
+        stream,
+        LINE_EVENTS,
+        paths,
+        f"{base}/checkpoint",
+        f"{base}/audit",
+        order_by=EVENT_ORDER,
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     return paths, metrics
 

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from lavra.functions.predicates import holds
 
-BAD_JSON = "json inválido"
+# Error texts in quarantine.
+MISSING = "campo obrigatório ausente: "
 DUPLICATE = "evento duplicado"
+BAD_JSON = "json inválido"
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,7 @@ def _listed(errors: list[Column]) -> Column:
 def event_errors(spec: EventSpec, bad_json: Column | None = None) -> Column:
     """All errors of an event, in order; an empty array for a good one."""
     absent = [F.col(f).isNull() | (F.col(f).cast("string") == "") for f in spec.required]
-    missing = [F.when(a, F.lit(f"campo obrigatório ausente: {f}")) for f, a in zip(spec.required, absent)]
+    missing = [F.when(a, F.lit(MISSING + f)) for f, a in zip(spec.required, absent)]
     failed = [F.when(~holds(good), F.coalesce(text, F.lit(""))) for text, good in spec.checks()]
     errors = F.when(reduce(Column.__or__, absent, F.lit(False)), _listed(missing)).otherwise(_listed(failed))
     if bad_json is None:

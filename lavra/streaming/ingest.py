@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from lavra.folders import drop_folder, exists
 from lavra.functions.times import parse_iso, seconds_between
@@ -129,11 +129,14 @@ def start_ingest(
     seen: DataFrame | None = None,
     order_by: Sequence[str] = (),
     name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the ingestion of decoded events.
 
     Without `interval` it takes what is there and stops; with one it runs on.
-    The number of rows per batch is set on the source. `seen` holds ids that an
+    The number of rows per batch is set on the source. `state_partitions` is
+    the number of parts of the id counts, fixed by the first start of a
+    checkpoint; by default it is the session's shuffle partitions. `seen` holds ids that an
     earlier checkpoint brought in, for a start with a new one.
     """
     events = validate_events(stream, spec)
@@ -162,9 +165,21 @@ def start_ingest(
     )
     if name:
         writer = writer.queryName(name)
-    if interval:
-        return writer.trigger(processingTime=interval).start()
-    return writer.trigger(availableNow=True).start()
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return _start(writer, stream.sparkSession, state_partitions)
+
+
+def _start(writer: DataStreamWriter, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a query, which takes its settings from the session at this moment."""
+    if state_partitions is None:
+        return writer.start()
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, state_partitions)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(setting, before)
 
 
 def session_metrics(spark: SparkSession, paths: StreamPaths, after_batch: int = -1) -> DataFrame:
