@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,3 +24,15 @@ def words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """`body` of a value that is computed once, however often the body names it."""
     return F.transform(F.array(value), body)[0]
+
+
+def share_code(spark: SparkSession | None = None) -> None:
+    """Let Python workers find this package where the driver has it.
+
+    On machines without that folder, ship the package with `--py-files` as usual.
+    """
+    context = (spark or SparkSession.active()).sparkContext
+    root = str(Path(__file__).resolve().parents[2])
+    paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import chat, cleaning, mixing
+from lavra.llm import chat, cleaning, mixing, pages, pieces
 from lavra.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,12 +18,30 @@ def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    found = table(spark, sf_dir, "pages").select("page_id", "url", pages.extract(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation from every speaker's side; the spans as text."""
     spans = F.transform("trained", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string")))
     return chat.rotate(table(spark, sf_dir, "conversations")).withColumn("trained", F.array_join(spans, ","))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The piece ids of every document, and whether decoding them gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = docs.withColumn("ids", pieces.encode(spark, F.col("text")))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        pieces.decode(spark, F.col("ids")).eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document and epoch the block of the mixture it is dealt to."""
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -32,7 +50,9 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_line_rules": op2_line_rules,
+    "op3_main_text": op3_main_text,
     "op6_perspectives": op6_perspectives,
+    "op9_pieces": op9_pieces,
     "op10_temperature_mix": op10_temperature_mix,
 }
 
