@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import chat, cleaning, mixing, pages, pieces
+from lavra.llm import chat, cleaning, mixing, pages, pieces, secrets, toxicity
 from lavra.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +24,27 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every document, from labels of the documents that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = toxicity.train(docs, labels.where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation from every speaker's side; the spans as text."""
     spans = F.transform("trained", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string")))
     return chat.rotate(table(spark, sf_dir, "conversations")).withColumn("trained", F.array_join(spans, ","))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.findings(docs, secrets.scanner_for(docs))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The piece ids of every document, and whether decoding them gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,7 +66,9 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_line_rules": op2_line_rules,
     "op3_main_text": op3_main_text,
+    "op5_toxicity": op5_toxicity,
     "op6_perspectives": op6_perspectives,
+    "op8_secrets": op8_secrets,
     "op9_pieces": op9_pieces,
     "op10_temperature_mix": op10_temperature_mix,
 }
