@@ -2,7 +2,7 @@
 
 The kernel of two strings compares their subsequences of three characters, each weighted by
 `DECAY` to the power of its span, so gaps and inserted characters cost but do not hide a word.
-Landmarks are the words that tell labels apart best; the Nyström map turns the kernel to them
+Landmarks are the words and word starts that tell labels apart best; the Nyström map turns the kernel to them
 into a few numbers per word, on which a linear machine with squared hinge loss is trained. As the
 machine is linear in the subsequences, scoring needs one look-up for each subsequence.
 
@@ -58,9 +58,13 @@ def tokens(text: str) -> list[str]:
     return found + ["".join(c for c in m if c.isalnum()) for m in _SPACED.findall(text)]
 
 
-def subsequences(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def edged(strings: list[str]) -> list[str]:
+    """Words with a mark for their start and end."""
+    return [_EDGE[0] + s + _EDGE[1] for s in strings]
+
+
+def subsequences(marked: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, hashed subsequence and weight of every string; equal ones of a string summed, rows of length 1."""
-    marked = [_EDGE[0] + s + _EDGE[1] for s in strings]
     lengths = np.array([len(s) for s in marked], np.int64)
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     row = np.repeat(np.arange(len(marked)), lengths)
@@ -96,7 +100,7 @@ class Model:
     def values(self, strings: list[str]) -> np.ndarray:
         if not strings:
             return np.zeros(0)
-        row, key, weight = subsequences(strings)
+        row, key, weight = subsequences(edged(strings))
         return np.bincount(row, weight * self.weight[key], len(strings)) + self.offset
 
     def worst(self, texts: list[str | None]) -> np.ndarray:
@@ -122,20 +126,30 @@ class Model:
         return {**self.__dict__, "seen": {}, "weight": self.weight.astype(np.float32)}
 
 
-def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights and offset of a linear machine with squared hinge loss, by Newton steps."""
-    x = np.column_stack([x, np.ones(len(x))])
+def _machine(x: np.ndarray, cost: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights and offset of a linear machine with squared hinge loss, by Newton steps.
+
+    `cost` has for each instance what it costs on the wrong side of label 0 and of label 1.
+    """
+    x = np.column_stack([x, np.ones(len(x), x.dtype)])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
     w = np.zeros(x.shape[1])
     for _ in range(30):
-        gap = 1 - y * (x @ w)
-        on = gap > 0
-        gradient = penalty * w - 2 * (x[on] * (cost * y * gap)[on, None]).sum(axis=0)
-        hessian = np.diag(penalty) + 2 * (x[on] * cost[on, None]).T @ x[on]
+        value = x @ w
+        pull = np.zeros(len(x))
+        active = np.zeros(len(x))
+        for y, c in ((-1, cost[0]), (1, cost[1])):
+            gap = 1 - y * value
+            on = (gap > 0) & (c > 0)
+            pull[on] += c[on] * y * gap[on]
+            active[on] += c[on]
+        used = np.flatnonzero(active)
+        gradient = penalty * w - 2 * (x[used].T @ pull[used])
+        hessian = np.diag(penalty) + 2 * ((x[used] * active[used, None].astype(x.dtype)).T @ x[used]).astype(float)
         step = np.linalg.solve(hessian, gradient)
         w -= step
-        if np.abs(step).max() < 1e-8:
+        if np.abs(step).max() < 1e-6:
             break
     return w
 
@@ -154,79 +168,106 @@ def _curve(value: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[float, f
     return float(w[0]), float(w[1])
 
 
-def _landmarks(bags: list[set[str]], y: np.ndarray, n: int) -> list[str]:
-    """The words whose share of texts differs most between the labels, in units of its error."""
-    counts: dict[str, list[int]] = {}
+def _starts(word: str) -> set[str]:
+    """A word with its edges, and its first letters, four to eight of them."""
+    marked = _EDGE[0] + word + _EDGE[1]
+    return {marked} | {marked[: n + 1] for n in range(4, min(8, len(word)) + 1)}
+
+
+def _landmarks(bags: list[np.ndarray], vocabulary: list[str], y: np.ndarray, n: int) -> list[str]:
+    """The words and word starts whose share of texts differs most between the labels, in units of its error."""
+    starts = [_starts(w) for w in vocabulary]
+    place = {s: i for i, s in enumerate(sorted(set().union(*starts)))}
+    of = [np.array([place[s] for s in own]) for own in starts]
+    counts = np.zeros((2, len(place)))
     for bag, label in zip(bags, y, strict=True):
-        for w in bag:
-            counts.setdefault(w, [0, 0])[int(label)] += 1
-    total = [max(1, int((y == 0).sum())), max(1, int(y.sum()))]
-    rated = []
-    for w, (a, b) in counts.items():
-        if a + b >= 3:
-            p = (a + b) / sum(total)
-            gap = b / total[1] - a / total[0]
-            rated.append((gap / (p * (1 - p) * (1 / total[0] + 1 / total[1]) + 1e-12) ** 0.5, w))
-    rated.sort(key=lambda r: (-r[0], r[1]))
-    return [w for _, w in rated[: n - n // 4]] + [w for _, w in rated[::-1][: n // 4]]
+        if len(bag):
+            counts[int(label), np.unique(np.concatenate([of[i] for i in bag]))] += 1
+    total = np.array([max(1, (y == 0).sum()), max(1, y.sum())])
+    share = counts.sum(axis=0) / total.sum()
+    error = np.sqrt(share * (1 - share) * (1 / total).sum()) + 1e-9
+    z = np.where(counts.sum(axis=0) >= 3, (counts[1] / total[1] - counts[0] / total[0]) / error, 0.0)
+    names = sorted(place)
+    order = sorted(range(len(names)), key=lambda i: (-z[i], -len(names[i]), names[i]))
+    picked: list[str] = []
+    seen: set[tuple] = set()
+    for i in order:
+        same = (counts[0, i], counts[1, i], names[i][:5])  # starts of the same words tell the same
+        if same not in seen and len(picked) < n - n // 4:
+            seen.add(same)
+            picked.append(names[i])
+    return picked + [names[i] for i in order[::-1][: n // 4] if names[i] not in seen]
+
+
+def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
+    """Kernel of every word to every landmark, some thousand words at a time."""
+    row, key, weight = subsequences(landmarks)
+    keys, column = np.unique(key, return_inverse=True)
+    table = np.zeros((len(keys), len(landmarks)), np.float32)
+    table[column, row] = weight
+    out = np.zeros((len(words), len(landmarks)), np.float32)
+    for start in range(0, len(words), 4000):
+        part = words[start : start + 4000]
+        row, key, weight = subsequences(part)
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        hit = keys[at] == key
+        row, at, weight = row[hit], at[hit], weight[hit]
+        if len(row):
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            out[start + row[first]] = np.add.reduceat(table[at] * weight[:, None].astype(np.float32), first)
+    return out
 
 
 def fit(texts: list[str], labels: list[int], shares: tuple[int, int], landmarks: int = 128, rounds: int = 3) -> Model:
     """A model from labelled texts; `shares` are how many texts have label 0 and 1 in all."""
     y = np.array(labels, float)
-    prior = shares[1] / max(1, sum(shares))
-    if len(set(labels)) < 2:
-        prior = min(max(prior, 1e-6), 1 - 1e-6)
-        return Model(np.zeros(_TABLE), 0.0, 0.0, float(np.log(prior / (1 - prior))), 0.0)
-    sentences = [[t for t in _SENTENCE.split(text or "") if t.strip()] for text in texts]
-    bags = [[{f for t in tokens(s) for f in forms(t)} for s in of] for of in sentences]
-    vocabulary = sorted(set().union(*[b for of in bags for b in of]))
-    place = {w: i for i, w in enumerate(vocabulary)}
-    marks = [place[w] for w in _landmarks([set().union(*of) if of else set() for of in bags], y, landmarks)]
-    row, key, weight = subsequences(vocabulary)
-    starts = np.searchsorted(row, np.arange(len(vocabulary) + 1))
-    # kernel of all words to the landmarks, one landmark at a time over the hashed subsequences
-    kernel = np.empty((len(vocabulary), len(marks)), np.float32)
-    dense = np.zeros(_TABLE)
-    for k, m in enumerate(marks):
-        own = slice(starts[m], starts[m + 1])
-        dense[key[own]] = weight[own]
-        kernel[:, k] = np.bincount(row, weight * dense[key], len(vocabulary))
-        dense[key[own]] = 0
-    value, vector = np.linalg.eigh(kernel[marks].astype(float))
-    good = value > 1e-6
+    prior = min(max(shares[1] / max(1, sum(shares)), 1e-6), 1 - 1e-6)
+    constant = Model(np.zeros(_TABLE), 0.0, 0.0, float(np.log(prior / (1 - prior))), 0.0)
+    place: dict[str, int] = {}
+    # a text as sentences, a sentence as the places of its words
+    ids = []
+    for text in texts:
+        bags = [{f for t in tokens(s) for f in forms(t)} for s in _SENTENCE.split(text or "")]
+        ids.append([np.array(sorted(place.setdefault(w, len(place)) for w in b)) for b in bags if b])
+    if len(set(labels)) < 2 or not place:
+        return constant
+    vocabulary = list(place)
+    words_of = [np.unique(np.concatenate(of)) if of else np.zeros(0, int) for of in ids]
+    marks = _landmarks(words_of, vocabulary, y, landmarks)
+    value, vector = np.linalg.eigh(_kernel(marks, marks).astype(float))
+    good = value > 1e-4
     root = vector[:, good] / np.sqrt(value[good])  # the Nyström map
-    mapped = kernel @ root
-    # instances: a sentence is its worst word; before the first round every word counts for its text
-    ids = [[np.array([place[w] for w in b]) for b in of if b] for of in bags]
+    kernel = _kernel(edged(vocabulary), marks)
+    # words unlike every landmark are one instance at the origin
+    near = np.flatnonzero(kernel.max(axis=1) >= 0.1)
+    mapped = np.vstack([kernel[near] @ root.astype(np.float32), np.zeros((1, root.shape[1]), np.float32)])
+    row_of = np.full(len(vocabulary), len(near))
+    row_of[near] = np.arange(len(near))
+    del kernel
+    ids = [[np.unique(row_of[b]) for b in of] for of in ids]
     words_of = [np.unique(np.concatenate(of)) if of else np.zeros(0, int) for of in ids]
-    cost = np.zeros((2, len(vocabulary)))
+    cost = np.zeros((2, len(mapped)))
     for own, label in zip(words_of, y, strict=True):
         cost[int(label), own] += 1
+    # before the first round a word counts for label 1 as far as it is more frequent there than by chance
     expected = cost[0] * y.sum() / max(1, (y == 0).sum())
-    positive = np.maximum(cost[1] - expected - 2 * np.sqrt(expected + 1), 0)
+    cost[1] = np.maximum(cost[1] - expected - 2 * np.sqrt(expected + 1), 0)
     for step in range(rounds):
-        used = np.flatnonzero((positive > 0) | (cost[0] > 0))
-        x = np.vstack([mapped[used], mapped[used]])
-        both = np.concatenate([positive[used], cost[0][used]])
-        on = both > 0
-        target = np.concatenate([np.ones(len(used)), -np.ones(len(used))])
-        w = _machine(x[on], target[on], both[on])
+        if not cost[1].any():
+            return constant
+        w = _machine(mapped, cost)
         values = mapped @ w[:-1] + w[-1]
         if step + 1 < rounds:
-            positive = np.zeros(len(vocabulary))
+            cost[1] = 0
             for of, label in zip(ids, y, strict=True):
                 if label and of:
                     worst = max((b[values[b].argmax()] for b in of), key=lambda i: values[i])
-                    if values[worst] > 0:
-                        positive[worst] += 1
-            if not positive.any():
-                break
+                    if values[worst] > -0.5:
+                        cost[1, worst] += 1
     alpha = root @ w[:-1]
+    row, key, weight = subsequences(marks)
     folded = np.zeros(_TABLE)
-    for a, m in zip(alpha, marks, strict=True):
-        own = slice(starts[m], starts[m + 1])
-        folded[key[own]] += a * weight[own]
+    np.add.at(folded, key, alpha[row] * weight)
     floor = float(values.min())
     worst = np.array([values[own].max() if len(own) else floor for own in words_of])
     share = np.where(y == 1, shares[1] / y.sum(), shares[0] / (y == 0).sum())
@@ -235,7 +276,7 @@ def fit(texts: list[str], labels: list[int], shares: tuple[int, int], landmarks:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-          bound: int = 1500, **options) -> Model:
+          bound: int = 1000, **options) -> Model:
     """A model from at most `bound` texts of each label; rows without id or label take no part."""
     known = labels.select(F.col(key), F.col(label).cast("int").alias("_label")).where(f"{key} is not null and _label in (0, 1)")
     counts = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
