@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import chat, cleaning, mixing, pages, pieces, secrets, toxicity
+from lavra.llm import chat, cleaning, mixing, neighbours, pages, pieces, secrets, toxicity
 from lavra.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations")).withColumn("trained", F.array_join(spans, ","))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found for every vector whose id is divisible by 100."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every document with the forest's verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op3_main_text": op3_main_text,
     "op5_toxicity": op5_toxicity,
     "op6_perspectives": op6_perspectives,
+    "op7_neighbours": op7_neighbours,
     "op8_secrets": op8_secrets,
     "op9_pieces": op9_pieces,
     "op10_temperature_mix": op10_temperature_mix,
