@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import chat, cleaning, mixing, neighbours, pages, pieces, secrets, toxicity
+from lavra.llm import chat, cleaning, mixing, neighbours, pages, perplexity, pieces, secrets, toxicity
 from lavra.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity, limit and verdict of every document; texts labelled good are the trusted ones."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged = perplexity.classify(docs, labels.where("quality = 1"), keep=["doc_id", "lang"])
+    return judged.select(
+        "doc_id", "lang", F.col("_perplexity").alias("perplexity"), F.col("_limit").alias("max_perplexity"),
+        F.col("_kept").alias("kept"),
+    )
+
+
 def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the verdict of the line rules for every document."""
     return cleaning.clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
@@ -69,6 +79,7 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_line_rules": op2_line_rules,
     "op3_main_text": op3_main_text,
     "op5_toxicity": op5_toxicity,
