@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import chat, cleaning, mixing, neighbours, pages, perplexity, pieces, secrets, toxicity
+from lavra.llm import chat, cleaning, jaccard, mixing, neighbours, pages, perplexity, pieces, secrets, toxicity
 from lavra.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document, links being a shingle similarity of 0.8 or more."""
+    return jaccard.join_components(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score for every document, from labels of the documents that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_line_rules": op2_line_rules,
     "op3_main_text": op3_main_text,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_toxicity": op5_toxicity,
     "op6_perspectives": op6_perspectives,
     "op7_neighbours": op7_neighbours,
