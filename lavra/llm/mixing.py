@@ -188,22 +188,20 @@ def mixture_plan(
 def mix(
     docs: DataFrame, target: Mixture | None = None, source: str = "source", key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The mixture: each row as often as it is used, with `_epoch` and `_block`."""
+    """The mixture: each row, in the struct `_row`, as often as it is used, with `_epoch` and `_block`."""
     target = target or Mixture()
     plan = mixture_plan(docs, target, source, key, text)
     total = plan.agg(F.sum(F.col("epochs") * F.col("tokens"))).first()[0] or 0.0
     blocks = max(1, int(-(-total // target.block_tokens)))
-    used = docs.join(
-        plan.select(F.col(source).alias("_source"), "whole", "epochs", "cutoff"),
-        F.col(source).eqNullSafe(F.col("_source")),
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(source).alias("_from"), F.col(key).alias("_key"))
+    used = rows.join(
+        plan.select(F.col(source).alias("_source"), "whole", "epochs", "cutoff"), F.col("_from").eqNullSafe(F.col("_source"))
     )
-    last = F.col("cutoff").isNotNull() & (_order(target.seed, F.col("whole"), key) <= F.col("cutoff"))
+    last = F.col("cutoff").isNotNull() & (_order(target.seed, F.col("whole"), "_key") <= F.col("cutoff"))
     copies = F.col("whole") + F.when(last, 1).otherwise(0)
     dealt = used.withColumn("_copies", copies).where("_copies > 0").withColumn(
         "_epoch", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))
     )
-    place = F.conv(F.substring(_order(target.seed, F.col("_epoch"), key), 1, 8), 16, 10).cast("double") / 2.0**32
+    place = F.conv(F.substring(_order(target.seed, F.col("_epoch"), "_key"), 1, 8), 16, 10).cast("double") / 2.0**32
     block = F.floor((F.col("_epoch") + place) / F.greatest("epochs", F.col("_copies")) * blocks)
-    return dealt.withColumn("_block", F.least(block, F.lit(blocks - 1)).cast("int")).select(
-        *docs.columns, "_epoch", "_block"
-    )
+    return dealt.withColumn("_block", F.least(block, F.lit(blocks - 1)).cast("int")).select("_row", "_epoch", "_block")

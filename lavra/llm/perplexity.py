@@ -388,23 +388,29 @@ def classify(
     text: str = "text",
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Rows of `docs` (columns `keep`, else all) with `_perplexity`, `_limit` and `_kept`.
+    """Every row's columns `keep` (all where not given) in the struct `_row`, with `_perplexity`, `_limit` and `_kept`.
 
     `trusted` holds the ids of trusted texts in its column `key`.
     """
     judge = judge or Judge()
+    rows = docs.select(
+        F.struct(*(keep or docs.columns)).alias("_row"),
+        F.col(key).alias("_key"),
+        F.col(language).cast("string").alias("_lang"),
+        F.col(text).alias("_text"),
+    )
     ids = trusted.select(F.col(key).alias("_id")).where("_id is not null").distinct()
-    held = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(judge.held_out)) == 0
-    training = docs.select(key, language, text).where(~held).join(ids, F.col(key) == F.col("_id"), "left_semi")
-    counts = stage(gram_counts(training, language, text, judge.order), "kn-grams")
+    held = F.pmod(F.xxhash64(F.col("_key").cast("string")), F.lit(judge.held_out)) == 0
+    training = rows.select("_key", "_lang", "_text").where(~held).join(ids, F.col("_key") == F.col("_id"), "left_semi")
+    counts = stage(gram_counts(training, "_lang", "_text", judge.order), "kn-grams")
     model = language_model(counts, judge.order)
-    scored = log_perplexity(docs, model, judge, language, text)
-    columns = keep or docs.columns
-    narrow = [c for c in dict.fromkeys([*columns, key, language])]
-    scored = stage(scored.select(*narrow, "_logp"), "kn-scored")
-    marked = scored.select(key, language, "_logp").join(ids.withColumn("_trusted", F.lit(True)), F.col(key) == F.col("_id"), "left")
-    found = limits(marked.withColumn("_held", held), judge, language)
-    judged = scored.join(F.broadcast(stage(found, "kn-limits")), F.col(language).eqNullSafe(F.col("_l")), "left")
+    scored = log_perplexity(rows, model, judge, "_lang", "_text")
+    scored = stage(scored.select("_row", "_key", "_lang", "_logp"), "kn-scored")
+    marked = scored.select("_key", "_lang", "_logp").join(
+        ids.withColumn("_trusted", F.lit(True)), F.col("_key") == F.col("_id"), "left"
+    )
+    found = stage(limits(marked.withColumn("_held", held), judge, "_lang"), "kn-limits")
+    judged = scored.join(F.broadcast(found), F.col("_lang").eqNullSafe(F.col("_l")), "left")  # a row per language
     # no limit: a language without trusted text; no value with a limit: a text without characters
     kept = F.when(F.col("_limit").isNull(), F.lit(True)).otherwise(F.coalesce(F.col("_logp") <= F.col("_limit"), F.lit(False)))
-    return judged.select(*columns, F.exp("_logp").alias("_perplexity"), F.exp("_limit").alias("_limit"), kept.alias("_kept"))
+    return judged.select("_row", F.exp("_logp").alias("_perplexity"), F.exp("_limit").alias("_limit"), kept.alias("_kept"))

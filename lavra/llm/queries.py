@@ -18,7 +18,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     judged = perplexity.classify(docs, labels.where("quality = 1"), keep=["doc_id", "lang"])
     return judged.select(
-        "doc_id", "lang", F.col("_perplexity").alias("perplexity"), F.col("_limit").alias("max_perplexity"),
+        "_row.*", F.col("_perplexity").alias("perplexity"), F.col("_limit").alias("max_perplexity"),
         F.col("_kept").alias("kept"),
     )
 
@@ -80,7 +80,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document and epoch the block of the mixture it is dealt to."""
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return mixed.select("doc_id", "source", F.col("_epoch").alias("epoch"), F.col("_block").alias("block"))
+    return mixed.select("_row.doc_id", "_row.source", F.col("_epoch").alias("epoch"), F.col("_block").alias("block"))
 
 
 QUERIES: dict[str, Query] = {
