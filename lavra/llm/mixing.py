@@ -1,8 +1,8 @@
 """Temperature mixing: sources weighted by their token shares to a power, then dealt into blocks.
 
-The weight of a source is `tokens ** a`, normalised. The exponent `a` is the largest in [0, 1]
-that reaches a target entropy and keeps every source within a limit of repetitions, found by
-bisection. Without a budget the source with the fewest repetitions is used exactly once and so
+The weight of a source is `tokens ** a`, normalised. The exponent `a` is found by bisection in
+[0, 1]: the largest that reaches a target entropy, or the flattest that keeps every source within
+a limit of repetitions; with both targets the limit binds. Without targets it is 1. Without a budget the source with the fewest repetitions is used exactly once and so
 no text is lost; with one, sources may also be used in part.
 
 Realisation: in each epoch the texts of a source stand in the order of a hash of seed, epoch and
@@ -88,7 +88,7 @@ def exponent(shares: DataFrame, target: Mixture) -> float:
     if target.max_repeats is not None:
         spread = top["top"] / top["low"]
         need = _largest(lambda points: [spread ** (1 - a) >= target.max_repeats for a in points])
-        if spread ** (1 - at) > target.max_repeats:
+        if target.entropy_share is None or spread ** (1 - at) > target.max_repeats:
             at = need
     return at
 

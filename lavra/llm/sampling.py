@@ -15,4 +15,4 @@ def bounded_ids(df: DataFrame, key: str, bound: int) -> DataFrame:
 
 def rows_of(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows with one of a bounded set of ids; the set is broadcast, the rows stay where they are."""
-    return df.join(F.broadcast(ids), F.col(key) == F.col("_id"), "left_semi")
+    return df.join(F.broadcast(ids), df[key] == ids["_id"], "left_semi")
