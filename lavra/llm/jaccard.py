@@ -12,11 +12,12 @@ for the few that are left, by frequency, rarest first.
 
 Second level: regions that overlap form groups. A group of at most `leaf` sets is joined in one
 task; sets are sorted by distance to a pivot set, and only those within the limit of each other
-there are compared. A larger group gets pivot sets, each set's home is its nearest pivot, and it
-is replicated to pivots no further than home plus twice the limit. Sets within the limit of a
-pivot link to it, sets that are connected need not meet again, and what is left of the regions
-is joined recursively. A group that pivots fail to split is compared pair by pair, spread over
-tasks. Nothing is capped and no link is lost.
+there are compared. A larger group gets pivot sets; sets within the limit of a pivot link to it,
+and sets that are connected need not meet again. Each set's home is its nearest pivot, and it is
+replicated to pivots no further than home plus twice the limit, where that cuts the group. What is
+left of the regions is joined recursively, by turns with pivots from the smallest components, the
+ones that still have to meet others. What is left after `levels` rounds is compared pair by pair,
+spread over tasks. Nothing is capped and no link is lost.
 
 Equal sets are one class, named by the smallest id, and travel once. Shingles are 64-bit hashes.
 Texts without words have no shingles and no links; a text with fewer words than a shingle has one,
@@ -51,7 +52,7 @@ class Join:
     percent: int = 80
     leaf: int = 256
     pivots: int = 8
-    levels: int = 5
+    levels: int = 12
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -241,52 +242,76 @@ def _overlap(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
-def _pivot_round(rows: DataFrame, members: DataFrame, sets: DataFrame, join: Join, level: int) -> tuple[DataFrame, DataFrame]:
-    """Links of the sets of large groups to pivots, and the rows of their regions cut by pivot cells."""
-    pick = F.xxhash64(F.lit(level), F.col("doc"))
-    order = W.partitionBy("group").orderBy("hash", "doc")
-    chosen = (
-        members.withColumn("hash", pick)
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= join.pivots)
-        .select(F.col("group").alias("g"), F.col("doc").alias("pivot"))
+def _pivots(members: DataFrame, sets: DataFrame, join: Join, level: int) -> DataFrame:
+    """Pivot sets of each large group: any at even levels, at odd ones those of its smallest components."""
+    parts = members.groupBy(F.col("group").alias("pg"), F.col("component").alias("pc")).agg(F.count("*").alias("part"))
+    rated = members.join(parts, (F.col("group") == F.col("pg")) & (F.col("component") == F.col("pc"))).select(
+        "group", "doc", "component", (F.col("part") if level % 2 else F.lit(0)).alias("part"), F.xxhash64(F.lit(level), "doc").alias("hash")
+    )
+    order = W.partitionBy("group").orderBy("part", "hash", "doc")
+    chosen = rated.withColumn("rank", F.row_number().over(order)).where(
+        F.col("rank") <= join.pivots * (4 if level % 2 else 1)
+    )
+    of = sets.select(F.col("doc").alias("pd"), F.col("set").alias("ps"))
+    return stage(
+        chosen.join(of, F.col("doc") == F.col("pd")).select(F.col("group").alias("g"), F.col("doc").alias("pivot"), F.col("component").alias("pc"), "ps"),
+        "jaccard-pivots",
     )
-    pivots = stage(chosen.join(sets.select(F.col("doc").alias("pd"), F.col("set").alias("ps")), F.col("pivot") == F.col("pd")).drop("pd"), "jaccard-pivots")
+
+
+def _pivot_round(rows: DataFrame, members: DataFrame, sets: DataFrame, join: Join, level: int) -> tuple[DataFrame, DataFrame]:
+    """Links of the sets of large groups to pivots, and what is left of their regions.
+
+    A pivot has met its whole group, so it leaves. At even levels regions are cut by the cells of
+    the pivots, for groups whose sets lie in two cells each at most on average.
+    """
+    pivots = _pivots(members, sets, join, level)
     placed = members.join(sets, "doc").join(pivots, F.col("group") == F.col("g"))
-    both = _overlap("set", "ps")
+    if level % 2:  # only pairs that are not connected and whose sizes allow a link
+        n, m = F.size("set"), F.size("ps")
+        placed = placed.where(
+            (F.col("component") != F.col("pc")) & (n * 100 >= m * join.percent) & (m * 100 >= n * join.percent)
+        )
+    measured = placed.withColumn("both", _overlap("set", "ps"))
     union = F.size("set") + F.size("ps") - F.col("both")
-    measured = stage(
-        placed.withColumn("both", both).select("doc", "pivot", "both", union.alias("union")),
-        "jaccard-distances",
-    )
+    measured = stage(measured.select("doc", "group", "pivot", "both", union.alias("union")), "jaccard-distances")
     links = measured.where((F.col("doc") != F.col("pivot")) & (F.col("both") * 100 >= F.col("union") * join.percent)).select(
         F.col("doc").alias("a"), F.col("pivot").alias("b")
     )
+    rows = rows.join(pivots.select("pivot"), F.col("doc") == F.col("pivot"), "left_anti")
+    if level % 2:
+        return links, rows
     distance = 1 - F.col("both") / F.col("union")
     home = measured.groupBy(F.col("doc").alias("hd")).agg(F.min(distance).alias("home"))
     window = 2 * (1 - join.percent / 100) + 1e-9
-    cells = measured.join(home, F.col("doc") == F.col("hd")).where(distance <= F.col("home") + window).select(
-        F.col("doc").alias("cd"), "pivot"
+    cells = stage(
+        measured.join(home, F.col("doc") == F.col("hd")).where(distance <= F.col("home") + window).select("doc", "group", "pivot"),
+        "jaccard-cells",
     )
-    cut = rows.join(cells, F.col("doc") == F.col("cd")).select(F.xxhash64("h", "pivot").alias("h"), "doc")
-    return links, cut
+    helped = cells.groupBy(F.col("group").alias("g2")).agg((F.count("*") / F.count_distinct("doc")).alias("cells")).where("cells <= 2")
+    cells = cells.join(helped, F.col("group") == F.col("g2"), "left_semi").select(F.col("doc").alias("cd"), F.col("pivot").alias("cell"))
+    cut = rows.join(cells, F.col("doc") == F.col("cd"), "left")
+    return links, cut.select(F.when(F.col("cell").isNull(), F.col("h")).otherwise(F.xxhash64("h", "cell")).alias("h"), "doc")
 
 
 def links(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     """Enough links (a, b) to connect all that are linked, found region by region."""
     found = sets.sparkSession.createDataFrame([], "a long, b long")
-    whole = sets
     for level in range(join.levels + 1):
-        labels = components(found, "a", "b") if level else None
-        if labels is not None:
+        known = rows.withColumn("component", F.col("doc"))
+        if level:
+            labels = components(found, "a", "b")
             known = rows.join(labels, F.col("doc") == F.col("node"), "left").select(
                 "h", "doc", F.coalesce("component", "doc").alias("component")
             )
-        else:
-            known = rows.withColumn("component", F.col("doc"))
         # regions whose sets are all connected are done
-        open_ = known.groupBy(F.col("h").alias("h2")).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc").alias("first"))
-        known = stage(known.join(open_.where("low <> high"), F.col("h") == F.col("h2")).select("h", "doc", "component", "first"), "jaccard-open")
+        ends = known.groupBy(F.col("h").alias("h2")).agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc").alias("first")
+        )
+        known = stage(
+            known.join(ends.where("low <> high"), F.col("h") == F.col("h2")).select("h", "doc", "component", "first"),
+            "jaccard-open",
+        )
         if known.isEmpty():
             break
         groups = components(known.where("doc <> first").select("doc", "first").distinct(), "doc", "first")
@@ -299,15 +324,15 @@ def links(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
             .select("doc", "group", "size", F.col("label").alias("component")),
             "jaccard-groups",
         )
-        small = members.where(F.col("size") <= join.leaf).join(whole, "doc").select("group", "doc", "component", "set")
+        small = members.where(F.col("size") <= join.leaf).join(sets, "doc").select("group", "doc", "component", "set")
         new = small.groupBy("group").applyInArrow(_leaf_links(join), "a long, b long")
-        large = members.where(F.col("size") > join.leaf).select("doc", "group")
+        large = members.where(F.col("size") > join.leaf).select("doc", "group", "component")
         if large.isEmpty():
             return stage(found.unionByName(new), "jaccard-links")
         rows = known.select("h", "doc").join(large.select("doc"), "doc", "left_semi").select("h", "doc")
         if level == join.levels:
-            return stage(found.unionByName(new).unionByName(_all_pairs(rows, members, whole, join)), "jaccard-links")
-        pivot_links, rows = _pivot_round(rows, large, whole, join, level)
+            return stage(found.unionByName(new).unionByName(_all_pairs(rows, members, sets, join)), "jaccard-links")
+        pivot_links, rows = _pivot_round(rows, large, sets, join, level)
         rows = stage(rows, "jaccard-regions")
         found = stage(found.unionByName(new).unionByName(pivot_links), "jaccard-links")
     return found
