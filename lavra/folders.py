@@ -25,3 +25,9 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder, if it is there."""
     fs, target = _folder(spark, path)
     fs.delete(target, True)
+
+
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file, made in one step."""
+    fs, target = _folder(spark, path)
+    fs.create(target, True).close()

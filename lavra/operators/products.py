@@ -40,6 +40,7 @@ def target_comparison(
     region_key: str | None = None,
     as_of: Column | None = None,
     null_safe: bool = True,
+    target_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Measure with its dimension, target, gap, attainment and status.
 
@@ -48,6 +49,9 @@ def target_comparison(
     table the target is null and every status says so. Set `null_safe` off
     where no entity or period is null.
 
+    A target is looked up by period and entity, or by `target_keys`, which may
+    name dimension columns: a target per nation is then one row per nation.
+
     The region is looked up for the dimension, so the measure is joined with
     one table for both.
     """
@@ -59,8 +63,9 @@ def target_comparison(
         named = left_lookup(named, region, [region_key], null_safe)
     result = left_lookup(base, named, [entity], null_safe)
     if target is not None:
-        wanted = _target(target, [period, entity], period, target_value, "target")
-        result = left_lookup(result, wanted, [period, entity], null_safe)
+        keys = list(target_keys or (period, entity))
+        wanted = _target(target, keys, period, target_value, "target")
+        result = left_lookup(result, wanted, keys, null_safe)
     else:
         result = result.withColumn("target", F.lit(None).cast("double"))
     v, t = F.col(value), F.col("target")

@@ -194,7 +194,7 @@ def report(
     )
     return counts.select(
         F.lit(run_id).alias("quality_run_id"),
-        F.lit(f"{layer}_{entity}").alias("pipeline"),
+        F.lit(f"quality_{entity}").alias("pipeline"),
         F.lit(entity).alias("entity"),
         F.lit(layer).alias("layer"),
         report_status(invalid).alias("status"),

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.operators import quality as Q
@@ -86,14 +86,18 @@ def ingest(
     """Check the contract, add lineage, write bronze, load, log the run."""
     started = audit.utc_now()
     ingestion_id, at = ingestion_id or str(uuid4()), at or started
-    df = check_contract(reader(spark, source), source)
+    delivered = Observation()
+    df = check_contract(reader(spark, source), source).observe(delivered, F.count(F.lit(1)).alias("rows"))
     path = layout.bronze(source.name)
-    read = write_bronze(to_bronze(df, source, ingestion_id, at), path, ingestion_id, at)
+    written = write_bronze(to_bronze(df, source, ingestion_id, at), path, ingestion_id, at)
+    # counted as the reader gave them, in the pass that wrote them
+    read = delivered.get["rows"]
+    tb.require_equal(f"bronze write of {source.name}", read, written)
     loaded = None
     if loader is not None:
         day = at.astimezone(timezone.utc).date().isoformat()
-        written = f"{path}/ingestion_date={day}/_ingestion_id={ingestion_id}"
-        rows = spark.read.option("basePath", path).parquet(written).drop("ingestion_date")
+        folder = f"{path}/ingestion_date={day}/_ingestion_id={ingestion_id}"
+        rows = spark.read.option("basePath", path).parquet(folder).drop("ingestion_date")
         loaded = loader(rows, source.name)
         tb.require_equal(f"bronze load of {source.name}", read, loaded)
     run = audit.pipeline_run(
@@ -104,7 +108,7 @@ def ingest(
         "SUCCESS",
         started,
         records_read=read,
-        records_written=read,
+        records_written=written,
     )
     audit.append_audit(run, layout.audit, "pipeline_runs")
     return IngestResult(source.name, ingestion_id, read, loaded)
@@ -154,7 +158,7 @@ def build_silver(
     counts = {}
     for status, part in (("VALID", valid), ("INVALID", invalid)):
         out = silver_columns(part.drop("ingestion_date"), status, processed)
-        counts[status] = tb.write_partition(out, paths[status], processing_date=day, _quality_run_id=run_id)
+        counts[status] = tb.write_partition(out, paths[status], started, processing_date=day, _quality_run_id=run_id)
     valid_count, invalid_count = counts["VALID"], counts["INVALID"]
     written = {s: f"{path}/processing_date={day}/_quality_run_id={run_id}" for s, path in paths.items()}
     tb.require_equal(f"quality split of {spec.entity}", bronze_count, valid_count + invalid_count)
@@ -216,9 +220,7 @@ def read_silver(spark: SparkSession, layout: Layout, entity: str) -> DataFrame |
     path = layout.silver(entity)
     if not tb.partition_values(spark, path, "processing_date"):
         return None
-    return tb.read_latest_snapshot(
-        spark, path, "processing_date", "_quality_run_id", "_silver_processed_timestamp"
-    ).drop("processing_date", "_quality_run_id")
+    return tb.read_latest_snapshot(spark, path).drop("processing_date", "_quality_run_id")
 
 
 def write_gold(df: DataFrame, layout: Layout, product: str, day: str, loader: Loader | None = None) -> DataFrame | None:

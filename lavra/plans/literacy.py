@@ -57,56 +57,88 @@ STATES = (
 )
 STATE_CODES = tuple(sorted(s[1] for s in STATES))
 
-# Datasets, tables, columns (! marks one that may not be null) and keys.
+# Datasets, tables, columns with their types, and keys.
 _LEARNING = "basedosdados.br_inep_avaliacao_alfabetizacao"
 _PLACES = "basedosdados.br_bd_diretorios_brasil"
-_DECLARED = {
-    "municipio": (
-        f"{_PLACES}.municipio",
-        "id_municipio STRING!, nome STRING!, sigla_uf STRING!",
-        "id_municipio",
+SOURCES: dict[str, Source] = {
+    "municipio": Source(
+        name="municipio",
+        table_id=f"{_PLACES}.municipio",
+        columns=(
+            ColumnContract("id_municipio", "STRING", nullable=False),
+            ColumnContract("nome", "STRING", nullable=False),
+            ColumnContract("sigla_uf", "STRING", nullable=False),
+        ),
+        keys=("id_municipio",),
     ),
-    "uf": (
-        f"{_PLACES}.uf",
-        "codigo_uf STRING!, sigla_uf STRING!, nome STRING!, regiao STRING!",
-        "sigla_uf",
+    "uf": Source(
+        name="uf",
+        table_id=f"{_PLACES}.uf",
+        columns=(
+            ColumnContract("codigo_uf", "STRING", nullable=False),
+            ColumnContract("sigla_uf", "STRING", nullable=False),
+            ColumnContract("nome", "STRING", nullable=False),
+            ColumnContract("regiao", "STRING", nullable=False),
+        ),
+        keys=("sigla_uf",),
     ),
-    "meta_brasil": (f"{_LEARNING}.meta_alfabetizacao_brasil", "ano INTEGER!, valor_meta FLOAT!", "ano"),
-    "meta_uf": (
-        f"{_LEARNING}.meta_alfabetizacao_uf",
-        "ano INTEGER!, sigla_uf STRING!, valor_meta FLOAT!",
-        "ano, sigla_uf",
+    "meta_brasil": Source(
+        name="meta_brasil",
+        table_id=f"{_LEARNING}.meta_alfabetizacao_brasil",
+        columns=(
+            ColumnContract("ano", "INTEGER", nullable=False),
+            ColumnContract("valor_meta", "FLOAT", nullable=False),
+        ),
+        keys=("ano",),
     ),
-    "meta_municipio": (
-        f"{_LEARNING}.meta_alfabetizacao_municipio",
-        "ano INTEGER!, id_municipio STRING!, valor_meta FLOAT!",
-        "ano, id_municipio",
+    "meta_uf": Source(
+        name="meta_uf",
+        table_id=f"{_LEARNING}.meta_alfabetizacao_uf",
+        columns=(
+            ColumnContract("ano", "INTEGER", nullable=False),
+            ColumnContract("sigla_uf", "STRING", nullable=False),
+            ColumnContract("valor_meta", "FLOAT", nullable=False),
+        ),
+        keys=("ano", "sigla_uf",),
     ),
-    "indicador_alfabetizacao": (
-        f"{_LEARNING}.municipio",
-        "ano INTEGER!, id_municipio STRING!, serie STRING, rede STRING, taxa_alfabetizacao FLOAT!",
-        "ano, id_municipio",
+    "meta_municipio": Source(
+        name="meta_municipio",
+        table_id=f"{_LEARNING}.meta_alfabetizacao_municipio",
+        columns=(
+            ColumnContract("ano", "INTEGER", nullable=False),
+            ColumnContract("id_municipio", "STRING", nullable=False),
+            ColumnContract("valor_meta", "FLOAT", nullable=False),
+        ),
+        keys=("ano", "id_municipio",),
     ),
-    "aluno": (
-        f"{_LEARNING}.alunos",
-        "ano INTEGER!, id_municipio STRING, id_aluno STRING!, rede STRING, serie STRING, alfabetizado STRING",
-        "ano, id_aluno",
+    "indicador_alfabetizacao": Source(
+        name="indicador_alfabetizacao",
+        table_id=f"{_LEARNING}.municipio",
+        columns=(
+            ColumnContract("ano", "INTEGER", nullable=False),
+            ColumnContract("id_municipio", "STRING", nullable=False),
+            ColumnContract("serie", "STRING", nullable=True),
+            ColumnContract("rede", "STRING", nullable=True),
+            ColumnContract("taxa_alfabetizacao", "FLOAT", nullable=False),
+        ),
+        keys=("ano", "id_municipio",),
+    ),
+    "aluno": Source(
+        name="aluno",
+        table_id=f"{_LEARNING}.alunos",
+        columns=(
+            ColumnContract("ano", "INTEGER", nullable=False),
+            ColumnContract("id_municipio", "STRING", nullable=True),
+            ColumnContract("id_aluno", "STRING", nullable=False),
+            ColumnContract("rede", "STRING", nullable=True),
+            ColumnContract("serie", "STRING", nullable=True),
+            ColumnContract("alfabetizado", "STRING", nullable=True),
+        ),
+        keys=("ano", "id_aluno",),
     ),
 }
 
 
-def _source(name: str) -> Source:
-    table, columns, keys = _DECLARED[name]
-    contracts = []
-    for column in columns.split(", "):
-        column_name, kind = column.split(" ")
-        contracts.append(ColumnContract(column_name, kind.rstrip("!"), not kind.endswith("!")))
-    return Source(name, table, tuple(contracts), tuple(keys.split(", ")))
-
-
-SOURCES: dict[str, Source] = {name: _source(name) for name in _DECLARED}
-
-
 def states(spark: SparkSession) -> DataFrame:
     """The state dimension. Its 27 rows are the one table that is always broadcast."""
     return F.broadcast(
@@ -138,66 +170,85 @@ def _municipality() -> Rule:
     return Rule("id_municipio.seven_digits", matches_regex(F.col("id_municipio"), r"\d{7}"), "id_municipio")
 
 
-def _spec(entity: str, required: str, rules: list[Rule], keys: str, strip: str = "", upper: str = "", **more) -> QualitySpec:
-    functions = {c: strip_text for c in strip.split()} | {c: upper_text for c in upper.split()}
-    return QualitySpec(entity, required.split(), rules, keys.split(), standardizers=functions, **more)
-
-
 # One builder per entity: column expressions need a running session.
+# Required columns, rules, keys and standardised columns.
 SPECS: Mapping[str, Callable[[], QualitySpec]] = {
-    "municipio": lambda: _spec(
-        "municipio",
-        "id_municipio nome sigla_uf",
-        [_filled("id_municipio"), _municipality(), _filled("nome"), _filled("sigla_uf"), _state()],
-        keys="id_municipio",
-        strip="id_municipio nome",
-        upper="sigla_uf",
+    "municipio": lambda: QualitySpec(
+        entity="municipio",
+        required=["id_municipio", "nome", "sigla_uf"],
+        rules=[
+            _filled("id_municipio"),
+            _municipality(),
+            _filled("nome"),
+            _filled("sigla_uf"),
+            _state(),
+        ],
+        unique_keys=["id_municipio"],
+        standardizers={"id_municipio": strip_text, "nome": strip_text, "sigla_uf": upper_text},
     ),
-    "uf": lambda: _spec(
-        "uf",
-        "codigo_uf sigla_uf nome",
-        [
+    "uf": lambda: QualitySpec(
+        entity="uf",
+        required=["codigo_uf", "sigla_uf", "nome"],
+        rules=[
             Rule("codigo_uf.two_digits", matches_regex(F.col("codigo_uf"), r"\d{2}"), "codigo_uf"),
             _state(),
             _filled("nome"),
         ],
-        keys="sigla_uf",
-        strip="codigo_uf nome",
-        upper="sigla_uf",
+        unique_keys=["sigla_uf"],
+        standardizers={"codigo_uf": strip_text, "nome": strip_text, "sigla_uf": upper_text},
     ),
-    "meta_brasil": lambda: _spec(
-        "meta_brasil", "ano valor_meta", [_year(), _percent("valor_meta")], keys="ano", strip="ano"
+    "meta_brasil": lambda: QualitySpec(
+        entity="meta_brasil",
+        required=["ano", "valor_meta"],
+        rules=[
+            _year(),
+            _percent("valor_meta"),
+        ],
+        unique_keys=["ano"],
+        standardizers={"ano": strip_text},
     ),
-    "meta_uf": lambda: _spec(
-        "meta_uf",
-        "ano sigla_uf valor_meta",
-        [_year(), _state(), _percent("valor_meta")],
-        keys="ano sigla_uf",
-        strip="ano",
-        upper="sigla_uf",
+    "meta_uf": lambda: QualitySpec(
+        entity="meta_uf",
+        required=["ano", "sigla_uf", "valor_meta"],
+        rules=[
+            _year(),
+            _state(),
+            _percent("valor_meta"),
+        ],
+        unique_keys=["ano", "sigla_uf"],
+        standardizers={"ano": strip_text, "sigla_uf": upper_text},
     ),
-    "meta_municipio": lambda: _spec(
-        "meta_municipio",
-        "ano id_municipio valor_meta",
-        [_year(), _municipality(), _percent("valor_meta")],
-        keys="ano id_municipio",
-        strip="ano id_municipio",
+    "meta_municipio": lambda: QualitySpec(
+        entity="meta_municipio",
+        required=["ano", "id_municipio", "valor_meta"],
+        rules=[
+            _year(),
+            _municipality(),
+            _percent("valor_meta"),
+        ],
+        unique_keys=["ano", "id_municipio"],
+        standardizers={"ano": strip_text, "id_municipio": strip_text},
     ),
-    "indicador_alfabetizacao": lambda: _spec(
-        "indicador_alfabetizacao",
-        "ano id_municipio taxa_alfabetizacao",
-        [_year(), _municipality(), _percent("taxa_alfabetizacao")],
-        keys="ano id_municipio",
-        strip="ano id_municipio",
-        upper="sigla_uf",
+    "indicador_alfabetizacao": lambda: QualitySpec(
+        entity="indicador_alfabetizacao",
+        required=["ano", "id_municipio", "taxa_alfabetizacao"],
+        rules=[
+            _year(),
+            _municipality(),
+            _percent("taxa_alfabetizacao"),
+        ],
+        unique_keys=["ano", "id_municipio"],
+        standardizers={"ano": strip_text, "id_municipio": strip_text, "sigla_uf": upper_text},
     ),
-    "aluno": lambda: _spec(
-        "aluno",
-        "ano id_aluno",
-        [_year(), _filled("id_aluno")],
-        keys="ano id_aluno",
-        strip="ano",
-        upper="rede",
+    "aluno": lambda: QualitySpec(
+        entity="aluno",
+        required=["ano", "id_aluno"],
+        rules=[
+            _year(),
+            _filled("id_aluno"),
+        ],
+        unique_keys=["ano", "id_aluno"],
+        standardizers={"ano": strip_text, "rede": upper_text},
         pseudonymise=("id_aluno",),
     ),
 }
@@ -221,7 +272,8 @@ def _event_checks():
     rate, year = F.col("taxa_alfabetizacao"), F.col("ano_referencia")
     number = r"\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*"
     rate_is_number = matches_regex(rate, number)
-    year_is_whole = matches_regex(year, r"\s*[+-]?\d+\s*")
+    # a producer that holds the year as a double writes 2026.0
+    year_is_whole = matches_regex(year, r"\s*[+-]?\d+(\.0*)?\s*")
     return [
         (F.lit("codigo_municipio deve ter 7 dígitos"), matches_regex(F.col("codigo_municipio"), r"\d{7}")),
         (

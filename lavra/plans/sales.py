@@ -29,9 +29,9 @@ from lavra.sources import audit
 from lavra.sources import tables as tb
 from lavra.sources.bronze import to_bronze, write_bronze
 from lavra.sources.contracts import ColumnContract, Source, contract_report
-from lavra.sources.events import topic_records
+from lavra.sources.events import read_event_file, topic_records
 from lavra.sources.extraction import directory_scan, observed_scan, ordered_sample, target_scan
-from lavra.streaming.events import EventSpec, validate_events
+from lavra.streaming.events import EventSpec, decode_events, validate_events
 from lavra.streaming.ingest import StreamPaths, run_session
 from lavra.streaming.routing import new_events, route_events
 
@@ -162,7 +162,7 @@ def full_refresh_load(spark, d):
     parts, path = table(spark, d, "part"), new_folder(spark, "part")
     tb.full_refresh(parts, path)
     tb.require_equal("second load of part", parts.count(), tb.full_refresh(parts, path))
-    return spark.read.parquet(path).groupBy("p_brand").agg(
+    return tb.read_table(spark, path).groupBy("p_brand").agg(
         F.count("*").alias("row_count"), F.min("p_retailprice").alias("cheapest")
     )
 
@@ -171,7 +171,7 @@ def fixed_schema_load(spark, d):
     path = new_folder(spark, "supplier")
     fields = [("s_suppkey", T.StringType(), False), ("s_name", T.StringType(), True), ("s_nationkey", T.LongType(), True)]
     tb.load_fixed_schema(table(spark, d, "supplier"), path, T.StructType([T.StructField(*f) for f in fields]))
-    return spark.read.parquet(path)
+    return tb.read_table(spark, path)
 
 
 # --- quality ---------------------------------------------------------------
@@ -383,13 +383,6 @@ def _named_nation_means(spark, d, spend: DataFrame) -> DataFrame:
     return _nation_means(spark, d, spend).join(names, "c_nationkey")
 
 
-def _customer_targets(spark, d, spend: DataFrame) -> DataFrame:
-    customers = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    return customers.join(_nation_means(spark, d, spend), "c_nationkey").select(
-        "c_custkey", "year", "target_spend"
-    )
-
-
 def _customers_with_nation(spark, d) -> DataFrame:
     nations = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return table(spark, d, "customer").join(nations, "c_nationkey", "left")
@@ -408,12 +401,13 @@ def _comparison(spark, d, spend: DataFrame) -> DataFrame:
     """No key is null here, so joins are plain equalities."""
     return prod.target_comparison(
         spend,
-        _customer_targets(spark, d, spend),
+        _named_nation_means(spark, d, spend),
         _customers_with_nation(spark, d),
         entity="c_custkey",
         period="year",
         value="spend",
         target_value="target_spend",
+        target_keys=["year", "nation"],
         dim_columns={"c_name": "customer", "n_name": "nation"},
         region=_regions(spark, d),
         region_key="nation",
@@ -587,8 +581,9 @@ def iso_times(spark, d):
 
 
 def decoded_properties(spark, d):
-    parsed = F.from_json("props", "k bigint")
-    return table(spark, d, "events").select("event_id", parsed["k"].alias("k"))
+    events = table(spark, d, "events").select("event_id", F.col("props").alias("value"))
+    decoded = decode_events(events, ["k"], keep=["event_id"])
+    return decoded.select("event_id", F.col("k").cast("bigint").alias("k"))
 
 
 def flattened_rows(spark, d):
@@ -601,6 +596,21 @@ def flattened_rows(spark, d):
     return flatten_nested(events)
 
 
+def event_files(spark, d):
+    """All events written as JSON lines and as arrays to one folder, and read back."""
+    folder = new_folder(spark, "event-files")
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    even = F.col("event_id") % 2 == 0
+    events.where(even).write.json(f"{folder}/lines")
+    bundles = events.where(~even).groupBy(F.pmod(F.xxhash64("event_id"), F.lit(64)).alias("b")).agg(
+        F.to_json(F.collect_list(F.struct("event_id", "user_id", "event_type", "value"))).alias("value")
+    )
+    # a file holds one array on one line, as producers write them
+    bundles.select("value", F.col("b").alias("bundle")).write.partitionBy("bundle").text(f"{folder}/arrays")
+    schema = "event_id bigint, user_id bigint, event_type string, value double"
+    return read_event_file(spark, folder, schema)
+
+
 def topic_messages(spark, d):
     return topic_records(table(spark, d, "events").select("event_id", "user_id", "event_type", "value"))
 
@@ -633,18 +643,21 @@ def _line_events(lines: DataFrame) -> DataFrame:
 
 
 def routed_events(spark, d):
-    events = validate_events(_line_events(table(spark, d, "lineitem")), LINE_EVENTS)
-    routed = route_events(events, LINE_EVENTS, order_by=EVENT_ORDER)
+    events = stage(validate_events(_line_events(table(spark, d, "lineitem")), LINE_EVENTS), "events")
+    routed = route_events(tb.with_positions(events), LINE_EVENTS, order_by=EVENT_ORDER)
     return routed.withColumn("errors", F.array_join("errors", "; "))
 
 
 def routed_against_seen(spark, d):
-    """Events from 1998 on, where the ids of earlier valid ones are known already."""
+    """Two batches, events before 1998 and from then on; the first one's valid ids are known to the second."""
     events = stage(validate_events(_line_events(table(spark, d, "lineitem")), LINE_EVENTS), "events")
     events = tb.with_positions(events)
-    earlier = events.where("size(errors) = 0 AND event_time < '1998'").select("event_id")
-    routed = route_events(events.where("event_time >= '1998'"), LINE_EVENTS, earlier, EVENT_ORDER)
-    return routed.groupBy("route").agg(F.count("*").alias("event_count"))
+    early = F.coalesce(F.col("event_time") < "1998", F.lit(True))
+    first = route_events(events.where(early), LINE_EVENTS, order_by=EVENT_ORDER)
+    known = events.where(early & (F.size("errors") == 0)).select("event_id")
+    second = route_events(events.where(~early), LINE_EVENTS, known, EVENT_ORDER)
+    both = [df.select(F.lit(name).alias("batch"), "route") for name, df in (("first", first), ("second", second))]
+    return both[0].unionByName(both[1]).groupBy("batch", "route").agg(F.count("*").alias("event_count"))
 
 
 def new_documents(spark, d):
@@ -718,7 +731,7 @@ def silver_and_quarantine(spark, d):
     layout = layers.Layout(new_folder(spark, "lake"))
     layers.build_silver(_lines(spark, d), lineitem_spec(), layout, "run-1", FIRST_RUN)
     good = layers.read_silver(spark, layout, "lineitem").withColumn("reason", F.lit("none"))
-    bad = spark.read.parquet(layout.quarantine("lineitem")).withColumn("reason", F.array_join(Q.FAILED, ","))
+    bad = tb.read_history(spark, layout.quarantine("lineitem")).withColumn("reason", F.array_join(Q.FAILED, ","))
     columns = ["_quality_status", "reason"]
     return good.select(*columns).unionByName(bad.select(*columns)).groupBy(*columns).agg(
         F.count("*").alias("row_count")
@@ -726,7 +739,7 @@ def silver_and_quarantine(spark, d):
 
 
 def _write_logs(spark, d) -> str:
-    """Audit logs derived from the tables: runs per nation, quality per brand, streams per day."""
+    """Audit logs derived from the tables: a run per order priority, two quality runs, a stream session per day."""
     path = new_folder(spark, "audit")
     zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("string")
     when = iso_text(F.max("o_orderdate").cast("timestamp"))
@@ -758,14 +771,19 @@ def _write_logs(spark, d) -> str:
     streams = (
         table(spark, d, "events")
         .groupBy(F.to_date("ts").alias("day"))
-        .agg(F.count("*").alias("consumed"), F.count_if(F.col("value") <= 200).alias("valid"))
+        .agg(
+            F.count("*").alias("consumed"),
+            F.count_if(F.col("value") <= 200).alias("valid"),
+            (F.count("*") - F.count_distinct("user_id")).alias("duplicates"),
+            F.avg(F.second("ts")).alias("avg_latency_seconds"),
+        )
         .select(
             "consumed",
             "valid",
             (F.col("consumed") - F.col("valid")).alias("invalid"),
-            zero.alias("duplicates"),
+            "duplicates",
             F.lit(1).cast("bigint").alias("flushed_batches"),
-            F.lit(0.5).alias("avg_latency_seconds"),
+            F.round("avg_latency_seconds", 3).alias("avg_latency_seconds"),
             F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit("T00:00:00+00:00")).alias("timestamp"),
         )
     )
@@ -796,8 +814,8 @@ def monitoring_report(spark, d):
 def audit_tables(spark, d):
     path, target = _write_logs(spark, d), new_folder(spark, "audit-tables")
     audit.sync_audit(spark, path, target)
-    return spark.read.parquet(f"{target}/quality_results").select(
-        "quality_run_id", "entity", "status", "total_read", "failures_by_rule", "rule_results"
+    return tb.read_table(spark, f"{target}/quality_results").select(
+        "quality_run_id", "pipeline", "entity", "status", "total_read", "failures_by_rule", "rule_results"
     )
 
 
@@ -849,6 +867,7 @@ QUERIES = {
         iso_times,
         decoded_properties,
         flattened_rows,
+        event_files,
         topic_messages,
         routed_events,
         routed_against_seen,

@@ -56,4 +56,4 @@ def to_bronze(
 def write_bronze(df: DataFrame, path: str, ingestion_id: str, ingestion_timestamp: datetime) -> int:
     """Write one run under its date and run id; repeating the run replaces it."""
     day = ingestion_timestamp.astimezone(timezone.utc).date().isoformat()
-    return write_partition(df, path, ingestion_date=day, _ingestion_id=ingestion_id)
+    return write_partition(df, path, ingestion_timestamp, ingestion_date=day, _ingestion_id=ingestion_id)

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
+from time import time_ns
+from urllib.parse import parse_qsl, urlencode
+from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lavra.folders import drop_folder, exists, folder_names
+from lavra.folders import create_file, drop_folder, folder_names
 from lavra.operators.keys import ROW_ID, file_row_id
 
 
+# Markers of published runs lie in this folder of a table; Spark does not read it.
+PUBLISHED = "_published"
+_AT, _ROWS, _VERSION = "_at", "_rows", "version"
+
+
 class LoadError(RuntimeError):
     """A load lost, gained or refused rows."""
 
@@ -34,99 +42,135 @@ def with_positions(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, file_row_id())
 
 
-def write_partition(df: DataFrame, path: str, **partition: str) -> int:
-    """Replace one partition, named by constants, and return its row count.
+def _name(info: dict[str, str]) -> str:
+    return urlencode(info)
+
+
+def _markers(spark: SparkSession, path: str) -> list[dict[str, str]]:
+    """What was published under `path`, one entry per run or version."""
+    return [dict(parse_qsl(n, keep_blank_values=True)) for n in folder_names(spark, f"{path}/{PUBLISHED}")]
+
+
+def _publish(spark: SparkSession, path: str, info: dict[str, str], rows: int, at: str) -> None:
+    """Make a finished run visible: one empty file, whose name says all."""
+    create_file(spark, f"{path}/{PUBLISHED}/{_name({**info, _AT: at, _ROWS: str(rows)})}")
+
+
+def _withdraw(spark: SparkSession, path: str, info: dict[str, str]) -> None:
+    for marker in _markers(spark, path):
+        if all(marker.get(k) == v for k, v in info.items()):
+            drop_folder(spark, f"{path}/{PUBLISHED}/{_name(marker)}")
+
+
+def _folder(path: str, info: dict[str, str]) -> str:
+    return "/".join([path, *[f"{k}={v}" for k, v in info.items() if k not in (_AT, _ROWS)]])
+
+
+def write_partition(df: DataFrame, path: str, at: datetime | None = None, **partition: str) -> int:
+    """Replace one partition, named by constants, publish it, and return its row count.
 
     The rows go straight into the partition's folder: a dynamic partition write
-    would sort them all by the constants first. Without rows nothing is left.
+    would sort them all by the constants first. Readers see the partition once
+    it is whole; while it is replaced they see the runs before it. Without rows
+    nothing is published.
     """
     spark = df.sparkSession
-    levels = [path]
-    for key, value in partition.items():
-        levels.append(f"{levels[-1]}/{key}={value}")
-    folder = levels[-1]
+    folder = _folder(path, partition)
+    _withdraw(spark, path, partition)
     rows = df.drop(*partition)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
-    count = row_count(spark, folder)
-    if not count:
+    count = spark.read.schema(rows.schema).parquet(folder).count()
+    if count:
+        _publish(spark, path, partition, count, (at or datetime.now(timezone.utc)).astimezone(timezone.utc).isoformat())
+    else:
         drop_folder(spark, folder)
-        for level in reversed(levels[:-1]):
-            if not folder_names(spark, level):
-                drop_folder(spark, level)
     return count
 
 
 def partition_values(spark: SparkSession, path: str, key: str) -> list[str]:
-    """Sorted values of a table's first partition column, from its folder names."""
-    names = folder_names(spark, path)
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{key}="))
+    """Sorted values of a partition column among the published runs."""
+    return sorted({m[key] for m in _markers(spark, path) if key in m})
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """All files of a table, the columns being the union of theirs.
+    """All published runs of a table, the columns being the union of theirs.
 
-    A missing or empty folder is an error.
+    A table without one is an error.
     """
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    folders = sorted({_folder(path, m) for m in _markers(spark, path)})
+    if not folders:
+        raise FileNotFoundError(f"no data in {path}")
+    return spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*folders)
 
 
-def read_latest_snapshot(
-    spark: SparkSession,
-    path: str,
-    date_column: str = "ingestion_date",
-    run_column: str = "_ingestion_id",
-    time_column: str = "_ingestion_timestamp",
-    positions: bool = False,
-) -> DataFrame:
-    """Only the newest run of a table partitioned by date and run.
+def read_latest_snapshot(spark: SparkSession, path: str, positions: bool = False) -> DataFrame:
+    """Only the newest published run of a table partitioned by date and run.
 
-    The newest date comes from folder names; only that day's runs are compared,
-    and the read is pruned to one run's folder.
+    Date, time and run come from the markers; the read is pruned to one folder.
     """
-    dates = partition_values(spark, path, date_column)
-    if not dates:
+    markers = _markers(spark, path)
+    if not markers:
         raise FileNotFoundError(f"no data in {path}")
-    day = f"{path}/{date_column}={dates[-1]}"
-    runs = partition_values(spark, day, run_column)
-    run = runs[-1]
-    if len(runs) > 1:
-        times = spark.read.option("basePath", path).parquet(day).groupBy(run_column).agg(
-            F.max(time_column).alias("at")
-        )
-        run = times.agg(F.max_by(F.col(run_column).cast("string"), "at")).first()[0]
-    df = spark.read.option("basePath", path).parquet(f"{day}/{run_column}={run}")
+    keys = [k for k in markers[0] if k not in (_AT, _ROWS)]
+    newest = max(markers, key=lambda m: (m[keys[0]], m[_AT], [m[k] for k in keys]))
+    df = spark.read.option("basePath", path).parquet(_folder(path, newest))
     return with_positions(df) if positions else df
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType, **snapshot: str) -> DataFrame:
-    """Newest snapshot, or an empty frame where the table does not exist yet."""
-    try:
-        return read_latest_snapshot(spark, path, **snapshot)
-    except (FileNotFoundError, AnalysisException):
+def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType, **snapshot: bool) -> DataFrame:
+    """Newest snapshot, or an empty frame where nothing was published yet; any other trouble is an error."""
+    if not _markers(spark, path):
         return spark.createDataFrame([], schema)
+    return read_latest_snapshot(spark, path, **snapshot)
+
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a fully refreshed table."""
+    versions = partition_values(spark, path, _VERSION)
+    if not versions:
+        raise FileNotFoundError(f"no data in {path}")
+    return spark.read.parquet(f"{path}/{_VERSION}={versions[-1]}")
 
-def row_count(spark: SparkSession, path: str) -> int:
-    """Rows of a written table, counted from file footers; 0 if it is missing."""
-    return spark.read.parquet(path).count() if exists(spark, path) else 0
 
+def full_refresh(df: DataFrame, path: str, check: Callable[[DataFrame], None] | None = None) -> int:
+    """Replace a whole table and return its row count, read back.
 
-def full_refresh(df: DataFrame, path: str) -> int:
-    """Replace a whole table and return its row count, read back."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return row_count(df.sparkSession, path)
+    The rows become a new version, which `check` may refuse before it is
+    published. Until then readers see the version before, which stays on disk
+    for those who are still reading it; older ones go.
+    """
+    spark = df.sparkSession
+    before = partition_values(spark, path, _VERSION)
+    info = {_VERSION: f"{time_ns():020d}-{uuid4().hex[:8]}"}
+    folder = _folder(path, info)
+    try:
+        df.write.parquet(folder)
+        written = spark.read.schema(df.schema).parquet(folder)
+        rows = written.count()
+        if check is not None:
+            check(written)
+    except Exception:
+        drop_folder(spark, folder)
+        raise
+    _publish(spark, path, info, rows, datetime.now(timezone.utc).isoformat())
+    for version in before[:-1]:
+        _withdraw(spark, path, {_VERSION: version})
+        drop_folder(spark, _folder(path, {_VERSION: version}))
+    return rows
 
 
 def load_fixed_schema(df: DataFrame, path: str, schema: T.StructType) -> int:
-    """Full refresh with declared types; refuses nulls in required columns."""
+    """Full refresh with declared types; refuses nulls in required columns of what was written."""
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     required = [f.name for f in schema.fields if not f.nullable]
-    if required:
-        nulls = typed.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first().asDict()
+
+    def no_nulls(written: DataFrame) -> None:
+        nulls = written.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first().asDict()
         broken = {c: n for c, n in nulls.items() if n}
         if broken:
             raise LoadError(f"nulls in required columns: {broken}")
-    return full_refresh(typed, path)
+
+    return full_refresh(typed, path, no_nulls if required else None)
 
 
 def require_equal(what: str, expected: int, found: int) -> None:

@@ -31,10 +31,12 @@ class EventSpec:
     time_column: str = "event_time"
 
 
-def decode_events(raw: DataFrame, fields: Sequence[str], value: str = "value") -> DataFrame:
+def decode_events(
+    raw: DataFrame, fields: Sequence[str], value: str = "value", keep: Sequence[str] = ("_partition", "_offset", "_time")
+) -> DataFrame:
     """Event fields as text, further fields in `_extra`, the text in `_raw`.
 
-    Numbers stay text here, so a bad one fails its rule and not the record.
+    Columns in `keep` that the input has, such as a record's position, stay. Numbers stay text here, so a bad one fails its rule and not the record.
     """
     schema = ", ".join(f"`{f}` string" for f in fields)
     text = F.col(value).cast("string")
@@ -42,7 +44,9 @@ def decode_events(raw: DataFrame, fields: Sequence[str], value: str = "value") -
         text, f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
     every = F.from_json(text, "map<string,string>")
-    return raw.select(text.alias("_raw"), parsed.alias("_p"), every.alias("_m")).select(
+    kept = [c for c in keep if c in raw.columns]
+    return raw.select(*kept, text.alias("_raw"), parsed.alias("_p"), every.alias("_m")).select(
+        *kept,
         *[F.col(f"_p.{f}").alias(f) for f in fields],
         F.map_filter("_m", lambda k, v: ~k.isin(*fields)).alias("_extra"),
         "_raw",

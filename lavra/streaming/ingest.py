@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from lavra.folders import drop_folder, exists
+from lavra.folders import drop_folder, exists, folder_names
 from lavra.functions.times import parse_iso, seconds_between
 from lavra.sources.audit import append_audit, utc_now
 from lavra.sources.tables import with_positions
@@ -81,13 +81,14 @@ def enrich(events: DataFrame, at: datetime, spec: EventSpec) -> DataFrame:
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int, at: datetime) -> DataFrame:
-    """Write a batch's rows and give them back.
+    """Write a batch's rows under their day and give them back.
 
     Whatever an earlier attempt of the batch wrote, on any day, goes first.
     """
-    spark, batch = df.sparkSession, f"{path}/batch_id={batch_id}"
-    drop_folder(spark, batch)
-    folder = f"{batch}/ingestion_date={at.date().isoformat()}"
+    spark = df.sparkSession
+    for day in folder_names(spark, path):
+        drop_folder(spark, f"{path}/{day}/batch_id={batch_id}")
+    folder = f"{path}/ingestion_date={at.date().isoformat()}/batch_id={batch_id}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
@@ -95,7 +96,7 @@ def _write_batch(df: DataFrame, path: str, batch_id: int, at: datetime) -> DataF
 def write_routed(routed: DataFrame, paths: StreamPaths, batch_id: int, at: datetime) -> None:
     """Valid events to bronze, others with their errors to quarantine, counters.
 
-    Everything lies under the batch id. The counters are read from what was
+    Everything lies under day and batch id. The counters are read from what was
     written, so the routing is not worked out a third time.
     """
     good = routed.where("route = 'valid'").drop("route", "errors", "_bad_json")
@@ -141,9 +142,11 @@ def start_ingest(
     """
     events = validate_events(stream, spec)
     columns = events.columns
+    # The batch's own session has no adaptive plans and the state's number of partitions;
+    # routing runs in this one, which splits an id that floods the batch.
+    spark = stream.sparkSession
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         at = utc_now()
         # One action reads the source and moves the state; all else reads the copy.
         work = f"{paths.work}/current"
@@ -220,8 +223,6 @@ def run_session(
 
 
 def session_batches(spark: SparkSession, paths: StreamPaths) -> int:
-    """Number of the newest batch that was written, -1 before the first."""
-    if not exists(spark, paths.metrics):
-        return -1
-    newest = spark.read.parquet(paths.metrics).agg(F.max(F.col("batch_id").cast("bigint"))).first()[0]
-    return -1 if newest is None else newest
+    """Number of the newest batch that was written, -1 before the first; from folder names alone."""
+    names = [n for day in folder_names(spark, paths.metrics) for n in folder_names(spark, f"{paths.metrics}/{day}")]
+    return max((int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")), default=-1)

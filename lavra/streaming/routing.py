@@ -23,19 +23,17 @@ def _route(events: DataFrame, touched: DataFrame, spec: EventSpec, order_by: Seq
     is the first event looked for, with a minimum before the shuffle.
     """
     key = [spec.id_column]
-    narrow = _valid(events).select(*key, row_order(order_by).alias("_order"))
+    good = _valid(events)
+    narrow = good.select(*key, row_order(order_by).alias("_order"))
     firsts = semi(narrow, touched, key).groupBy(*key).agg(F.min("_order").alias("_first"))
     firsts = left_lookup(firsts, touched.select(*key, "_seen"), key)
     alone = F.col("_first").isNull()
     first = alone | (~F.col("_seen") & (F.col("_first") == row_order(order_by)))
-    route = (
-        F.when(F.size("errors") > 0, F.lit("invalid"))
-        .when(first, F.lit("valid"))
-        .otherwise(F.lit("duplicate"))
-    )
-    routed = left_lookup(events, firsts, key).withColumn("route", route)
+    routed = left_lookup(good, firsts, key).withColumn("route", F.when(first, F.lit("valid")).otherwise(F.lit("duplicate")))
     errors = F.when(F.col("route") == "duplicate", F.array(F.lit(DUPLICATE))).otherwise(F.col("errors"))
-    return routed.withColumn("errors", errors).drop("_first", "_seen", ROW_ID)
+    # invalid events need no look-up: however many there are without an id, they meet in no join
+    bad = events.where(F.size("errors") > 0).withColumn("route", F.lit("invalid"))
+    return routed.withColumn("errors", errors).drop("_first", "_seen", ROW_ID).unionByName(bad.drop(ROW_ID))
 
 
 def _flag(df: DataFrame, known: DataFrame, key: str) -> DataFrame:

@@ -139,7 +139,7 @@ def _audit_rows() -> str:
             for rule, column, flag in _RULES[entity]
         )
         lines.append(
-            f"""SELECT '{run}' AS quality_run_id, entity, {_STATUS} AS status, total_read,
+            f"""SELECT '{run}' AS quality_run_id, 'quality_' || entity AS pipeline, entity, {_STATUS} AS status, total_read,
             '{{' || concat_ws(',', {failures}) || '}}' AS failures_by_rule,
             '[' || {results} || ']' AS rule_results FROM {entity}_totals"""
         )

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lavra.plans import layers
@@ -150,7 +151,7 @@ def test_all_layers(spark, layout):
         assert "id_aluno" not in product.columns
     sp = gold["ml_features_municipio"].where("id_municipio = '3550308' and ano = 2023").first()
     assert (sp["variacao_anual"], sp["atingiu_meta"]) == (10.0, 1)
-    table = spark.read.parquet(f"{layout.audit_tables}/quality_results")
+    table = tb.read_table(spark, f"{layout.audit_tables}/quality_results")
     assert dict(table.dtypes)["rule_results"] == "string"
 
     report = audit.monitoring_report(
@@ -171,9 +172,47 @@ def test_fixed_schema_load(spark, layout):
     df = spark.createDataFrame([(1, "5"), (2, None)], "id int, n string")
     path = f"{layout.base}/fixed"
     assert tb.load_fixed_schema(df, path, schema) == 2
-    assert dict(spark.read.parquet(path).dtypes) == {"id": "string", "n": "int"}
+    assert dict(tb.read_table(spark, path).dtypes) == {"id": "string", "n": "int"}
     with pytest.raises(tb.LoadError):
         tb.load_fixed_schema(df.selectExpr("n as id", "n"), path, schema)
+    assert tb.read_table(spark, path).count() == 2  # the version before is still there
+
+
+def test_a_run_is_seen_when_it_is_whole(spark, layout):
+    source, path = lit.SOURCES["municipio"], layout.bronze("municipio")
+    write_bronze(to_bronze(places(spark), source, "a", AT), path, "a", AT)
+    # a newer run that stopped before it was published, and one that fails while it is written again
+    places(spark).limit(1).write.parquet(f"{path}/ingestion_date=2030-01-01/_ingestion_id=half")
+    broken = to_bronze(places(spark), source, "b", AT.replace(hour=20)).withColumn("nome", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        write_bronze(broken, path, "b", AT.replace(hour=20))
+    assert {r["_ingestion_id"] for r in tb.read_history(spark, path).collect()} == {"a"}
+    assert tb.read_latest_snapshot(spark, path).count() == 2
+    schema = "id_municipio string"
+    assert tb.read_or_empty(spark, path, schema).count() == 2
+
+
+def test_a_failed_load_leaves_the_table(spark, layout):
+    path = f"{layout.base}/table"
+    assert [tb.full_refresh(places(spark), path) for _ in range(3)] == [2, 2, 2]
+    with pytest.raises(Exception, match="lost"):
+        tb.full_refresh(places(spark).withColumn("nome", F.raise_error(F.lit("lost"))), path)
+    assert tb.read_table(spark, path).count() == 2
+    assert len(tb.partition_values(spark, path, "version")) == 2
+
+
+def test_writers_of_one_table_do_not_hurt_each_other(spark, layout):
+    path = f"{layout.base}/shared"
+    tb.write_partition(places(spark).where("false"), path, day="1", run="empty")
+    tb.write_partition(places(spark), path, day="1", run="full")
+    tb.write_partition(places(spark).where("false"), path, day="1", run="empty")
+    assert tb.partition_values(spark, path, "run") == ["full"] and tb.read_history(spark, path).count() == 2
+
+
+def test_records_read_are_those_of_the_reader(spark, layout, monkeypatch):
+    monkeypatch.setattr(layers, "write_bronze", lambda df, path, run, at: write_bronze(df, path, run, at) - 1)
+    with pytest.raises(tb.LoadError, match="expected 2 rows, found 1"):
+        layers.ingest(spark, lit.SOURCES["municipio"], places, layout)
 
 
 def test_extraction_scans(spark, rows):

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lavra.plans.literacy import EVENT_FIELDS, EVENTS
 from lavra.sources import audit
-from lavra.sources.events import read_event_file, text_stream, topic_records
+from lavra.sources.events import bad_event_records, read_event_file, text_stream, topic_records, topic_values
+from lavra.streaming import ingest
 from lavra.streaming.events import decode_events, validate_events
 from lavra.streaming.ingest import StreamPaths, run_session, session_batches
 from lavra.streaming.routing import new_events, route_events
@@ -31,7 +32,7 @@ def errors_of(spark, text):
 @pytest.mark.parametrize(
     "change",
     [{}, {"sigla_uf": "sp"}, {"codigo_municipio": 3550308}, {"taxa_alfabetizacao": "12.5"},
-     {"event_time": "2026-07-13T10:00:00"}, {"event_time": "2026-07-13T10:00:00Z"}, {"extra": {"a": 1}}],
+     {"event_time": "2026-07-13T10:00:00"}, {"ano_referencia": 2026.0}, {"event_time": "2026-07-13T10:00:00Z"}, {"extra": {"a": 1}}],
 )
 def test_good_events(spark, change):
     assert errors_of(spark, event(**change)) == []
@@ -48,6 +49,7 @@ def test_good_events(spark, change):
         ({"sigla_uf": "ZZ"}, ["sigla_uf inválida: ZZ"]),
         ({"codigo_municipio": "355030\n", "ano_referencia": 1800},
          ["codigo_municipio deve ter 7 dígitos", "ano_referencia fora do intervalo plausível"]),
+        ({"ano_referencia": 2026.5}, ["ano_referencia não inteiro"]),
         ({"ano_referencia": "x", "event_time": "ontem"},
          ["ano_referencia não inteiro", "event_time não está em ISO-8601"]),
     ],
@@ -154,6 +156,50 @@ def test_event_files_and_topic_records(spark, tmp_path):
     assert (record["key"], json.loads(record["value"])) == ("e1", {"event_id": "e1", "taxa_alfabetizacao": 87.5})
 
 
+def test_a_folder_of_mixed_event_files(spark, tmp_path):
+    schema = "event_id string, taxa_alfabetizacao double"
+    (tmp_path / "a b.json").write_text("\ufeff\n[" + event() + "," + event(event_id="a2") + "]", encoding="utf-8")
+    (tmp_path / "l.jsonl").write_text(event(event_id="l1") + "\n{broken\n" + event(event_id="l2") + "\n", encoding="utf-8")
+    (tmp_path / "empty.json").write_text(" \n", encoding="utf-8")
+    got = read_event_file(spark, str(tmp_path), schema)
+    assert sorted(r["event_id"] for r in got.collect()) == ["a2", "e1", "l1", "l2"]
+    assert [r[0] for r in bad_event_records(spark, str(tmp_path), schema).collect()] == ["{broken"]
+
+
+def test_topic_records_keep_their_place(spark):
+    records = spark.createDataFrame(
+        [(event(source="late").encode(), "t", 1, 9, 0), (event(source="early").encode(), "t", 1, 3, 0)],
+        "value binary, topic string, partition int, offset long, ms long",
+    ).withColumn("timestamp", F.timestamp_millis("ms"))
+    events = validate_events(decode_events(topic_values(records), EVENT_FIELDS), EVENTS)
+    routed = route_events(events, EVENTS, order_by=["_partition", "_offset"])
+    assert routed.where("route = 'valid'").first()["source"] == "early"
+
+
+def test_hot_and_missing_ids_in_a_stream_batch(spark, tmp_path):
+    inbox, base = tmp_path / "inbox", str(tmp_path / "lake")
+    inbox.mkdir()
+    lines = [event(event_id="hot")] * 3000 + ["{"] * 2000 + [event(event_id=f"f{k}") for k in range(500)]
+    (inbox / "0.jsonl").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    paths = StreamPaths.under(base, "x")
+    seen = {}
+    route = ingest.route_with_totals
+
+    def watched(rows, *args, **more):
+        seen["adaptive"] = rows.sparkSession.conf.get("spark.sql.adaptive.enabled")
+        seen["partitions"] = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        return route(rows, *args, **more)
+
+    ingest.route_with_totals = watched
+    try:
+        stream = decode_events(text_stream(spark, str(inbox)), EVENT_FIELDS)
+        got = run_session(stream, EVENTS, paths, f"{base}/cp", f"{base}/audit", state_partitions=2).first()
+    finally:
+        ingest.route_with_totals = route
+    assert seen == {"adaptive": "true", "partitions": spark.conf.get("spark.sql.shuffle.partitions")}
+    assert (got["consumed"], got["valid"], got["invalid"], got["duplicates"]) == (5500, 501, 2000, 2999)
+
+
 def test_new_events_without_other_checks(spark, rows):
     events = spark.createDataFrame(
         [("a", 1), ("a", 2), ("", 3), (None, 4), ("b", 5), ("c", 6)], "id string, n int"
