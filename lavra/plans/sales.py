@@ -23,7 +23,7 @@ from lavra.operators import products as prod
 from lavra.operators import quality as Q
 from lavra.operators.median import exact_median
 from lavra.operators.uniqueness import duplicated_keys, keep_first
-from lavra.plans import layers
+from lavra.plans import layers, literacy
 from lavra.session import apply_settings, new_folder, stage
 from lavra.sources import audit
 from lavra.sources import tables as tb
@@ -726,6 +726,61 @@ def layer_counts(spark, d):
     )
 
 
+def _literacy_reader(d):
+    """The sources of the literacy data set, derived from all customers, nations and orders."""
+
+    def read(spark, source: Source) -> DataFrame:
+        orders = _dated_orders(spark, d).withColumn("ano", F.col("year").cast("int"))
+        customers = table(spark, d, "customer")
+        place = lambda key: F.lpad(F.col(key).cast("string"), 7, "0").alias("id_municipio")
+        codes = F.array(*[F.lit(row[0]) for row in literacy.STATES])
+        states = F.array(*[F.lit(row[1]) for row in literacy.STATES])
+        none = F.lit(None).cast("string")
+        if source.name == "municipio":
+            # the last nation has no state
+            state = F.when(F.col("c_nationkey") < 24, F.lower(F.get(states, "c_nationkey"))).otherwise(F.lit("xx"))
+            return customers.select(place("c_custkey"), F.concat(F.lit(" "), "c_name").alias("nome"), state.alias("sigla_uf"))
+        if source.name == "uf":
+            return table(spark, d, "nation").select(
+                F.get(codes, "n_nationkey").alias("codigo_uf"), F.get(states, "n_nationkey").alias("sigla_uf"),
+                F.col("n_name").alias("nome"), F.col("n_regionkey").cast("string").alias("regiao"),
+            )
+        count = F.count("*")
+        if source.name == "meta_brasil":
+            return orders.groupBy("ano").agg((count % 101).cast("double").alias("valor_meta"))
+        if source.name == "meta_uf":
+            nations = customers.select(F.col("c_custkey").alias("o_custkey"), F.get(states, "c_nationkey").alias("sigla_uf"))
+            return orders.join(nations, "o_custkey").groupBy("ano", "sigla_uf").agg((count % 101).cast("double").alias("valor_meta"))
+        if source.name == "aluno":
+            return orders.select(
+                "ano", place("o_custkey"), F.col("o_orderkey").cast("string").alias("id_aluno"),
+                F.col("o_orderstatus").alias("rede"), none.alias("serie"), none.alias("alfabetizado"),
+            )
+        by_place = orders.groupBy("ano", place("o_custkey"))
+        if source.name == "meta_municipio":
+            return by_place.agg((count * 30 % 130).cast("double").alias("valor_meta"))
+        cents = F.sum(F.col("o_totalprice").cast(MONEY) * 100).cast("bigint")
+        return by_place.agg((cents % 105).cast("double").alias("taxa_alfabetizacao")).select(
+            "ano", "id_municipio", none.alias("serie"), none.alias("rede"), "taxa_alfabetizacao"
+        )
+
+    return lambda spark, source: read(spark, source).select(*source.selected)
+
+
+def literacy_run(spark, d):
+    """The literacy flow from its seven sources to gold: counts of every step, and results by status."""
+    layout = layers.Layout(new_folder(spark, "literacy"))
+    layers.run_all(spark, literacy.SOURCES, literacy.SPECS, _literacy_reader(d), layout, literacy.build_gold)
+    counts = ("records_read", "records_written", "records_valid", "records_rejected")
+    runs = tb.read_table(spark, f"{layout.audit_tables}/pipeline_runs").select(
+        F.col("pipeline_name").alias("name"), "status", *counts
+    )
+    results = tb.read_latest_snapshot(spark, layout.gold("indicador_municipio_ano")).groupBy(
+        F.lit("indicador_municipio_ano").alias("name"), F.col("status_meta").alias("status")
+    ).agg(F.count("*").alias("records_written"))
+    return runs.unionByName(results, allowMissingColumns=True)
+
+
 def silver_and_quarantine(spark, d):
     """What the silver step wrote: rows per layer, status and first reason."""
     layout = layers.Layout(new_folder(spark, "lake"))
@@ -775,7 +830,7 @@ def _write_logs(spark, d) -> str:
             F.count("*").alias("consumed"),
             F.count_if(F.col("value") <= 200).alias("valid"),
             (F.count("*") - F.count_distinct("user_id")).alias("duplicates"),
-            F.avg(F.second("ts")).alias("avg_latency_seconds"),
+            F.floor(F.avg(F.second("ts"))).cast("double").alias("avg_latency_seconds"),
         )
         .select(
             "consumed",
@@ -783,7 +838,7 @@ def _write_logs(spark, d) -> str:
             (F.col("consumed") - F.col("valid")).alias("invalid"),
             "duplicates",
             F.lit(1).cast("bigint").alias("flushed_batches"),
-            F.round("avg_latency_seconds", 3).alias("avg_latency_seconds"),
+            "avg_latency_seconds",
             F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit("T00:00:00+00:00")).alias("timestamp"),
         )
     )
@@ -876,6 +931,7 @@ QUERIES = {
         stream_session,
         stream_quarantine,
         layer_counts,
+        literacy_run,
         silver_and_quarantine,
         monitoring_report,
         audit_tables,

@@ -341,16 +341,20 @@ ORACLES = {
     "flattened_rows": """SELECT event_id,
         '{"event_type":"' || event_type || '","user_id":' || user_id || '}' AS who,
         '["' || event_type || '","x"]' AS tags, value FROM events""",
+    "event_files": "SELECT event_id, user_id, event_type, value FROM events",
     "topic_messages": """SELECT CAST(event_id AS VARCHAR) AS key, '{"event_id":' || event_id || ',"user_id":' || user_id
         || ',"event_type":"' || event_type || '","value":' || value || '}' AS value FROM events""",
     "routed_events": f"""WITH {_EVENTS} SELECT event_id, event_time, quantity, flag, price,
         CASE WHEN route = 'duplicate' THEN 'evento duplicado' ELSE errors END AS errors, route FROM routed""",
-    "routed_against_seen": f"""WITH {_EVENTS}, late AS (
-        SELECT *, row_number() OVER (PARTITION BY event_id, errors = '' ORDER BY event_time, quantity, flag, price) AS rn
-        FROM events_checked WHERE event_time >= '1998')
-        SELECT CASE WHEN errors <> '' THEN 'invalid' WHEN rn = 1 AND event_id NOT IN (
-          SELECT event_id FROM events_checked WHERE errors = '' AND event_time < '1998') THEN 'valid'
-          ELSE 'duplicate' END AS route, count(*) AS event_count FROM late GROUP BY 1""",
+    "routed_against_seen": f"""WITH {_EVENTS}, early AS (SELECT event_id FROM events_checked WHERE errors = '' AND event_time < '1998'),
+        batches AS (
+        SELECT *, CASE WHEN event_time < '1998' THEN 'first' ELSE 'second' END AS batch,
+          row_number() OVER (PARTITION BY event_id, errors = '', event_time < '1998'
+                             ORDER BY event_time, quantity, flag, price) AS rn
+        FROM events_checked)
+        SELECT batch, CASE WHEN errors <> '' THEN 'invalid'
+          WHEN rn = 1 AND (batch = 'first' OR event_id NOT IN (SELECT event_id FROM early)) THEN 'valid'
+          ELSE 'duplicate' END AS route, count(*) AS event_count FROM batches GROUP BY 1, 2""",
     "new_documents": """WITH d AS (
           SELECT doc_id, lang, source, sha256(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS fingerprint FROM documents)
         SELECT *, row_number() OVER (PARTITION BY fingerprint ORDER BY doc_id) = 1 AND fingerprint NOT IN (
@@ -375,14 +379,36 @@ ORACLES = {
           CASE WHEN reason = '' THEN 'none' ELSE reason END AS reason, count(*) AS row_count FROM tagged GROUP BY 1, 2""",
     "monitoring_report": f"""WITH {_CUSTOMER_CHECK}, {_LINE_CHECK}, ct AS ({_totals('customer')}), lt AS ({_totals('lineitem')}),
         q AS (SELECT ct.valid_count + lt.valid_count AS ok, ct.invalid_count + lt.invalid_count AS bad FROM ct, lt),
-        days AS (SELECT strftime(ts, '%Y-%m-%dT00:00:00+00:00') AS day, count(*) AS n FROM events GROUP BY 1)
+        days AS (SELECT strftime(ts, '%Y-%m-%dT00:00:00+00:00') AS day, count(*) AS n, floor(avg(second(ts))) AS latency,
+                   count(*) - count(DISTINCT user_id) AS again FROM events GROUP BY 1),
+        newest AS (SELECT * FROM days ORDER BY day DESC LIMIT 1)
         SELECT (SELECT count(DISTINCT o_orderpriority) FROM orders) AS total_pipeline_runs, 'customer,lineitem' AS entities,
           ok AS valid_rows, bad AS rejected_rows,
           round_even(bad * 100.0 / CAST(ok + bad AS DOUBLE) * 100, 0) / 100 AS rejection_pct,
           (SELECT count(*) FROM days) AS stream_sessions,
           (SELECT n FROM days ORDER BY day DESC LIMIT 1) AS last_consumed, (SELECT max(day) FROM days) AS last_stream_time,
           (SELECT strftime(max(o_orderdate), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' FROM orders) AS last_run_time,
-          CAST(0.5 AS DOUBLE) AS stream_latency_seconds, CAST(0 AS BIGINT) AS stream_duplicates
+          (SELECT latency FROM newest) AS stream_latency_seconds, (SELECT again FROM newest) AS stream_duplicates
         FROM q""",
+    "literacy_run": """WITH o AS (SELECT *, year(o_orderdate) AS ano FROM orders),
+        place_year AS (
+          SELECT ano, o_custkey, (count(*) * 30 % 130)::DOUBLE AS goal,
+                 ((sum(CAST(o_totalprice AS DECIMAL(18,2))) * 100)::BIGINT % 105)::DOUBLE AS rate FROM o GROUP BY 1, 2),
+        entities AS (
+          SELECT 'municipio' AS entity, count(*) AS total, count(*) FILTER (c_nationkey < 24) AS ok FROM customer
+          UNION ALL SELECT 'uf', count(*), count(*) FROM nation
+          UNION ALL SELECT 'meta_brasil', count(DISTINCT ano), count(DISTINCT ano) FROM o
+          UNION ALL SELECT 'meta_uf', count(*), count(*) FROM (
+            SELECT DISTINCT ano, c_nationkey FROM o JOIN customer ON o_custkey = c_custkey)
+          UNION ALL SELECT 'meta_municipio', count(*), count(*) FILTER (goal <= 100) FROM place_year
+          UNION ALL SELECT 'indicador_alfabetizacao', count(*), count(*) FILTER (rate <= 100) FROM place_year
+          UNION ALL SELECT 'aluno', count(*), count(*) FROM o)
+        SELECT 'batch_' || entity AS name, 'SUCCESS' AS status, total AS records_read, total AS records_written,
+               CAST(0 AS BIGINT) AS records_valid, CAST(0 AS BIGINT) AS records_rejected FROM entities
+        UNION ALL SELECT 'silver_' || entity, CASE WHEN ok < total THEN 'PASSED_WITH_WARNINGS' ELSE 'PASSED' END,
+               total, ok, ok, total - ok FROM entities
+        UNION ALL SELECT 'all', 'SUCCESS', 0, 0, 0, 0
+        UNION ALL SELECT 'indicador_municipio_ano', CASE WHEN goal > 100 THEN 'SEM_META' WHEN rate >= goal THEN 'ATINGIDA'
+               ELSE 'NAO_ATINGIDA' END, NULL, count(*), NULL, NULL FROM place_year WHERE rate <= 100 GROUP BY 2""",
     "audit_tables": _audit_rows(),
 }
