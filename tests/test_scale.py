@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+import statistics
 from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
 from lavra.operators import integrity as I
+from lavra.operators import median
 from lavra.operators.median import exact_median
 from lavra.operators.uniqueness import duplicated_keys, flag_repeats
 from lavra.plans import sales
@@ -87,10 +89,23 @@ def test_match_counts_join_counted_keys(spark, hot):
     assert "CartesianProduct" not in joined and "NestedLoop" not in joined
 
 
-def test_median_sorts_only_the_middle(spark, hot):
+def test_median_sorts_only_the_middle(spark, hot, monkeypatch):
+    sorted_rows = []
+    narrowed = median._narrowed
+
+    def watched(rows, most):
+        out = narrowed(rows, most)
+        sorted_rows.append((rows.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(median, "_narrowed", watched)
     rows = exact_median(hot.withColumn("g", F.lit("all")), "g", "v", accuracy=1000)
-    text = plan(rows)
-    assert "partial_count" in text and rows.first()["median"] == 29999.5
+    assert rows.first()["median"] == 29999.5
+    # one group of continuous values and a bracket far wider than what one task may sort
+    values = spark.range(40_000).select(F.lit(1).alias("g"), (F.xxhash64("id") / 3.0).alias("v"))
+    want = statistics.median(r["v"] for r in values.collect())
+    assert exact_median(values, "g", "v", accuracy=20, most=50).first()["median"] == want
+    assert sorted_rows[-1][0] > 5_000 and sorted_rows[-1][1] <= 2 * 50
 
 
 ROW_AT_A_TIME = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups")
