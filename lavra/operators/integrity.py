@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from lavra.functions.numbers import percent, to_number
 from lavra.operators.keys import left_lookup, semi
 from lavra.operators.uniqueness import repeated_keys
+from lavra.session import stage
 
 
 def _shared(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -76,12 +78,14 @@ class IntegrityCheck:
     keys: Sequence[str] = ()
 
 
-def _check_row(check: IntegrityCheck) -> DataFrame | None:
+def _check_row(check: IntegrityCheck, counted: dict[tuple, DataFrame]) -> DataFrame | None:
     left, right, keys = check.left, check.right, check.keys
     if left is None or (right is None and check.kind != "duplicates"):
         return None
     if check.kind in ("orphans", "match"):
-        return match_counts(left, right, keys).select(
+        counts = counted.get(_pair(check))
+        counts = match_counts(left, right, keys) if counts is None else counts
+        return counts.select(
             (F.col("total") - F.col("matched")).alias("failed_rows"),
             F.when(F.lit(check.kind == "match"), percent(F.col("matched"), F.col("total"))).alias("match_pct"),
         )
@@ -98,13 +102,34 @@ def _check_row(check: IntegrityCheck) -> DataFrame | None:
     raise ValueError(f"unknown integrity check: {check.kind}")
 
 
+def _pair(check: IntegrityCheck) -> tuple:
+    return id(check.left), id(check.right), tuple(check.keys)
+
+
+def _counted_once(checks: Sequence[IntegrityCheck]) -> dict[tuple, DataFrame]:
+    """Match counts, one row each, of the pairs that more than one check asks for."""
+    asked = Counter(
+        _pair(c) for c in checks if c.kind in ("orphans", "match") and c.left is not None and c.right is not None
+    )
+    once = {_pair(c): c for c in checks}
+    return {
+        pair: stage(match_counts(once[pair].left, once[pair].right, once[pair].keys), "matches")
+        for pair, times in asked.items()
+        if times > 1
+    }
+
+
 def integrity_report(checks: Sequence[IntegrityCheck]) -> DataFrame:
-    """One row per check: rows that fail it, match percentage, missing periods."""
+    """One row per check: rows that fail it, match percentage, missing periods.
+
+    A pair of tables that several checks compare is counted once.
+    """
+    counted = _counted_once(checks)
     spark = next(c.left for c in checks if c.left is not None).sparkSession
     schema = "failed_rows bigint, match_pct double, periods array<bigint>"
     lines = []
     for check in checks:
-        row = _check_row(check)
+        row = _check_row(check, counted)
         if row is None:
             row = spark.createDataFrame([(0, 0.0 if check.kind == "match" else None, [])], schema)
         empty = {"match_pct": F.lit(None).cast("double"), "periods": F.array().cast("array<bigint>")}

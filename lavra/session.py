@@ -61,8 +61,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, which `drop_stages` removes."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -74,11 +76,10 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
-    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stages(spark: SparkSession) -> None:
-    """Remove every staged copy of this process, once nothing reads them any more."""
+    """Remove every staged copy and folder of this process, once nothing reads them any more."""
     while _staged:
         drop_folder(spark, _staged.pop())

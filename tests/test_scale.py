@@ -9,6 +9,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from lavra.folders import exists
 from lavra.operators import integrity as I
 from lavra.operators import median
 from lavra.operators.median import exact_median
@@ -146,4 +147,4 @@ def test_stages_lie_in_the_shared_folder_and_go(spark):
     (file, *_) = df.inputFiles()
     assert shared_folder(spark).removeprefix("file:") in file
     drop_stages(spark)
-    assert not tb.exists(spark, file)
+    assert not exists(spark, file)

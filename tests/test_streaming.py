@@ -144,6 +144,52 @@ def test_one_id_floods_a_batch_and_returns(spark, tmp_path):
     assert (got["consumed"], got["valid"], got["duplicates"], got["flushed_batches"]) == (1560, 61, 1499, 3)
 
 
+def test_a_run_on_an_interval(spark, tmp_path):
+    inbox, base = tmp_path / "inbox", str(tmp_path / "lake")
+    inbox.mkdir()
+    paths = StreamPaths.under(base, "x")
+    (inbox / "0.jsonl").write_text("\n".join(EDGE) + "\n", encoding="utf-8")
+    stream = decode_events(text_stream(spark, str(inbox)), EVENT_FIELDS)
+    query = ingest.start_ingest(stream, EVENTS, paths, f"{base}/cp", interval="1 second")
+    try:
+        query.processAllAvailable()
+        (inbox / "1.jsonl").write_text(event(event_id="n1") + "\n" + event(event_id="n9") + "\n", encoding="utf-8")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = ingest.session_metrics(spark, paths).first()
+    assert (got["consumed"], got["valid"], got["invalid"], got["duplicates"], got["flushed_batches"]) == (8, 3, 3, 2, 2)
+
+
+@pytest.mark.parametrize("written", [0, 1, 2])
+def test_a_batch_that_crashed_is_written_once(spark, tmp_path, monkeypatch, written):
+    """The batch stops before its first, second or third table; the next start repeats it."""
+    inbox, base = tmp_path / "inbox", str(tmp_path / "lake")
+    inbox.mkdir()
+    paths = StreamPaths.under(base, "x")
+    (inbox / "0.jsonl").write_text("\n".join(EDGE) + "\n", encoding="utf-8")
+    write, done = ingest._write_batch, []
+
+    def failing(*args):
+        if len(done) == written:
+            raise RuntimeError("lost")
+        done.append(args)
+        return write(*args)
+
+    def run():
+        stream = decode_events(text_stream(spark, str(inbox)), EVENT_FIELDS)
+        return run_session(stream, EVENTS, paths, f"{base}/cp", f"{base}/audit").first()
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "_write_batch", failing)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    got = run()
+    assert (got["consumed"], got["valid"], got["invalid"], got["duplicates"]) == (6, 2, 3, 1)
+    assert sorted(r["event_id"] for r in spark.read.parquet(paths.bronze).collect()) == ["n1", "n2"]
+    assert spark.read.parquet(paths.quarantine).count() == 4
+
+
 def test_event_files_and_topic_records(spark, tmp_path):
     schema = "event_id string, taxa_alfabetizacao double"
     array, lines = tmp_path / "a.json", tmp_path / "l.json"
