@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lavra.llm.common import share_code
+from lavra.llm.common import filtered_joins, settled, share_code
 from lavra.llm.components import components
 from lavra.session import stage
 
@@ -50,8 +50,9 @@ class Join:
 
     words: int = 5
     percent: int = 80
-    leaf: int = 256
+    leaf: int = 512
     pivots: int = 8
+    testers: int = 128  # pivots of rounds that end small components
     levels: int = 12
 
 
@@ -162,7 +163,7 @@ def survivors(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
     rows = docs.select(F.col(key).alias("doc"), F.explode(shingles(F.col(text), join.words, window=True)).alias("h"))
     shared = rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").select(F.col("h").alias("h2"))
     return (
-        rows.join(stage(shared, "jaccard-shared"), F.col("h") == F.col("h2"), "left_semi")
+        rows.join(settled(shared, "jaccard-shared"), F.col("h") == F.col("h2"), "left_semi")
         .groupBy("doc")
         .agg(F.count("*").alias("n_shared"))
     )
@@ -180,18 +181,18 @@ def regions(docs: DataFrame, members: DataFrame, key: str, text: str, join: Join
     """(h, doc) of all regions, and (doc, n, set) of the classes in them."""
     near = survivors(docs, key, text, join)
     heads = members.where("n > 0 and doc = class").select("doc", "n").distinct()
-    wanted = stage(
+    wanted = settled(
         near.join(heads, "doc").where(F.col("n_shared") >= F.floor((F.col("n") + 24) / 25)).select(F.col("doc").alias("_doc"), "n_shared"),
         "jaccard-near",
     )
     found = docs.select(F.col(key).alias("doc"), F.col(text).alias("_text")).join(
-        wanted.where("n_shared > 0"), F.col("doc") == F.col("_doc"), "left_semi"
-    )
-    sets = stage(
-        found.select("doc", shingles(F.col("_text"), join.words).alias("set")).dropDuplicates(["doc"]), "jaccard-sets"
+        wanted.where("n_shared > 0").hint("merge"), F.col("doc") == F.col("_doc"), "left_semi"
     )
+    with filtered_joins(docs.sparkSession):
+        sets = found.select("doc", shingles(F.col("_text"), join.words).alias("set")).dropDuplicates(["doc"])
+        sets = settled(sets, "jaccard-sets")
     rows = sets.select("doc", F.explode("set").alias("h"))
-    shared = stage(rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-df")
+    shared = settled(rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-df")
     listed = (
         rows.join(shared.withColumnRenamed("h", "h2"), F.col("h") == F.col("h2"))
         .groupBy("doc")
@@ -201,7 +202,7 @@ def regions(docs: DataFrame, members: DataFrame, key: str, text: str, join: Join
     # members no other set has come first in the order and use up the window
     length = F.floor(F.col("n") * (100 - join.percent) / 100) + 1 - (F.col("n") - F.size("shared"))
     windows = listed.where(length > 0).select("doc", F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("m"))
-    return stage(windows.select(F.col("m.h").alias("h"), "doc"), "jaccard-regions"), sets
+    return settled(windows.select(F.col("m.h").alias("h"), "doc"), "jaccard-regions"), sets
 
 
 def _leaf_links(join: Join):
@@ -242,15 +243,20 @@ def _overlap(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
+def _cuts(level: int) -> bool:
+    """Whether a round cuts groups into cells; the others end small components."""
+    return level % 4 == 0
+
+
 def _pivots(members: DataFrame, sets: DataFrame, join: Join, level: int) -> DataFrame:
-    """Pivot sets of each large group: any at even levels, at odd ones those of its smallest components."""
+    """Pivot sets of each large group: any for a cut into cells, else those of its smallest components."""
     parts = members.groupBy(F.col("group").alias("pg"), F.col("component").alias("pc")).agg(F.count("*").alias("part"))
     rated = members.join(parts, (F.col("group") == F.col("pg")) & (F.col("component") == F.col("pc"))).select(
-        "group", "doc", "component", (F.col("part") if level % 2 else F.lit(0)).alias("part"), F.xxhash64(F.lit(level), "doc").alias("hash")
+        "group", "doc", "component", (F.lit(0) if _cuts(level) else F.col("part")).alias("part"), F.xxhash64(F.lit(level), "doc").alias("hash")
     )
     order = W.partitionBy("group").orderBy("part", "hash", "doc")
     chosen = rated.withColumn("rank", F.row_number().over(order)).where(
-        F.col("rank") <= join.pivots * (4 if level % 2 else 1)
+        F.col("rank") <= (join.pivots if _cuts(level) else join.testers)
     )
     of = sets.select(F.col("doc").alias("pd"), F.col("set").alias("ps"))
     return stage(
@@ -262,12 +268,12 @@ def _pivots(members: DataFrame, sets: DataFrame, join: Join, level: int) -> Data
 def _pivot_round(rows: DataFrame, members: DataFrame, sets: DataFrame, join: Join, level: int) -> tuple[DataFrame, DataFrame]:
     """Links of the sets of large groups to pivots, and what is left of their regions.
 
-    A pivot has met its whole group, so it leaves. At even levels regions are cut by the cells of
-    the pivots, for groups whose sets lie in two cells each at most on average.
+    A pivot has met its whole group, so it leaves. In rounds that cut, regions are cut by the cells
+    of the pivots, for groups whose sets lie in two cells each at most on average.
     """
     pivots = _pivots(members, sets, join, level)
     placed = members.join(sets, "doc").join(pivots, F.col("group") == F.col("g"))
-    if level % 2:  # only pairs that are not connected and whose sizes allow a link
+    if not _cuts(level):  # only pairs that are not connected and whose sizes allow a link
         n, m = F.size("set"), F.size("ps")
         placed = placed.where(
             (F.col("component") != F.col("pc")) & (n * 100 >= m * join.percent) & (m * 100 >= n * join.percent)
@@ -279,7 +285,7 @@ def _pivot_round(rows: DataFrame, members: DataFrame, sets: DataFrame, join: Joi
         F.col("doc").alias("a"), F.col("pivot").alias("b")
     )
     rows = rows.join(pivots.select("pivot"), F.col("doc") == F.col("pivot"), "left_anti")
-    if level % 2:
+    if not _cuts(level):
         return links, rows
     distance = 1 - F.col("both") / F.col("union")
     home = measured.groupBy(F.col("doc").alias("hd")).agg(F.min(distance).alias("home"))
