@@ -2,9 +2,9 @@
 
 First pass: a block is good by its stop words, bad by its links or by standing in page furniture;
 short ones, and long ones without stop words, stay undecided. Second pass: an undecided block
-takes the label of its nearest decided neighbours. Within an article or main element both ends
-count as good neighbours, and where a page has such an element with text, nothing outside it is
-part of the article.
+takes the label of its nearest decided neighbours. Within an article or main element, or one named
+as such, both ends count as good neighbours, and where a page has such a landmark with text,
+nothing outside it is part of the article; an element counts for more than a name.
 
 Null, empty and textless html give an empty text. Cut-off tags and comments end with the page,
 white space within a block is one blank. Each page is handled on its own, at any length.
@@ -47,6 +47,13 @@ FURNITURE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LANDMARKS = frozenset(("article", "main"))
+# Classes, ids and roles that pages without such elements give to what holds the text.
+LANDMARK_NAMES = frozenset(
+    """
+    article article-body article-content articlebody content content-body entry entry-content main main-content
+    maincontent page-content post post-body post-content story story-body
+    """.split()
+)
 # Words in class, id or role that name page furniture.
 FURNITURE_NAMES = frozenset(
     """
@@ -88,7 +95,8 @@ class Block:
     linked: int  # characters inside links
     links: int
     furniture: bool
-    region: int  # number of the landmark element, 0 outside
+    region: int  # number of the landmark, 0 outside
+    element: bool  # whether the landmark is an element, not just a name
     heading: bool
 
 
@@ -97,6 +105,10 @@ class _Open:
     tag: str
     furniture: bool
     region: int
+    element: bool
+
+
+_NOTHING = _Open("", False, 0, False)
 
 
 @dataclass
@@ -114,8 +126,9 @@ class _Reader:
     def flush(self, heading: bool = False) -> None:
         text = _SPACE.sub(" ", unescape("".join(self.parts))).strip(" ")
         if text:
-            top = self.stack[-1] if self.stack else _Open("", False, 0)
-            self.blocks.append(Block(text, min(self.linked, len(text)), self.links, top.furniture, top.region, heading))
+            top = self.stack[-1] if self.stack else _NOTHING
+            linked = min(self.linked, len(text))
+            self.blocks.append(Block(text, linked, self.links, top.furniture, top.region, top.element, heading))
         self.parts, self.linked, self.links = [], 0, 0
 
     def start(self, tag: str, attributes: str) -> None:
@@ -123,15 +136,15 @@ class _Reader:
             self.close_paragraph()
         if tag in ("li", "td", "th", "tr", "dt", "dd"):
             self.close_item(tag)
-        top = self.stack[-1] if self.stack else _Open("", False, 0)
+        top = self.stack[-1] if self.stack else _NOTHING
         furniture = top.furniture or tag in FURNITURE or (tag == "header" and not top.region)
-        region = top.region
+        region, element = top.region, top.element
         if attributes and not furniture and tag not in ("html", "body", "main"):
             furniture = _names_furniture(attributes, bool(region))
-        if tag in LANDMARKS and not furniture and not region:
+        if not furniture and not element and (tag in LANDMARKS or (not region and _names_landmark(attributes))):
             self.regions += 1
-            region = self.regions
-        self.stack.append(_Open(tag, furniture, region))
+            region, element = self.regions, tag in LANDMARKS
+        self.stack.append(_Open(tag, furniture, region, element))
 
     def close_paragraph(self) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
@@ -170,6 +183,12 @@ def _names_furniture(attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _names_landmark(attributes: str) -> bool:
+    return any(
+        name in LANDMARK_NAMES for match in _NAMES.finditer(attributes) for name in match[2].lower().strip("\"'").split()
+    )
+
+
 def read_blocks(html: str) -> list[Block]:
     """The blocks of a page in order, with where they stand."""
     reader, at = _Reader(), 0
@@ -263,10 +282,11 @@ def main_text(html: str | None, rules: BlockRules = BlockRules()) -> str:
     """The article of a page, a line per block."""
     blocks = read_blocks(html or "")
     labels = second_pass(blocks, [first_pass(b, rules) for b in blocks])
-    inside = any(ok and b.region for b, ok in zip(blocks, labels, strict=True))
-    return "\n".join(
-        b.text for b, ok in zip(blocks, labels, strict=True) if ok and (b.region or not inside)
-    )
+    good = [b for b, ok in zip(blocks, labels, strict=True) if ok]
+    for inside in (lambda b: b.element, lambda b: b.region):
+        if any(map(inside, good)):
+            good = list(filter(inside, good))
+    return "\n".join(b.text for b in good)
 
 
 def extract(html: Column, rules: BlockRules = BlockRules()) -> Column:

@@ -175,6 +175,13 @@ def test_page_without_landmarks_goes_by_its_blocks():
     assert pages.main_text(html) == f"{text}\nSo it is.\n{text}"
 
 
+def test_article_by_its_name():
+    html = """<div id=menu><a href=1>Home</a></div><div class="content wide"><h2>Title</h2><p>Short.</p>
+    <div class="share-buttons">Share this with all of the friends that you have in the world.</div></div><p>Outside.</p>"""
+    assert pages.main_text(html) == "Title\nShort."
+    assert pages.main_text(html.replace("<h2>", "<article><h2>").replace("Short.</p>", "Short.</p></article><p>Not in it.</p>")) == "Title\nShort."
+
+
 # --- pieces
 
 
