@@ -36,6 +36,9 @@ SCHEMAS = {
     ),
 }
 
+# Logs with a folder per value of these columns.
+PARTITIONS = {"quality_results": ("entity",)}
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
@@ -79,15 +82,19 @@ def pipeline_run(
 
 
 def append_audit(df: DataFrame, path: str, log: str) -> None:
-    """Append rows to a log, one JSON object per line."""
-    df.write.mode("append").option("ignoreNullFields", "false").json(f"{path}/{log}")
+    """Append rows to a log, one JSON object per line; quality results in a folder per entity."""
+    writer = df.write.mode("append").option("ignoreNullFields", "false")
+    if log in PARTITIONS:
+        writer = writer.partitionBy(*PARTITIONS[log])
+    writer.json(f"{path}/{log}")
 
 
 def read_audit(spark: SparkSession, path: str, log: str) -> DataFrame:
     """A log with its declared fields; empty where it was never written."""
     if not exists(spark, f"{path}/{log}"):
         return spark.createDataFrame([], SCHEMAS[log])
-    return spark.read.schema(SCHEMAS[log]).json(f"{path}/{log}")
+    fields = spark.createDataFrame([], SCHEMAS[log]).columns
+    return spark.read.schema(SCHEMAS[log]).json(f"{path}/{log}").select(*fields)
 
 
 def sync_audit(spark: SparkSession, audit_path: str, table_path: str) -> dict[str, int]:
