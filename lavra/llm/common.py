@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import gc
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lavra.session import stage
+
 # The white space that separates words (space and U+0009 to U+000D).
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -36,3 +41,27 @@ def share_code(spark: SparkSession | None = None) -> None:
     paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """A staged copy, after which Spark may drop the shuffle files that made it.
+
+    It drops those of plans that nothing refers to any more, once the driver collects its
+    garbage, which a small driver heap may put off until the disks are full.
+    """
+    copy = stage(df, name)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return copy
+
+
+@contextmanager
+def filtered_joins(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark tests rows of any table against a Bloom filter of a small join side before it shuffles them."""
+    setting = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

@@ -15,9 +15,9 @@ task; sets are sorted by distance to a pivot set, and only those within the limi
 there are compared. A larger group gets pivot sets; sets within the limit of a pivot link to it,
 and sets that are connected need not meet again. Each set's home is its nearest pivot, and it is
 replicated to pivots no further than home plus twice the limit, where that cuts the group. What is
-left of the regions is joined recursively, by turns with pivots from the smallest components, the
-ones that still have to meet others. What is left after `levels` rounds is compared pair by pair,
-spread over tasks. Nothing is capped and no link is lost.
+left of the regions is joined recursively. A group that is still too large after `levels` rounds is
+cut into blocks, and every two of them meet in a task of their own, where members shared are
+counted and no pair is written. Nothing is capped and no link is lost.
 
 Equal sets are one class, named by the smallest id, and travel once. Shingles are 64-bit hashes.
 Texts without words have no shingles and no links; a text with fewer words than a shingle has one,
@@ -50,10 +50,9 @@ class Join:
 
     words: int = 5
     percent: int = 80
-    leaf: int = 512
+    leaf: int = 1024
     pivots: int = 8
-    testers: int = 128  # pivots of rounds that end small components
-    levels: int = 12
+    levels: int = 1  # rounds of pivots
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -205,88 +204,111 @@ def regions(docs: DataFrame, members: DataFrame, key: str, text: str, join: Join
     return settled(windows.select(F.col("m.h").alias("h"), "doc"), "jaccard-regions"), sets
 
 
-def _leaf_links(join: Join):
-    """Links within one group, as (doc, other); connected sets are not compared again."""
+def _linked(docs, sets, label, side, join: Join) -> list[tuple[int, int]]:
+    """Enough links to connect what is linked among the sets of one task.
+
+    With `side` only pairs of different sides are compared. Sets stand in the order of their
+    distance to a pivot, and each is compared with those behind it that are no further than the
+    limit: members shared with all of them are counted at once from lists of who holds a member.
+    """
+    pivot = sets[0]
+    shares = [similar(pivot, s) for s in sets]
+    distance = np.array([1 - both / union for both, union in shares])
+    by = np.argsort(distance, kind="stable")
+    distance, docs, label = distance[by], docs[by], label[by]
+    side = None if side is None else side[by]
+    sizes = np.array([len(sets[i]) for i in by])
+    members = np.concatenate([sets[i] for i in by])
+    holder = np.repeat(np.arange(len(by)), sizes)
+    order = np.argsort(members, kind="stable")
+    members, holders = members[order], holder[order]
+    starts = np.flatnonzero(np.diff(members, prepend=members[0] - 1))
+    lengths = np.diff(np.append(starts, len(members)))
+    # the list that each member of each set stands in
+    list_of = np.empty(len(order), np.int64)
+    list_of[order] = np.repeat(np.arange(len(starts)), lengths)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    reach = np.searchsorted(distance, distance + (1 - join.percent / 100 + 1e-9), side="right")
+    found: list[tuple[int, int]] = []
+    for i in range(len(by)):
+        if reach[i] <= i + 1:
+            continue
+        lists = list_of[at[i] : at[i + 1]]
+        lists = lists[lengths[lists] > 1]
+        n = lengths[lists]
+        places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - starts[lists], n)
+        both = np.bincount(holders[places], minlength=len(by))[i + 1 : reach[i]]
+        union = sizes[i] + sizes[i + 1 : reach[i]] - both
+        linked = (100 * both >= join.percent * union) & (label[i + 1 : reach[i]] != label[i])
+        if side is not None:
+            linked &= side[i + 1 : reach[i]] != side[i]
+        for j in np.flatnonzero(linked) + i + 1:
+            if label[j] != label[i]:
+                found.append((docs[i], docs[j]))
+                label[label == label[j]] = label[i]
+    return found
+
+
+def _task_links(join: Join, sided: bool):
+    """Links found in one task, which gets at most a leaf, or two of its blocks."""
 
     def links(group: pa.Table) -> pa.Table:
         docs = group.column("doc").to_numpy()
         order = np.argsort(docs)
-        docs = docs[order]
         column = group.column("set").combine_chunks()
         sets = [column[int(i)].values.to_numpy(zero_copy_only=False) for i in order]
         label = group.column("component").to_numpy()[order].copy()
-        pivot = sets[0]
-        distance = np.array([1 - both / union for both, union in (similar(pivot, s) for s in sets)])
-        limit = 1 - join.percent / 100 + 1e-9
-        by = np.argsort(distance, kind="stable")
-        found: list[tuple[int, int]] = []
-        for k, i in enumerate(by):
-            for j in by[k + 1 :]:
-                if distance[j] - distance[i] > limit:
-                    break
-                if label[i] == label[j]:
-                    continue
-                small, large = sorted((len(sets[i]), len(sets[j])))
-                if 100 * small < join.percent * large:
-                    continue
-                both, union = similar(sets[i], sets[j])
-                if 100 * both >= join.percent * union:
-                    found.append((docs[i], docs[j]))
-                    label[label == label[j]] = label[i]
+        side = group.column("block").to_numpy()[order] if sided else None
+        found = _linked(docs[order], sets, label, side, join)
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return links
 
 
+def _block_links(members: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """Links of groups too large for one task: every two blocks of a group meet in a task of their own."""
+    half = max(1, join.leaf // 2)
+    blocks = F.ceil(F.col("size") / half).cast("int")
+    placed = members.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int")).join(sets, "doc")
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc", "component", "set"
+    )
+    keys = ["group", "low", "high"]
+    schema = "a long, b long"
+    own = pairs.where("low = high").groupBy(*keys).applyInArrow(_task_links(join, False), schema)
+    across = pairs.where("low < high").groupBy(*keys).applyInArrow(_task_links(join, True), schema)
+    return own.unionByName(across)
+
+
 def _overlap(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
-def _cuts(level: int) -> bool:
-    """Whether a round cuts groups into cells; the others end small components."""
-    return level % 4 == 0
-
+def _pivot_round(rows: DataFrame, members: DataFrame, sets: DataFrame, join: Join, level: int) -> tuple[DataFrame, DataFrame]:
+    """Links of the sets of large groups to pivots, and what is left of their regions.
 
-def _pivots(members: DataFrame, sets: DataFrame, join: Join, level: int) -> DataFrame:
-    """Pivot sets of each large group: any for a cut into cells, else those of its smallest components."""
-    parts = members.groupBy(F.col("group").alias("pg"), F.col("component").alias("pc")).agg(F.count("*").alias("part"))
-    rated = members.join(parts, (F.col("group") == F.col("pg")) & (F.col("component") == F.col("pc"))).select(
-        "group", "doc", "component", (F.lit(0) if _cuts(level) else F.col("part")).alias("part"), F.xxhash64(F.lit(level), "doc").alias("hash")
-    )
-    order = W.partitionBy("group").orderBy("part", "hash", "doc")
-    chosen = rated.withColumn("rank", F.row_number().over(order)).where(
-        F.col("rank") <= (join.pivots if _cuts(level) else join.testers)
+    A pivot has met its whole group, so it leaves. Regions are cut by the cells of the pivots, for
+    groups whose sets lie in two cells each at most on average.
+    """
+    order = W.partitionBy("group").orderBy("hash", "doc")
+    chosen = (
+        members.withColumn("hash", F.xxhash64(F.lit(level), "doc"))
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= join.pivots)
     )
     of = sets.select(F.col("doc").alias("pd"), F.col("set").alias("ps"))
-    return stage(
-        chosen.join(of, F.col("doc") == F.col("pd")).select(F.col("group").alias("g"), F.col("doc").alias("pivot"), F.col("component").alias("pc"), "ps"),
+    pivots = stage(
+        chosen.join(of, F.col("doc") == F.col("pd")).select(F.col("group").alias("g"), F.col("doc").alias("pivot"), "ps"),
         "jaccard-pivots",
     )
-
-
-def _pivot_round(rows: DataFrame, members: DataFrame, sets: DataFrame, join: Join, level: int) -> tuple[DataFrame, DataFrame]:
-    """Links of the sets of large groups to pivots, and what is left of their regions.
-
-    A pivot has met its whole group, so it leaves. In rounds that cut, regions are cut by the cells
-    of the pivots, for groups whose sets lie in two cells each at most on average.
-    """
-    pivots = _pivots(members, sets, join, level)
-    placed = members.join(sets, "doc").join(pivots, F.col("group") == F.col("g"))
-    if not _cuts(level):  # only pairs that are not connected and whose sizes allow a link
-        n, m = F.size("set"), F.size("ps")
-        placed = placed.where(
-            (F.col("component") != F.col("pc")) & (n * 100 >= m * join.percent) & (m * 100 >= n * join.percent)
-        )
-    measured = placed.withColumn("both", _overlap("set", "ps"))
+    measured = members.join(sets, "doc").join(pivots, F.col("group") == F.col("g")).withColumn("both", _overlap("set", "ps"))
     union = F.size("set") + F.size("ps") - F.col("both")
     measured = stage(measured.select("doc", "group", "pivot", "both", union.alias("union")), "jaccard-distances")
     links = measured.where((F.col("doc") != F.col("pivot")) & (F.col("both") * 100 >= F.col("union") * join.percent)).select(
         F.col("doc").alias("a"), F.col("pivot").alias("b")
     )
     rows = rows.join(pivots.select("pivot"), F.col("doc") == F.col("pivot"), "left_anti")
-    if not _cuts(level):
-        return links, rows
     distance = 1 - F.col("both") / F.col("union")
     home = measured.groupBy(F.col("doc").alias("hd")).agg(F.min(distance).alias("home"))
     window = 2 * (1 - join.percent / 100) + 1e-9
@@ -331,37 +353,19 @@ def links(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
             "jaccard-groups",
         )
         small = members.where(F.col("size") <= join.leaf).join(sets, "doc").select("group", "doc", "component", "set")
-        new = small.groupBy("group").applyInArrow(_leaf_links(join), "a long, b long")
-        large = members.where(F.col("size") > join.leaf).select("doc", "group", "component")
+        new = small.groupBy("group").applyInArrow(_task_links(join, False), "a long, b long")
+        large = members.where(F.col("size") > join.leaf)
         if large.isEmpty():
             return stage(found.unionByName(new), "jaccard-links")
-        rows = known.select("h", "doc").join(large.select("doc"), "doc", "left_semi").select("h", "doc")
         if level == join.levels:
-            return stage(found.unionByName(new).unionByName(_all_pairs(rows, members, sets, join)), "jaccard-links")
+            return stage(found.unionByName(new).unionByName(_block_links(large, sets, join)), "jaccard-links")
+        rows = known.select("h", "doc").join(large.select("doc"), "doc", "left_semi").select("h", "doc")
         pivot_links, rows = _pivot_round(rows, large, sets, join, level)
         rows = stage(rows, "jaccard-regions")
         found = stage(found.unionByName(new).unionByName(pivot_links), "jaccard-links")
     return found
 
 
-def _all_pairs(rows: DataFrame, members: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """Links between sets of one region that are not connected yet, spread over tasks."""
-    own = rows.join(members.select("doc", "component"), "doc").join(sets.select("doc", F.size("set").alias("n")), "doc")
-    other = own.select(F.col("h").alias("h2"), F.col("doc").alias("b"), F.col("component").alias("c2"), F.col("n").alias("n2"))
-    pairs = (
-        own.join(other, (F.col("h") == F.col("h2")) & (F.col("doc") < F.col("b")) & (F.col("component") != F.col("c2")))
-        .where((F.col("n") * 100 >= F.col("n2") * join.percent) & (F.col("n2") * 100 >= F.col("n") * join.percent))
-        .select(F.col("doc").alias("a"), "b")
-        .distinct()
-    )
-    left = sets.select(F.col("doc").alias("a"), F.col("set").alias("sa"))
-    right = sets.select(F.col("doc").alias("b"), F.col("set").alias("sb"))
-    measured = pairs.join(left, "a").join(right, "b").withColumn("both", _overlap("sa", "sb"))
-    return measured.where(
-        F.col("both") * 100 >= (F.size("sa") + F.size("sb") - F.col("both")) * join.percent
-    ).select("a", "b")
-
-
 def join_components(docs: DataFrame, join: Join | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, `n_shingles`, `component_id` and the class of equal sets it belongs to."""
     join = join or Join()

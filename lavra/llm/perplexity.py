@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lavra.llm.common import share_code
+from lavra.llm.common import filtered_joins, settled, share_code
 from lavra.session import stage
 
 _START = "\x02"  # stands before a text
@@ -399,15 +399,18 @@ def classify(
         F.col(language).cast("string").alias("_lang"),
         F.col(text).alias("_text"),
     )
-    ids = trusted.select(F.col(key).alias("_id")).where("_id is not null").distinct()
+    ids = trusted.select(F.col(key).alias("_id")).where("_id is not null")
     held = F.pmod(F.xxhash64(F.col("_key").cast("string")), F.lit(judge.held_out)) == 0
-    training = rows.select("_key", "_lang", "_text").where(~held).join(ids, F.col("_key") == F.col("_id"), "left_semi")
-    counts = stage(gram_counts(training, "_lang", "_text", judge.order), "kn-grams")
+    training = rows.select("_key", "_lang", "_text").where(~held).join(
+        ids.hint("merge"), F.col("_key") == F.col("_id"), "left_semi"
+    )
+    with filtered_joins(docs.sparkSession):
+        counts = settled(gram_counts(training, "_lang", "_text", judge.order), "kn-grams")
     model = language_model(counts, judge.order)
     scored = log_perplexity(rows, model, judge, "_lang", "_text")
     scored = stage(scored.select("_row", "_key", "_lang", "_logp"), "kn-scored")
     marked = scored.select("_key", "_lang", "_logp").join(
-        ids.withColumn("_trusted", F.lit(True)), F.col("_key") == F.col("_id"), "left"
+        ids.distinct().withColumn("_trusted", F.lit(True)), F.col("_key") == F.col("_id"), "left"
     )
     found = stage(limits(marked.withColumn("_held", held), judge, "_lang"), "kn-limits")
     judged = scored.join(F.broadcast(found), F.col("_lang").eqNullSafe(F.col("_l")), "left")  # a row per language

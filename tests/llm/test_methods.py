@@ -130,7 +130,7 @@ def planted_texts(rng):
     return dict(enumerate(texts))
 
 
-@pytest.mark.parametrize("options", [{}, {"leaf": 8, "pivots": 3}, {"leaf": 4, "pivots": 2, "levels": 0}])
+@pytest.mark.parametrize("options", [{}, {"leaf": 8, "pivots": 3}, {"leaf": 7, "pivots": 2, "levels": 0}])
 def test_join_equals_all_pairs(spark, options):
     texts = planted_texts(random.Random(4))
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
