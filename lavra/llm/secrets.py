@@ -4,8 +4,8 @@ A candidate is a run of key-like characters. The forest looks at its length, its
 transitions (against bigrams of the corpus), how much of it dictionary words cover, whether it
 sits in a path, and the words beside it. It is trained from labelled findings: given ones, or
 those of `labelled_findings`, which spells secrets and look-alikes by rule with a fixed seed.
-Dictionary and bigrams come from a bounded sample of `sample_documents` documents; every document
-is scanned whole.
+Dictionary and bigrams are counted over all documents; only the words that make at least `least_share`
+of all words are sent to the tasks. Every document is scanned whole.
 
 Null and empty text has no findings. Spans count code points. Equal rows have equal findings.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lavra.llm.common import share_code, words
-from lavra.llm.sampling import bounded_ids, rows_of
+from lavra.session import stage
 
 MASK = "[SECRET]"
 # Words beside a value that speak for a secret, and against one.
@@ -229,23 +229,22 @@ class Scanner:
         return text if not out else "".join(out) + text[last:]
 
 
-def corpus_context(docs: DataFrame, key: str, text: str, sample_documents: int = 2000, size: int = 2000) -> Context:
-    """Frequent words and letter pairs of a bounded sample of documents."""
-    sample = rows_of(docs, bounded_ids(docs, key, sample_documents), key)
+def corpus_context(docs: DataFrame, text: str, least_share: float = 1e-6) -> Context:
+    """Frequent words of all documents, and the letter pairs of all their words."""
     found = (
-        sample.select(F.explode(words(F.lower(F.col(text)))).alias("w"))
+        docs.select(F.explode(words(F.lower(F.col(text)))).alias("w"))
         .where(F.col("w").rlike("^[a-z]{4,12}$"))
         .groupBy("w")
         .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "w")
-        .limit(size)
-        .collect()  # at most `size` words
     )
+    found = stage(found, "secret-words")
+    pair = F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substr("w", i, F.lit(2))))
     counts = np.ones((27, 27))
-    for row in found:
-        codes = np.frombuffer(row["w"].encode(), np.uint8).astype(int) - 97
-        np.add.at(counts, (codes[:-1], codes[1:]), row["n"])
-    return Context(frozenset(r["w"] for r in found), np.log(counts / counts.sum(axis=1, keepdims=True)))
+    for row in found.select("n", pair.alias("pair")).groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 26 x 26 at most
+        counts[ord(row["pair"][0]) - 97, ord(row["pair"][1]) - 97] += row["n"]
+    total = found.agg(F.sum("n")).first()[0] or 0
+    frequent = found.where(F.col("n") >= least_share * total).select("w").collect()  # 1 / `least_share` words at most
+    return Context(frozenset(r["w"] for r in frequent), np.log(counts / counts.sum(axis=1, keepdims=True)))
 
 
 def train(context: Context, findings: Sequence[Finding] | None = None, threshold: float = 0.5) -> Scanner:
@@ -255,8 +254,8 @@ def train(context: Context, findings: Sequence[Finding] | None = None, threshold
     return Scanner(context, Forest().fit(x, np.array([r.secret for r in rows], float)), threshold)
 
 
-def scanner_for(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> Scanner:
-    return train(corpus_context(docs, key, text), **options)
+def scanner_for(docs: DataFrame, text: str = "text", **options) -> Scanner:
+    return train(corpus_context(docs, text), **options)
 
 
 def scan(scanner: Scanner, text: Column) -> Column:

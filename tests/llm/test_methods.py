@@ -231,6 +231,20 @@ def test_mask_keeps_everything_but_the_secret():
     assert [(text[a:b], s >= 0.5) for a, b, s in scanner.scan(text)][0] == (value, True)
 
 
+def test_dictionary_and_pairs_of_all_documents(spark):
+    spelled = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    rows = [(i, f"oak {spelled(i)} elm") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    context = secrets.corpus_context(docs, "text")
+    assert context.dictionary == {spelled(i) for i in range(4000)}
+    counts = np.ones((27, 27))
+    for i in range(4000):
+        for a, b in zip(spelled(i), spelled(i)[1:]):
+            counts[ord(a) - 97, ord(b) - 97] += 1
+    assert np.allclose(context.pairs, np.log(counts / counts.sum(axis=1, keepdims=True)))
+    assert secrets.corpus_context(docs, "text", least_share=0.001).dictionary == set()
+
+
 # --- toxicity
 
 
