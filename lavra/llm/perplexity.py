@@ -8,7 +8,10 @@ all look-ups of a position fall into one shard. Shards have a checked size and a
 after the other, and each text's log probability is the sum of what it gets from every shard.
 
 A text is rejected where its perplexity is above its language's limit: the `quantile` of trusted
-texts that were kept out of training, moved up by `slack` times their spread, both on a log scale.
+texts that were kept out of training. The mean of a short text strays further, so on the log scale
+distances from the median count as if each text had `prior` more characters at the median; the
+limit of a text follows from its length. Where a language has too few trusted texts to keep some
+out, those of the training set the limit, which then moves up by `slack` times their spread.
 
 Characters, not words, are the units: their counts are dense enough that unseen words of a
 trusted language stay likely, and their tables are far smaller than the text. White space counts
@@ -48,7 +51,8 @@ class Judge:
 
     order: int = 5
     quantile: float = 0.99
-    slack: float = 3.0
+    prior: float = 50.0
+    slack: float = 1.0
     held_out: int = 8  # one in so many trusted texts sets the limit instead of training
     min_held_out: int = 20  # with fewer, all trusted texts of the language set it
     shard_entries: int = 4_000_000
@@ -319,7 +323,10 @@ def _score_texts(texts, languages, table: Table, order: int, shard: int, shards:
 
 
 def log_perplexity(docs: DataFrame, model: DataFrame, judge: Judge, language: str, text: str) -> DataFrame:
-    """`docs` with `_logp`, the log probability per character with its sign turned; null without a model."""
+    """`docs` with `_logp`, the log probability per character with its sign turned, and the number `_chars` of these.
+
+    `_logp` is null without a model.
+    """
     spark = docs.sparkSession
     share_code(spark)
     entries = stage(_entries(model), "kn-entries")
@@ -337,7 +344,8 @@ def log_perplexity(docs: DataFrame, model: DataFrame, judge: Judge, language: st
         part = _score_column(shared, judge.order, shard, shards)(F.col(language).cast("string"), F.col(text))
         scored = scored.withColumn("_logp", part if not shard else F.col("_logp") + part)
     length = F.length(F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"(?U)\s+", " ")))
-    mean = -F.col("_logp") / F.when(length > 0, length)
+    scored = scored.withColumn("_chars", length)
+    mean = -F.col("_logp") / F.when(F.col("_chars") > 0, F.col("_chars"))
     return scored.withColumn("_logp", F.when(~F.isnan("_logp"), mean))
 
 
@@ -363,20 +371,31 @@ def _score_column(shared, order: int, shard: int, shards: int):
     return scores
 
 
-def limits(scored: DataFrame, judge: Judge, language: str) -> DataFrame:
-    """The limit of log perplexity per language, from rows with `_logp`, `_trusted`, `_held`."""
-    step = F.floor(F.col("_logp") / _STEP).cast("long")
-    bins = (
-        scored.where("_trusted and _logp is not null")
-        .groupBy(F.col(language).alias("_l"), step.alias("bin"))
-        .agg(F.count_if("_held").alias("held"), F.count("*").alias("all"))
+def _quantile(rows: DataFrame, value: Column, quantile: float, judge: Judge, language: str) -> DataFrame:
+    """Rows (_l, edge, few): a quantile of held-out texts per language, of all trusted ones where those are few."""
+    bins = rows.groupBy(F.col(language).alias("_l"), F.floor(value / _STEP).cast("long").alias("bin")).agg(
+        F.count_if("_held").alias("held"), F.count("*").alias("all")
     )
     per = W.partitionBy("_l")
-    n = F.when(F.sum("held").over(per) >= judge.min_held_out, F.col("held")).otherwise(F.col("all"))
-    run = bins.withColumn("n", n).withColumn("upto", F.sum("n").over(per.orderBy("bin"))).withColumn("of", F.sum("n").over(per))
-    edge = lambda q: F.min(F.when(F.col("upto") >= q * F.col("of"), (F.col("bin") + 1) * _STEP))
-    found = run.groupBy("_l").agg(edge(judge.quantile).alias("high"), edge(0.5).alias("middle"))
-    return found.select("_l", (F.col("high") + judge.slack * (F.col("high") - F.col("middle"))).alias("_limit"))
+    run = bins.withColumn("few", F.sum("held").over(per) < judge.min_held_out)
+    run = run.withColumn("n", F.when(F.col("few"), F.col("all")).otherwise(F.col("held")))
+    run = run.withColumn("upto", F.sum("n").over(per.orderBy("bin"))).withColumn("of", F.sum("n").over(per))
+    edge = F.min(F.when(F.col("upto") >= quantile * F.col("of"), (F.col("bin") + 1) * _STEP))
+    return run.groupBy("_l").agg(edge.alias("edge"), F.first("few").alias("few"))
+
+
+def limits(scored: DataFrame, judge: Judge, language: str) -> DataFrame:
+    """Rows (_l, _middle, _reach): median log perplexity, and how far above it a text of endless length may lie.
+
+    From rows with `_logp`, `_chars`, `_trusted`, `_held`.
+    """
+    rows = scored.where("_trusted and _logp is not null")
+    middle = stage(_quantile(rows, F.col("_logp"), 0.5, judge, language).select(F.col("_l").alias("_m"), F.col("edge").alias("_middle")), "kn-middle")
+    near = rows.join(F.broadcast(middle), F.col(language).eqNullSafe(F.col("_m")))  # a row per language
+    away = (F.col("_logp") - F.col("_middle")) * F.col("_chars") / (F.col("_chars") + judge.prior)
+    found = _quantile(near, away, judge.quantile, judge, language)
+    reach = F.col("edge") * F.when(F.col("few"), 1 + judge.slack).otherwise(1.0)
+    return found.join(F.broadcast(middle), F.col("_l").eqNullSafe(F.col("_m"))).select("_l", "_middle", reach.alias("_reach"))
 
 
 def classify(
@@ -390,7 +409,7 @@ def classify(
 ) -> DataFrame:
     """Every row's columns `keep` (all where not given) in the struct `_row`, with `_perplexity`, `_limit` and `_kept`.
 
-    `trusted` holds the ids of trusted texts in its column `key`.
+    `_limit` is that of the row's language and length, null without characters. `trusted` holds the ids of trusted texts in its column `key`.
     """
     judge = judge or Judge()
     rows = docs.select(
@@ -408,12 +427,13 @@ def classify(
         counts = settled(gram_counts(training, "_lang", "_text", judge.order), "kn-grams")
     model = language_model(counts, judge.order)
     scored = log_perplexity(rows, model, judge, "_lang", "_text")
-    scored = stage(scored.select("_row", "_key", "_lang", "_logp"), "kn-scored")
-    marked = scored.select("_key", "_lang", "_logp").join(
+    scored = stage(scored.select("_row", "_key", "_lang", "_logp", "_chars"), "kn-scored")
+    marked = scored.select("_key", "_lang", "_logp", "_chars").join(
         ids.distinct().withColumn("_trusted", F.lit(True)), F.col("_key") == F.col("_id"), "left"
     )
     found = stage(limits(marked.withColumn("_held", held), judge, "_lang"), "kn-limits")
     judged = scored.join(F.broadcast(found), F.col("_lang").eqNullSafe(F.col("_l")), "left")  # a row per language
-    # no limit: a language without trusted text; no value with a limit: a text without characters
-    kept = F.when(F.col("_limit").isNull(), F.lit(True)).otherwise(F.coalesce(F.col("_logp") <= F.col("_limit"), F.lit(False)))
-    return judged.select("_row", F.exp("_logp").alias("_perplexity"), F.exp("_limit").alias("_limit"), kept.alias("_kept"))
+    limit = F.col("_middle") + F.col("_reach") * (1 + judge.prior / F.when(F.col("_chars") > 0, F.col("_chars")))
+    # no reach: a language without trusted text; no value with a reach: a text without characters
+    kept = F.when(F.col("_reach").isNull(), F.lit(True)).otherwise(F.coalesce(F.col("_logp") <= limit, F.lit(False)))
+    return judged.select("_row", F.exp("_logp").alias("_perplexity"), F.exp(limit).alias("_limit"), kept.alias("_kept"))

@@ -85,6 +85,19 @@ def test_classifier_rejects_junk_and_keeps_clean_text(spark):
     assert {i for i, *_ in clean} == kept
 
 
+def test_limit_is_the_held_out_quantile_whatever_short_texts_do(spark):
+    rng = random.Random(5)
+    names = ["".join(rng.choices("abcdeilmnorst", k=rng.randint(4, 8))) for _ in range(3000)]
+    clean = [(i, prose(rng, 2 if i % 20 == 0 else 60, WORDS * 2000 + names), "en") for i in range(1200)]
+    junk = [(5000 + i, " | ".join(rng.choices(WORDS, k=60)), "en") for i in range(60)]
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string")
+    trusted = docs.where("doc_id < 800").select("doc_id")
+    kept = {r[0] for r in perplexity.classify(docs, trusted).where("_kept").select("_row.doc_id").collect()}
+    assert not any(i >= 5000 for i in kept)
+    assert len(kept) >= 0.97 * len(clean)
+    assert sum(i in kept for i in range(0, 1200, 20)) >= 57  # of 60 short texts
+
+
 # --- join
 
 
