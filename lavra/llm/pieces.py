@@ -1,12 +1,16 @@
 """SentencePiece encoding and decoding with the pieces of a given model.
 
-The best-scored segmentation is found in one pass: an Aho-Corasick automaton over the pieces
-reports at each position every piece that ends there (the longest first, then along its output
-links), and each of them relaxes the best score of that position. A character without a piece
-costs the lowest score less ten and is spelled in byte pieces. Equal scores: the longer last
-piece stays.
+A BPE model's scores are the ranks of its merges: neighbours whose union is a piece are joined, the
+best-scored pair first and the leftmost of equals, until none is left. That gives the ids of
+`SentencePieceProcessor.encode`. A character without a piece is spelled in byte pieces.
 
-No piece holds a word boundary after another character, so the best segmentation of a text is
+The scores of a unigram model are log probabilities, and the best-scored segmentation is found in
+one pass: an Aho-Corasick automaton over the pieces reports at each position every piece that ends
+there (the longest first, then along its output links), and each of them relaxes the best score of
+that position. A character without a piece costs the lowest score less ten. Equal scores: the
+longer last piece stays.
+
+No piece holds a word boundary after another character, so the segmentation of a text is
 that of its words one after the other; a worker keeps the segmentation of words it has seen.
 The model is a fixed vocabulary file; its pieces are sent to the workers, not the file.
 
@@ -16,6 +20,7 @@ the text, but for U+2581 in it, which reads as a blank, as the format has it.
 
 from __future__ import annotations
 
+import heapq
 import re
 from array import array
 from functools import cache
@@ -55,6 +60,20 @@ def load_pieces(path: str) -> tuple[tuple[str, ...], tuple[float, ...], tuple[in
     return tuple(model.id_to_piece(i) for i in ids), tuple(model.get_score(i) for i in ids), kinds
 
 
+@cache
+def is_bpe(path: str) -> bool:
+    """Whether the scores of a model rank merges."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as file:
+        model.ParseFromString(file.read())
+    spec = model.trainer_spec
+    if spec.model_type == spec.BPE and any(p.type in (p.USER_DEFINED, p.UNUSED) for p in model.pieces):
+        raise ValueError("merges with user-defined or unused pieces are not supported")
+    return spec.model_type == spec.BPE
+
+
 class Segmenter:
     """Viterbi over the matches of the automaton, with the words seen so far."""
 
@@ -144,14 +163,52 @@ class Segmenter:
         return flat[places], np.diff(text_ends, prepend=0)
 
 
+class Merger(Segmenter):
+    """The merges of a BPE model, with the words seen so far."""
+
+    def __init__(self, pieces, scores, kinds):
+        super().__init__(pieces, scores, kinds)
+        found = enumerate(zip(pieces, scores, kinds, strict=True))
+        self.place = {piece: (-score, i) for i, (piece, score, kind) in found if kind == 0 and piece}
+
+    def segment(self, chunk: str) -> list[int]:
+        """Ids of what the merges leave of one chunk."""
+        n, place = len(chunk), self.place
+        symbols = list(chunk)  # a merged symbol stands where its first character was
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        open_ = [(v[0], i, i + 1, 2) for i in range(n - 1) if (v := place.get(chunk[i : i + 2]))]
+        heapq.heapify(open_)
+        while open_:
+            _, i, j, size = heapq.heappop(open_)
+            if not symbols[i] or not symbols[j] or len(symbols[i]) + len(symbols[j]) != size:
+                continue  # one of the two was merged otherwise
+            symbols[i] += symbols[j]
+            symbols[j] = ""
+            after = right[i] = right[j]
+            if after < n:
+                left[after] = i
+            for a, b in ((left[i], i), (i, after)):
+                if a >= 0 and b < n and (v := place.get(merged := symbols[a] + symbols[b])):
+                    heapq.heappush(open_, (v[0], a, b, len(merged)))
+        ids: list[int] = []
+        for symbol in filter(None, symbols):
+            if symbol in place:
+                ids.append(place[symbol][1])
+            elif self.bytes:
+                ids.extend(self.bytes[b] for b in symbol.encode("utf-8", "replace"))
+            else:
+                ids.append(self.unknown_id)
+        return ids
+
+
 _segmenters: dict[tuple, Segmenter] = {}
 
 
-def _segmenter(key, vocabulary) -> Segmenter:
+def _segmenter(key, vocabulary, kind: type[Segmenter]) -> Segmenter:
     """One per worker process and model."""
     if key not in _segmenters:
         _segmenters.clear()
-        _segmenters[key] = Segmenter(*vocabulary)
+        _segmenters[key] = kind(*vocabulary)
     return _segmenters[key]
 
 
@@ -160,10 +217,11 @@ def encode(spark: SparkSession, text: Column, model: str | None = None) -> Colum
     share_code(spark)
     model = model or default_model()
     shared = spark.sparkContext.broadcast(load_pieces(model))  # one vocabulary file: some MB at most
+    kind = Merger if is_bpe(model) else Segmenter
 
     @F.arrow_udf("array<int>")
     def ids(column: pa.Array) -> pa.Array:
-        segmenter, parts = _segmenter(model, shared.value), []
+        segmenter, parts = _segmenter(model, shared.value, kind), []
         for start in range(0, len(column), 256):  # few texts at a time bound the memory
             part = column.slice(start, 256)
             flat, counts = segmenter.encode(part.to_pylist())

@@ -223,6 +223,20 @@ def test_segmentation_equals_the_plain_search():
         assert ids.tolist() == plain_viterbi(segmenter, "▁" + text.replace(" ", "▁"), *vocabulary)
 
 
+def test_ids_are_those_of_the_model_itself(spark):
+    import sentencepiece
+
+    rng = random.Random(8)
+    alphabet = "aabcdeeefghiiilmnooprsttuwyz  \n\tÉñß日本語𝔘▁.,#|0123"
+    texts = ["The quick  brown fox and the products", " lead", "trail  ", "x" * 70, "a\x00b", "<s> <0x41> </s>", "   ", ""]
+    texts += [prose(rng, 30), *("".join(rng.choices(alphabet, k=rng.randint(1, 200))) for _ in range(300))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = dict(docs.select("doc_id", pieces.encode(spark, F.col("text"))).collect())
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    for i, text in enumerate(texts):
+        assert list(got[i]) == model.encode(text), text
+
+
 # --- secrets
 
 
