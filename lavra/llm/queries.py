@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import chat, cleaning, jaccard, mixing, neighbours, pages, perplexity, pieces, secrets, toxicity
+from lavra.llm import chat, cleaning, infill, jaccard, licenses, mixing, neighbours, pages, perplexity, pieces, secrets
+from lavra.llm import toxicity, variants
 from lavra.llm.common import table
+from lavra.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +85,33 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("_row.doc_id", "_row.source", F.col("_epoch").alias("epoch"), F.col("_block").alias("block"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its form and root, after the stated loss of single characters."""
+    found = variants.mistyped(variants.runs(table(spark, sf_dir, "documents"), variants.Spelling.min_chars))
+    return variants.spelling_forms(stage(variants.counted(found, variants.Spelling()), "words"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license statements of every document."""
+    found = table(spark, sf_dir, "documents").select("doc_id", licenses.scan_licenses(F.col("text")).alias("found"))
+    return found.select("doc_id", "found.*")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document told with its middle last, and told back, as hashes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", infill.fill_in_middle(F.col("doc_id"), F.col("text")).alias("f"))
+    back = docs.withColumn("back", infill.restore(F.col("f.output"), F.col("f.form")))
+    return back.select(
+        "doc_id",
+        "f.n",
+        "f.form",
+        "f.prefix_chars",
+        "f.middle_chars",
+        F.sha2("f.output", 256).alias("output_sha256"),
+        F.sha2("back", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_line_rules": op2_line_rules,
@@ -94,6 +123,9 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_pieces": op9_pieces,
     "op10_temperature_mix": op10_temperature_mix,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_licenses": op12_licenses,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _LINE_RULES = r"""
@@ -197,8 +229,77 @@ FROM dealt, total
 """
 
 
+# The hash is worked out bit by bit; two words are near if they agree but for a hole in the same place, or one is the other with a hole.
+_VARIANTS = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda c: list_reduce(range(8), lambda a, x:
+           CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, c)) AS t),
+runs AS (
+  SELECT key, run, count(*) AS k FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS key,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{7,}')) AS run
+    FROM documents) GROUP BY 1, 2),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(
+           list_transform(regexp_extract_all(hex(encode(key || ':' || run)), '..'), lambda x: ('0x' || x)::BIGINT),
+           lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295)) AS h
+  FROM runs, crc),
+typed AS (
+  SELECT k, CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM typed WHERE length(word) >= 7 GROUP BY 1 HAVING sum(k) >= 2),
+holes AS (
+  SELECT word, i, word[:i] || word[i + 2:] AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM holes a JOIN holes b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM holes a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM holes a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT near.word, count(*) AS n_near, max(o.n) AS m, min(other) FILTER (WHERE o.n = top) AS other
+  FROM near JOIN words o ON other = o.word
+       JOIN (SELECT near.word, max(n) AS top FROM near JOIN words ON other = words.word GROUP BY 1) t ON t.word = near.word
+  GROUP BY 1),
+formed AS (
+  SELECT words.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 10 * n THEN other END AS form,
+         CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM words LEFT JOIN best ON words.word = best.word),
+walk AS (
+  SELECT word, word AS here FROM formed
+  UNION ALL SELECT walk.word, form FROM walk JOIN formed ON walk.here = formed.word WHERE form IS NOT NULL),
+roots AS (SELECT walk.word, here AS root FROM walk JOIN formed ON walk.here = formed.word WHERE form IS NULL)
+SELECT formed.word, form, root, n, n_near, form_n FROM formed JOIN roots ON formed.word = roots.word
+"""
+
+_INFILL = r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS d,
+         regexp_extract_all(coalesce(text, ''), '[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+') AS units
+  FROM documents),
+h AS (
+  SELECT *, len(units)::BIGINT AS n, ('0x' || substr(d, 1, 8))::BIGINT AS h1, ('0x' || substr(d, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4
+  FROM u),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+parts AS (
+  SELECT *, array_to_string(units[:low], '') AS p, array_to_string(units[low + 1:high], '') AS m,
+         array_to_string(units[high + 1:], '') AS s
+  FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_line_rules": _LINE_RULES,
     "op6_perspectives": _PERSPECTIVES,
     "op10_temperature_mix": _mixture_sql(),
+    "op11_spelling_variants": _VARIANTS,
+    "op13_fill_in_middle": _INFILL,
 }
