@@ -18,6 +18,7 @@ from lavra.sources import audit
 from lavra.sources import tables as tb
 from lavra.sources.bronze import to_bronze, write_bronze
 from lavra.sources.contracts import Source, check_contract
+from lavra.sources.published import Publication
 
 Reader = Callable[[SparkSession, Source], DataFrame]
 Loader = Callable[[DataFrame, str], int]
@@ -83,23 +84,24 @@ def ingest(
     ingestion_id: str | None = None,
     at: datetime | None = None,
 ) -> IngestResult:
-    """Check the contract, add lineage, write bronze, load, log the run."""
+    """Check the contract, add lineage, write bronze, load, log the run.
+
+    The run is seen in bronze once the rows written, and those loaded, are as many as the reader gave.
+    """
     started = audit.utc_now()
     ingestion_id, at = ingestion_id or str(uuid4()), at or started
     delivered = Observation()
     df = check_contract(reader(spark, source), source).observe(delivered, F.count(F.lit(1)).alias("rows"))
     path = layout.bronze(source.name)
-    written = write_bronze(to_bronze(df, source, ingestion_id, at), path, ingestion_id, at)
-    # counted as the reader gave them, in the pass that wrote them
-    read = delivered.get["rows"]
-    tb.require_equal(f"bronze write of {source.name}", read, written)
     loaded = None
-    if loader is not None:
-        day = at.astimezone(timezone.utc).date().isoformat()
-        folder = f"{path}/ingestion_date={day}/_ingestion_id={ingestion_id}"
-        rows = spark.read.option("basePath", path).parquet(folder).drop("ingestion_date")
-        loaded = loader(rows, source.name)
-        tb.require_equal(f"bronze load of {source.name}", read, loaded)
+    with Publication(spark) as publication:
+        written = write_bronze(to_bronze(df, source, ingestion_id, at), path, ingestion_id, at, publication)
+        # counted as the reader gave them, in the pass that wrote them
+        read = delivered.get["rows"]
+        tb.require_equal(f"bronze write of {source.name}", read, written)
+        if loader is not None:
+            loaded = loader(publication.read(path).drop("ingestion_date"), source.name)
+            tb.require_equal(f"bronze load of {source.name}", read, loaded)
     run = audit.pipeline_run(
         spark,
         f"batch_{source.name}",
@@ -136,6 +138,9 @@ def build_silver(
 ) -> SilverResult:
     """Check `bronze` and write its valid and invalid rows; no row may be lost.
 
+    Silver and quarantine are published together, once their rows add up to those of bronze and
+    those loaded are as many as the valid ones.
+
     The rows are marked once for each of the two sinks. Marking is a scan plus
     a join with the few repeated keys, which are staged, so this is cheaper than
     keeping a marked copy of the whole table, and both passes agree.
@@ -155,17 +160,21 @@ def build_silver(
 
     day, processed = started.date().isoformat(), started.isoformat()
     paths = {"VALID": layout.silver(spec.entity), "INVALID": layout.quarantine(spec.entity)}
-    counts = {}
-    for status, part in (("VALID", valid), ("INVALID", invalid)):
-        out = silver_columns(part.drop("ingestion_date"), status, processed)
-        counts[status] = tb.write_partition(out, paths[status], started, processing_date=day, _quality_run_id=run_id)
-    valid_count, invalid_count = counts["VALID"], counts["INVALID"]
-    written = {s: f"{path}/processing_date={day}/_quality_run_id={run_id}" for s, path in paths.items()}
-    tb.require_equal(f"quality split of {spec.entity}", bronze_count, valid_count + invalid_count)
+    counts, loaded = {}, None
+    with Publication(spark) as publication:
+        for status, part in (("VALID", valid), ("INVALID", invalid)):
+            out = silver_columns(part.drop("ingestion_date"), status, processed)
+            counts[status] = publication.write(out, paths[status], started, processing_date=day, _quality_run_id=run_id)
+        valid_count, invalid_count = counts["VALID"], counts["INVALID"]
+        tb.require_equal(f"quality split of {spec.entity}", bronze_count, valid_count + invalid_count)
+        written = {status: publication.read(path) for status, path in paths.items() if counts[status]}
+        if loader is not None and valid_count:
+            loaded = loader(written["VALID"].drop("processing_date", "_quality_run_id"), spec.entity)
+            tb.require_equal(f"silver load of {spec.entity}", valid_count, loaded)
 
     # Valid rows fail no rule, so the counts per rule come from quarantine alone.
     failed = (
-        spark.read.parquet(written["INVALID"]).select(Q.FAILED)
+        written["INVALID"].select(Q.FAILED)
         if invalid_count
         else spark.createDataFrame([], f"{Q.FAILED} array<string>")
     )
@@ -183,11 +192,6 @@ def build_silver(
     )
     audit.append_audit(lines, layout.audit, "quality_results")
 
-    loaded = None
-    if loader is not None and valid_count:
-        base = spark.read.option("basePath", paths["VALID"]).parquet(written["VALID"])
-        loaded = loader(base.drop("processing_date", "_quality_run_id"), spec.entity)
-        tb.require_equal(f"silver load of {spec.entity}", valid_count, loaded)
     status = "PASSED_WITH_WARNINGS" if invalid_count else "PASSED"
     run = audit.pipeline_run(
         spark,
@@ -226,18 +230,19 @@ def read_silver(spark: SparkSession, layout: Layout, entity: str) -> DataFrame |
 def write_gold(df: DataFrame, layout: Layout, product: str, day: str, loader: Loader | None = None) -> DataFrame | None:
     """Write a product under its day, and give the written rows back.
 
-    An empty product writes nothing and gives None.
+    The day's product of before is seen until the new one is whole and loaded. An empty product
+    writes nothing and gives None.
     """
     spark = df.sparkSession
     path = layout.gold(product)
-    count = tb.write_partition(df, path, processing_date=day)
-    if not count:
-        return None
-    folder = f"{path}/processing_date={day}"
-    written = spark.read.parquet(folder)
-    if loader is not None:
-        tb.require_equal(f"gold load of {product}", count, loader(written, product))
-    return written
+    with Publication(spark) as publication:
+        count = publication.write(df, path, processing_date=day)
+        written = publication.read(path).drop("processing_date")
+        if not count:
+            publication.drop()
+        elif loader is not None:
+            tb.require_equal(f"gold load of {product}", count, loader(written, product))
+    return written if count else None
 
 
 def run_all(

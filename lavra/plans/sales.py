@@ -31,9 +31,11 @@ from lavra.sources.bronze import to_bronze, write_bronze
 from lavra.sources.contracts import ColumnContract, Source, contract_report
 from lavra.sources.events import read_event_file, topic_records
 from lavra.sources.extraction import directory_scan, observed_scan, ordered_sample, target_scan
+from lavra.sources.published import Publication, pack
 from lavra.streaming.events import EventSpec, decode_events, validate_events
-from lavra.streaming.ingest import StreamPaths, run_session
+from lavra.streaming.ingest import StreamPaths, read_batches, run_session
 from lavra.streaming.routing import new_events, route_events
+from lavra.streaming.seen import SeenIndex
 
 # Times that stand for two runs, so that no result holds the current time.
 FIRST_RUN = datetime(2024, 1, 1, 6, tzinfo=timezone.utc)
@@ -158,6 +160,34 @@ def bronze_history(spark, d):
     )
 
 
+def history_over_types(spark, d):
+    """Orders in three runs: keys as numbers, as text, and again as numbers with decimal prices and a status."""
+    path = new_folder(spark, "changing")
+    orders = table(spark, d, "orders").withColumn("part", F.pmod(F.col("o_custkey"), F.lit(3)))
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    runs = [
+        (key.cast("int"), price.cast("double"), []),
+        (F.concat(F.lit("k"), key.cast("string")), F.round(price).cast("int"), []),
+        (key.cast("bigint"), price.cast("double"), [F.col("o_orderstatus")]),
+    ]
+    for n, (id_, amount, more) in enumerate(runs):
+        tb.write_partition(orders.where(F.col("part") == n).select(id_.alias("id"), amount.alias("amount"), *more), path, run=str(n))
+    return tb.read_history(spark, path).select("id", "amount", "o_orderstatus", "run")
+
+
+def packed_batches(spark, d):
+    """Orders in a batch per month of the year, packed into few files and read back by batch."""
+    path = new_folder(spark, "batches")
+    orders = _dated_orders(spark, d).withColumn("month", F.month("o_orderdate"))
+    for month in range(1, 13):
+        rows = orders.where(F.col("month") == month).select("o_orderkey", "o_custkey", "year")
+        tb.write_partition(rows, path, half="first" if month < 7 else "second", batch=str(month))
+    pack(spark, path, ["batch"])
+    return tb.read_history(spark, path).groupBy("half", "batch").agg(
+        F.count("*").alias("order_count"), F.sum("o_custkey").cast("bigint").alias("customer_sum")
+    )
+
+
 def full_refresh_load(spark, d):
     parts, path = table(spark, d, "part"), new_folder(spark, "part")
     tb.full_refresh(parts, path)
@@ -660,6 +690,17 @@ def routed_against_seen(spark, d):
     return both[0].unionByName(both[1]).groupBy("batch", "route").agg(F.count("*").alias("event_count"))
 
 
+def known_ids(spark, d):
+    """Orders with a line from 1998 on whose key is in an index of earlier lines, added in two generations."""
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("id"), "l_shipdate", "l_orderkey")
+    index = SeenIndex(spark, new_folder(spark, "seen"))
+    early = lines.where("l_shipdate < '1998-01-01'")
+    for part in (1, 2):
+        with Publication(spark) as run:
+            index.add(run, early.where(F.pmod(F.col("l_orderkey"), F.lit(3)) == part).select("id").distinct(), str(part))
+    return index.known(lines.where("l_shipdate >= '1998-01-01'").select("id").distinct())
+
+
 def new_documents(spark, d):
     """The first of all documents with the same text, where the labelled ones are known."""
     documents = table(spark, d, "documents").withColumn("fingerprint", hash_text(strip_text(F.col("text"))))
@@ -682,14 +723,13 @@ def _run_stream(spark, d) -> tuple[StreamPaths, DataFrame]:
         f"{base}/checkpoint",
         f"{base}/audit",
         order_by=EVENT_ORDER,
-        state_partitions=spark.sparkContext.defaultParallelism,
     )
     return paths, metrics
 
 
 def streamed_bronze(spark, d):
     paths, _ = _run_stream(spark, d)
-    return spark.read.parquet(paths.bronze).select("event_id", *EVENT_ORDER, "_load_type")
+    return read_batches(spark, paths.bronze).select("event_id", *EVENT_ORDER, "_load_type")
 
 
 def stream_session(spark, d):
@@ -700,7 +740,7 @@ def stream_session(spark, d):
 def stream_quarantine(spark, d):
     paths, _ = _run_stream(spark, d)
     errors = F.explode("errors").alias("error")
-    return spark.read.parquet(paths.quarantine).select("route", errors).groupBy("route", "error").agg(
+    return read_batches(spark, paths.quarantine).select("route", errors).groupBy("route", "error").agg(
         F.count("*").alias("event_count")
     )
 
@@ -888,6 +928,8 @@ QUERIES = {
         contract_check,
         latest_snapshot,
         bronze_history,
+        history_over_types,
+        packed_batches,
         full_refresh_load,
         fixed_schema_load,
         customer_valid_rows,
@@ -926,6 +968,7 @@ QUERIES = {
         topic_messages,
         routed_events,
         routed_against_seen,
+        known_ids,
         new_documents,
         streamed_bronze,
         stream_session,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lavra.functions.text import row_hash
 from lavra.sources.contracts import Source
-from lavra.sources.tables import write_partition
+from lavra.sources.published import Publication
 
 # The lineage columns, in order.
 LINEAGE = (
@@ -53,7 +53,15 @@ def to_bronze(
     )
 
 
-def write_bronze(df: DataFrame, path: str, ingestion_id: str, ingestion_timestamp: datetime) -> int:
-    """Write one run under its date and run id; repeating the run replaces it."""
+def write_bronze(
+    df: DataFrame, path: str, ingestion_id: str, ingestion_timestamp: datetime, run: Publication | None = None
+) -> int:
+    """Write one run under its date and run id; repeating the run replaces it.
+
+    Within a publication the run is seen once that is published, else at once.
+    """
+    if run is None:
+        with Publication(df.sparkSession) as alone:
+            return write_bronze(df, path, ingestion_id, ingestion_timestamp, alone)
     day = ingestion_timestamp.astimezone(timezone.utc).date().isoformat()
-    return write_partition(df, path, ingestion_timestamp, ingestion_date=day, _ingestion_id=ingestion_id)
+    return run.write(df, path, ingestion_timestamp, ingestion_date=day, _ingestion_id=ingestion_id)

@@ -3,26 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
-from time import time_ns
-from urllib.parse import parse_qsl, urlencode
-from uuid import uuid4
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lavra.folders import create_file, drop_folder, folder_names
 from lavra.operators.keys import ROW_ID, file_row_id
-
-
-# Markers of published runs lie in this folder of a table; Spark does not read it.
-PUBLISHED = "_published"
-_AT, _ROWS, _VERSION = "_at", "_rows", "version"
-
-
-class LoadError(RuntimeError):
-    """A load lost, gained or refused rows."""
+from lavra.sources.published import COPY, LoadError, Marker, Publication, markers, read_copies
 
 
 def scan(
@@ -42,65 +30,44 @@ def with_positions(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, file_row_id())
 
 
-def _name(info: dict[str, str]) -> str:
-    return urlencode(info)
-
-
-def _markers(spark: SparkSession, path: str) -> list[dict[str, str]]:
-    """What was published under `path`, one entry per run or version."""
-    return [dict(parse_qsl(n, keep_blank_values=True)) for n in folder_names(spark, f"{path}/{PUBLISHED}")]
-
-
-def _publish(spark: SparkSession, path: str, info: dict[str, str], rows: int, at: str) -> None:
-    """Make a finished run visible: one empty file, whose name says all."""
-    create_file(spark, f"{path}/{PUBLISHED}/{_name({**info, _AT: at, _ROWS: str(rows)})}")
-
-
-def _withdraw(spark: SparkSession, path: str, info: dict[str, str]) -> None:
-    for marker in _markers(spark, path):
-        if all(marker.get(k) == v for k, v in info.items()):
-            drop_folder(spark, f"{path}/{PUBLISHED}/{_name(marker)}")
-
-
-def _folder(path: str, info: dict[str, str]) -> str:
-    return "/".join([path, *[f"{k}={v}" for k, v in info.items() if k not in (_AT, _ROWS)]])
-
-
 def write_partition(df: DataFrame, path: str, at: datetime | None = None, **partition: str) -> int:
-    """Replace one partition, named by constants, publish it, and return its row count.
+    """Replace one partition, named by constants, and return its row count.
 
-    The rows go straight into the partition's folder: a dynamic partition write
-    would sort them all by the constants first. Readers see the partition once
-    it is whole; while it is replaced they see the runs before it. Without rows
-    nothing is published.
+    Readers see the partition as it was until the new copy is whole, and stay with the old one if
+    they have begun to read it. Without rows there is nothing to see.
     """
-    spark = df.sparkSession
-    folder = _folder(path, partition)
-    _withdraw(spark, path, partition)
-    rows = df.drop(*partition)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
-    count = spark.read.schema(rows.schema).parquet(folder).count()
-    if count:
-        _publish(spark, path, partition, count, (at or datetime.now(timezone.utc)).astimezone(timezone.utc).isoformat())
-    else:
-        drop_folder(spark, folder)
-    return count
+    with Publication(df.sparkSession) as run:
+        return run.write(df, path, at, **partition)
 
 
 def partition_values(spark: SparkSession, path: str, key: str) -> list[str]:
     """Sorted values of a partition column among the published runs."""
-    return sorted({m[key] for m in _markers(spark, path) if key in m})
+    return sorted({m.partition[key] for m in markers(spark, path) if key in m.partition})
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """All published runs of a table, the columns being the union of theirs.
+    """All published runs of a table, with all of their columns, each in the widest of its types.
 
     A table without one is an error.
     """
-    folders = sorted({_folder(path, m) for m in _markers(spark, path)})
-    if not folders:
+    found = markers(spark, path)
+    if not found:
         raise FileNotFoundError(f"no data in {path}")
-    return spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*folders)
+    return read_copies(spark, path, found)
+
+
+def read_partition(spark: SparkSession, path: str, **partition: str) -> DataFrame:
+    """One published partition."""
+    found = [m for m in markers(spark, path) if m.partition == partition]
+    if not found:
+        raise FileNotFoundError(f"no data in {path} for {partition}")
+    return read_copies(spark, path, found)
+
+
+def _newest(found: list[Marker]) -> Marker:
+    """The newest run of a table partitioned by date and run."""
+    keys = list(found[0].partition)
+    return max(found, key=lambda m: (m.partition[keys[0]], m.at, [m.partition[k] for k in keys]))
 
 
 def read_latest_snapshot(spark: SparkSession, path: str, positions: bool = False) -> DataFrame:
@@ -108,28 +75,26 @@ def read_latest_snapshot(spark: SparkSession, path: str, positions: bool = False
 
     Date, time and run come from the markers; the read is pruned to one folder.
     """
-    markers = _markers(spark, path)
-    if not markers:
+    found = markers(spark, path)
+    if not found:
         raise FileNotFoundError(f"no data in {path}")
-    keys = [k for k in markers[0] if k not in (_AT, _ROWS)]
-    newest = max(markers, key=lambda m: (m[keys[0]], m[_AT], [m[k] for k in keys]))
-    df = spark.read.option("basePath", path).parquet(_folder(path, newest))
-    return with_positions(df) if positions else df
+    df = spark.read.option("basePath", path).parquet(_newest(found).folder)
+    return (with_positions(df) if positions else df).drop(COPY)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType, **snapshot: bool) -> DataFrame:
     """Newest snapshot, or an empty frame where nothing was published yet; any other trouble is an error."""
-    if not _markers(spark, path):
+    if not markers(spark, path):
         return spark.createDataFrame([], schema)
     return read_latest_snapshot(spark, path, **snapshot)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of a fully refreshed table."""
-    versions = partition_values(spark, path, _VERSION)
-    if not versions:
+    found = [m for m in markers(spark, path) if not m.partition]
+    if not found:
         raise FileNotFoundError(f"no data in {path}")
-    return spark.read.parquet(f"{path}/{_VERSION}={versions[-1]}")
+    return read_copies(spark, path, found)
 
 
 def full_refresh(df: DataFrame, path: str, check: Callable[[DataFrame], None] | None = None) -> int:
@@ -139,23 +104,10 @@ def full_refresh(df: DataFrame, path: str, check: Callable[[DataFrame], None] |
     published. Until then readers see the version before, which stays on disk
     for those who are still reading it; older ones go.
     """
-    spark = df.sparkSession
-    before = partition_values(spark, path, _VERSION)
-    info = {_VERSION: f"{time_ns():020d}-{uuid4().hex[:8]}"}
-    folder = _folder(path, info)
-    try:
-        df.write.parquet(folder)
-        written = spark.read.schema(df.schema).parquet(folder)
-        rows = written.count()
+    with Publication(df.sparkSession) as run:
+        rows = run.write(df, path)
         if check is not None:
-            check(written)
-    except Exception:
-        drop_folder(spark, folder)
-        raise
-    _publish(spark, path, info, rows, datetime.now(timezone.utc).isoformat())
-    for version in before[:-1]:
-        _withdraw(spark, path, {_VERSION: version})
-        drop_folder(spark, _folder(path, {_VERSION: version}))
+            check(run.read(path))
     return rows
 
 

@@ -1,22 +1,28 @@
-"""Stream ingestion: validate, de-duplicate, write bronze, quarantine, metrics."""
+"""Stream ingestion: validate, de-duplicate, write bronze, quarantine, metrics.
+
+A batch reads its source once, into a copy. Ids of the copy are looked up in the index of seen ids,
+and what is routed is published in one step: readers that go by `read_batches` never see half a batch.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from lavra.folders import drop_folder, exists, folder_names
+from lavra.folders import read_text
 from lavra.functions.times import parse_iso, seconds_between
 from lavra.sources.audit import append_audit, utc_now
-from lavra.sources.tables import with_positions
+from lavra.sources.published import Publication, markers, pack, published, read_copies, sweep
+from lavra.sources.tables import read_history, with_positions
 from lavra.streaming.events import EventSpec, validate_events
-from lavra.streaming.routing import route_with_totals
+from lavra.streaming.routing import route_events
+from lavra.streaming.seen import SeenIndex
 
 
 @dataclass(frozen=True)
@@ -27,6 +33,7 @@ class StreamPaths:
     quarantine: str
     metrics: str
     work: str
+    index: str
 
     @classmethod
     def under(cls, base: str, name: str) -> StreamPaths:
@@ -35,35 +42,10 @@ class StreamPaths:
             quarantine=f"{base}/quarantine/streaming/{name}",
             metrics=f"{base}/audit/streaming_batches/{name}",
             work=f"{base}/work/streaming/{name}",
+            index=f"{base}/index/streaming/{name}",
         )
 
 
-def _with_totals(events: DataFrame, spec: EventSpec) -> DataFrame:
-    """Events of the batch, and the running count of each valid id among them.
-
-    The count is a streaming aggregation: kept in the state store, partial
-    before the shuffle, and output only for the ids that the batch touches.
-    """
-    id_column = spec.id_column
-    totals = (
-        events.where(F.size("errors") == 0)
-        .groupBy(F.col(id_column).alias("_id"))
-        .agg(F.count("*").alias("_total"))
-    )
-    none = F.lit(None)
-    return events.select(
-        F.struct(*events.columns).alias("_event"),
-        none.cast("string").alias("_id"),
-        none.cast("bigint").alias("_total"),
-    ).unionByName(
-        totals.select(
-            none.cast(T.StructType(events.schema.fields)).alias("_event"),
-            F.col("_id").cast("string"),
-            "_total",
-        )
-    )
-
-
 def enrich(events: DataFrame, at: datetime, spec: EventSpec) -> DataFrame:
     """Ingestion time, latency and load type; one time for the whole batch."""
     stamp = F.lit(at.isoformat()).cast("timestamp")
@@ -80,31 +62,24 @@ def enrich(events: DataFrame, at: datetime, spec: EventSpec) -> DataFrame:
     )
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int, at: datetime) -> DataFrame:
-    """Write a batch's rows under their day and give them back.
-
-    Whatever an earlier attempt of the batch wrote, on any day, goes first.
-    """
-    spark = df.sparkSession
-    for day in folder_names(spark, path):
-        drop_folder(spark, f"{path}/{day}/batch_id={batch_id}")
-    folder = f"{path}/ingestion_date={at.date().isoformat()}/batch_id={batch_id}"
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
-
-
-def write_routed(routed: DataFrame, paths: StreamPaths, batch_id: int, at: datetime) -> None:
+def write_routed(
+    run: Publication, routed: DataFrame, paths: StreamPaths, identity: str, batch_id: int, at: datetime
+) -> None:
     """Valid events to bronze, others with their errors to quarantine, counters.
 
     Everything lies under day and batch id. The counters are read from what was
     written, so the routing is not worked out a third time.
     """
+    where = {"ingestion_date": at.date().isoformat(), "batch_id": str(batch_id)}
+
+    def write(df: DataFrame, path: str) -> DataFrame:
+        run.write(df, path, at, identity, **where)
+        return run.read(path)
+
     good = routed.where("route = 'valid'").drop("route", "errors", "_bad_json")
     rest = routed.where("route <> 'valid'").drop("_latency_s", "_load_type", "_bad_json")
-    kept = _write_batch(good, paths.bronze, batch_id, at).agg(
-        F.count("*").alias("valid"), F.sum("_latency_s").alias("latency_sum")
-    )
-    left_out = _write_batch(rest, paths.quarantine, batch_id, at).agg(
+    kept = write(good, paths.bronze).agg(F.count("*").alias("valid"), F.sum("_latency_s").alias("latency_sum"))
+    left_out = write(rest, paths.quarantine).agg(
         F.count_if(F.col("route") == "invalid").alias("invalid"),
         F.count_if(F.col("route") == "duplicate").alias("duplicates"),
     )
@@ -112,12 +87,12 @@ def write_routed(routed: DataFrame, paths: StreamPaths, batch_id: int, at: datet
         *[F.sum(c).alias(c) for c in ("valid", "invalid", "duplicates", "latency_sum")]
     )
     consumed = F.col("valid") + F.col("invalid") + F.col("duplicates")
-    _write_batch(
-        counts.select("*", consumed.alias("consumed"), F.lit(at.isoformat()).alias("timestamp")),
-        paths.metrics,
-        batch_id,
-        at,
-    )
+    write(counts.select("*", consumed.alias("consumed"), F.lit(at.isoformat()).alias("timestamp")), paths.metrics)
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint gives its query for good, so that batch numbers of another one do not meet it."""
+    return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
 
 
 def start_ingest(
@@ -130,72 +105,63 @@ def start_ingest(
     seen: DataFrame | None = None,
     order_by: Sequence[str] = (),
     name: str | None = None,
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the ingestion of decoded events.
 
     Without `interval` it takes what is there and stops; with one it runs on.
-    The number of rows per batch is set on the source. `state_partitions` is
-    the number of parts of the id counts, fixed by the first start of a
-    checkpoint; by default it is the session's shuffle partitions. `seen` holds ids that an
-    earlier checkpoint brought in, for a start with a new one.
+    The number of rows per batch is set on the source. `seen` holds ids that came in some other
+    way; those of earlier batches are in the index beside bronze, whatever checkpoint brought them.
+
+    Events, rejects, counters and the index's new ids of a batch are published together. A batch
+    that is repeated after that is left out, one that stopped before is written anew.
     """
     events = validate_events(stream, spec)
-    columns = events.columns
-    # The batch's own session has no adaptive plans and the state's number of partitions;
-    # routing runs in this one, which splits an id that floods the batch.
+    # The batch's own session has no adaptive plans; routing runs in this one, which splits an id
+    # that floods the batch.
     spark = stream.sparkSession
+    index = SeenIndex(spark, paths.index)
+    started: list[str] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        first = not started
+        if first:
+            started.append(_stream_id(spark, checkpoint))
+        identity = f"{started[0]}:{batch_id}"
+        if first and published(spark, paths.metrics, identity):
+            return  # only the first batch of a start can be a repeated one
         at = utc_now()
-        # One action reads the source and moves the state; all else reads the copy.
+        # One action reads the source; all else reads the copy.
         work = f"{paths.work}/current"
         batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(work)
-        copy = spark.read.schema(batch.schema).parquet(work)
-        rows = with_positions(copy).where("_event IS NOT NULL").select("_event.*", "_row_id")
-        totals = copy.where("_event IS NULL").select(
-            F.col("_id").cast(rows.schema[spec.id_column].dataType).alias(spec.id_column),
-            F.col("_total").alias("total"),
-        )
-        routed = route_with_totals(rows, totals, spec, seen, order_by)
-        write_routed(enrich(routed.select(*columns, "route"), at, spec), paths, batch_id, at)
-
-    writer = (
-        _with_totals(events, spec)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write_batch)
-    )
+        rows = with_positions(spark.read.schema(batch.schema).parquet(work))
+        again = index.known(rows.where(F.size("errors") == 0).select(spec.id_column).distinct())
+        known = again if seen is None else again.unionByName(seen.select(spec.id_column))
+        routed = route_events(rows, spec, known, order_by)
+        with Publication(spark) as run:
+            write_routed(run, enrich(routed, at, spec), paths, identity, batch_id, at)
+            index.add(run, run.read(paths.bronze).select(spec.id_column), identity.replace(":", "-"))
+        index.merge()
+
+    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    return _start(writer, stream.sparkSession, state_partitions)
-
-
-def _start(writer: DataStreamWriter, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
-    """Start a query, which takes its settings from the session at this moment."""
-    if state_partitions is None:
-        return writer.start()
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, state_partitions)
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(setting, before)
-
-
-def session_metrics(spark: SparkSession, paths: StreamPaths, after_batch: int = -1) -> DataFrame:
-    """One row over the batches after `after_batch`: the counters of a session."""
-    schema = (
-        "consumed bigint, valid bigint, invalid bigint, duplicates bigint, latency_sum double,"
-        " timestamp string, batch_id string"
-    )
-    batches = (
-        spark.read.schema(schema).parquet(paths.metrics)
-        if exists(spark, paths.metrics)
-        else spark.createDataFrame([], schema)
-    ).where(F.col("batch_id").cast("bigint") > after_batch)
+    return writer.start()
+
+
+def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The published batches of a stream's table; empty with the given schema where there are none."""
+    found = markers(spark, path)
+    if not found and schema is not None:
+        return spark.createDataFrame([], schema)
+    return read_history(spark, path)
+
+
+def session_metrics(spark: SparkSession, paths: StreamPaths, before: Sequence[str] = ()) -> DataFrame:
+    """One row over the batches but those in `before`: the counters of a session."""
+    schema = "consumed bigint, valid bigint, invalid bigint, duplicates bigint, latency_sum double, timestamp string"
+    new = [m for m in markers(spark, paths.metrics) if m.copy not in set(before)]
+    batches = read_copies(spark, paths.metrics, new) if new else spark.createDataFrame([], schema)
 
     def total(c: str):
         return F.coalesce(F.sum(c), F.lit(0))
@@ -215,14 +181,24 @@ def run_session(
 ) -> DataFrame:
     """Take all that is there, then log the session's counters and return them."""
     spark = stream.sparkSession
-    known = session_batches(spark, paths)
+    before = session_batches(spark, paths)
     start_ingest(stream, spec, paths, checkpoint, **options).awaitTermination()
-    metrics = session_metrics(spark, paths, known)
+    metrics = session_metrics(spark, paths, before)
     append_audit(metrics, audit_path, "streaming_metrics")
     return metrics
 
 
-def session_batches(spark: SparkSession, paths: StreamPaths) -> int:
-    """Number of the newest batch that was written, -1 before the first; from folder names alone."""
-    names = [n for day in folder_names(spark, paths.metrics) for n in folder_names(spark, f"{paths.metrics}/{day}")]
-    return max((int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")), default=-1)
+def session_batches(spark: SparkSession, paths: StreamPaths) -> list[str]:
+    """The batches published so far, from the names of their markers alone."""
+    return [m.copy for m in markers(spark, paths.metrics)]
+
+
+def tidy(spark: SparkSession, paths: StreamPaths, target_bytes: int = 128 << 20, keep_seconds: float = 24 * 3600) -> int:
+    """Pack small batches of bronze and quarantine and remove what no reader needs; gives the number of batches packed.
+
+    The stream may run on meanwhile.
+    """
+    packed = sum(pack(spark, path, ["batch_id"], target_bytes) for path in (paths.bronze, paths.quarantine))
+    for path in (paths.bronze, paths.quarantine, paths.metrics, f"{paths.index}/ids", f"{paths.index}/filters"):
+        sweep(spark, path, keep_seconds)
+    return packed

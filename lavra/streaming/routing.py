@@ -61,29 +61,6 @@ def route_events(
     return _route(events, touched, spec, order_by)
 
 
-def route_with_totals(
-    events: DataFrame,
-    totals: DataFrame,
-    spec: EventSpec,
-    seen: DataFrame | None = None,
-    order_by: Sequence[str] = (),
-) -> DataFrame:
-    """Like `route_events`, with the stream's running `total` per id of this batch.
-
-    An id whose total is 1 is new. One whose total is above its count in the
-    batch was seen earlier, so the cost follows the batch and not the history.
-    """
-    events = with_row_id(events)
-    key = spec.id_column
-    again = totals.withColumn("_known", F.lit(False)) if seen is None else _flag(totals, seen, key)
-    again = again.where("total > 1 OR _known")
-    counts = semi(_valid(events).select(key), again, [key]).groupBy(key).agg(F.count("*").alias("_copies"))
-    touched = left_lookup(counts, again, [key]).select(
-        key, (F.col("_known") | (F.col("total") > F.col("_copies"))).alias("_seen")
-    )
-    return _route(events, touched, spec, order_by)
-
-
 def new_events(
     events: DataFrame, id_column: str, seen: DataFrame | None = None, order_by: Sequence[str] = ()
 ) -> DataFrame:

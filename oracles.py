@@ -232,6 +232,23 @@ ORACLES = {
         SELECT 'run-a' AS _ingestion_id, '0.9' AS _schema_version, 'BATCH' AS _load_type, count(*) AS row_count,
                CAST(0 AS BIGINT) AS with_segment FROM customer
         UNION ALL SELECT 'run-b', '1.0', 'BATCH', count(*), count(c_mktsegment) FROM customer""",
+    "history_over_types": """
+SELECT CASE o_custkey % 3 WHEN 1 THEN 'k' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS id,
+       CASE o_custkey % 3 WHEN 1 THEN CAST(CAST(round(o_totalprice) AS INTEGER) AS DOUBLE) ELSE o_totalprice END AS amount,
+       CASE o_custkey % 3 WHEN 2 THEN o_orderstatus END AS o_orderstatus,
+       CAST(o_custkey % 3 AS VARCHAR) AS run
+FROM orders
+""",
+    "packed_batches": """
+SELECT CASE WHEN month(o_orderdate) < 7 THEN 'first' ELSE 'second' END AS half, CAST(month(o_orderdate) AS VARCHAR) AS batch,
+       count(*) AS order_count, CAST(sum(o_custkey) AS BIGINT) AS customer_sum
+FROM orders GROUP BY 1, 2
+""",
+    "known_ids": """
+SELECT CAST(l_orderkey AS VARCHAR) AS id FROM lineitem WHERE l_shipdate >= DATE '1998-01-01'
+INTERSECT
+SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_shipdate < DATE '1998-01-01' AND l_orderkey % 3 <> 0
+""",
     "full_refresh_load": """SELECT p_brand, count(*) AS row_count, min(p_retailprice) AS cheapest FROM part GROUP BY 1""",
     "fixed_schema_load": """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey
         FROM supplier""",

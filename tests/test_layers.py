@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lavra.folders import folder_names
 from lavra.plans import layers
 from lavra.plans import literacy as lit
 from lavra.sources import audit
@@ -104,7 +105,7 @@ def test_silver_with_quarantine(spark, layout, municipio_bronze):
         bad, lit.SPECS["municipio"](), layout, loader=lambda df, name: seen.append(name) or df.count()
     )
     assert (result.valid_count, result.invalid_count, result.loaded_count) == (3, 1, 3)
-    quarantined = spark.read.parquet(layout.quarantine("municipio")).first()
+    quarantined = tb.read_history(spark, layout.quarantine("municipio")).first()
     assert quarantined["_failed_rules"] == ["sigla_uf.valid_uf"]
     assert quarantined["_quality_status"] == "INVALID"
     line = audit.read_audit(spark, layout.audit, "quality_results").first()
@@ -198,7 +199,7 @@ def test_a_failed_load_leaves_the_table(spark, layout):
     with pytest.raises(Exception, match="lost"):
         tb.full_refresh(places(spark).withColumn("nome", F.raise_error(F.lit("lost"))), path)
     assert tb.read_table(spark, path).count() == 2
-    assert len(tb.partition_values(spark, path, "version")) == 2
+    assert len([n for n in folder_names(spark, path) if n.startswith("_copy=")]) == 2
 
 
 def test_writers_of_one_table_do_not_hurt_each_other(spark, layout):
@@ -210,7 +211,7 @@ def test_writers_of_one_table_do_not_hurt_each_other(spark, layout):
 
 
 def test_records_read_are_those_of_the_reader(spark, layout, monkeypatch):
-    monkeypatch.setattr(layers, "write_bronze", lambda df, path, run, at: write_bronze(df, path, run, at) - 1)
+    monkeypatch.setattr(layers, "write_bronze", lambda *args: write_bronze(*args) - 1)
     with pytest.raises(tb.LoadError, match="expected 2 rows, found 1"):
         layers.ingest(spark, lit.SOURCES["municipio"], places, layout)
 

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from lavra.plans.literacy import EVENT_FIELDS, EVENTS
 from lavra.sources import audit
+from lavra.sources import published as pub
+from lavra.sources.published import Publication, markers
 from lavra.sources.events import bad_event_records, read_event_file, text_stream, topic_records, topic_values
 from lavra.streaming import ingest
 from lavra.streaming.events import decode_events, validate_events
-from lavra.streaming.ingest import StreamPaths, run_session, session_batches
+from lavra.streaming.ingest import StreamPaths, read_batches, run_session, session_batches
 from lavra.streaming.routing import new_events, route_events
 
 EVENT = {
@@ -111,12 +113,12 @@ def test_sessions_over_one_checkpoint(spark, tmp_path):
     (inbox / "two.jsonl").write_text("\n".join([event(event_id="n1"), event(event_id="n6"), "{"]) + "\n", encoding="utf-8")
     second = run()
     assert (second["consumed"], second["valid"], second["invalid"], second["duplicates"]) == (3, 1, 1, 1)
-    bronze = spark.read.parquet(paths.bronze)
+    bronze = read_batches(spark, paths.bronze)
     assert {r["event_id"] for r in bronze.collect()} == {"n1", "n2", "n6"}
     assert {r["_load_type"] for r in bronze.collect()} == {"STREAMING"}
-    quarantine = spark.read.parquet(paths.quarantine)
+    quarantine = read_batches(spark, paths.quarantine)
     assert quarantine.count() == 6 and quarantine.where("_raw = '{'").count() == 1
-    assert session_batches(spark, paths) >= 1
+    assert len(session_batches(spark, paths)) == 2
 
     # A new checkpoint takes the ids it must know from bronze.
     seen = bronze.select("event_id")
@@ -161,33 +163,133 @@ def test_a_run_on_an_interval(spark, tmp_path):
     assert (got["consumed"], got["valid"], got["invalid"], got["duplicates"], got["flushed_batches"]) == (8, 3, 3, 2, 2)
 
 
-@pytest.mark.parametrize("written", [0, 1, 2])
+def ingest_folder(spark, inbox, base, **options):
+    stream = decode_events(text_stream(spark, str(inbox), options.pop("files_per_batch", None)), EVENT_FIELDS)
+    return run_session(stream, EVENTS, StreamPaths.under(base, "x"), f"{base}/cp", f"{base}/audit", **options).first()
+
+
+def counts(row):
+    return row["consumed"], row["valid"], row["invalid"], row["duplicates"]
+
+
+@pytest.mark.parametrize("written", [0, 1, 2, 3, 4])
 def test_a_batch_that_crashed_is_written_once(spark, tmp_path, monkeypatch, written):
-    """The batch stops before its first, second or third table; the next start repeats it."""
+    """The batch stops before one of its five tables; no half of it is seen, and the next start repeats it."""
     inbox, base = tmp_path / "inbox", str(tmp_path / "lake")
     inbox.mkdir()
     paths = StreamPaths.under(base, "x")
     (inbox / "0.jsonl").write_text("\n".join(EDGE) + "\n", encoding="utf-8")
-    write, done = ingest._write_batch, []
+    write, done = Publication.write, []
 
-    def failing(*args):
-        if len(done) == written:
-            raise RuntimeError("lost")
-        done.append(args)
-        return write(*args)
-
-    def run():
-        stream = decode_events(text_stream(spark, str(inbox)), EVENT_FIELDS)
-        return run_session(stream, EVENTS, paths, f"{base}/cp", f"{base}/audit").first()
+    def failing(self, df, path, *args, **more):
+        if path.startswith(base) and "audit/pipeline" not in path:
+            if len(done) == written:
+                raise RuntimeError("lost")
+            done.append(path)
+        return write(self, df, path, *args, **more)
 
     with monkeypatch.context() as patch:
-        patch.setattr(ingest, "_write_batch", failing)
+        patch.setattr(Publication, "write", failing)
         with pytest.raises(Exception, match="lost"):
-            run()
-    got = run()
-    assert (got["consumed"], got["valid"], got["invalid"], got["duplicates"]) == (6, 2, 3, 1)
-    assert sorted(r["event_id"] for r in spark.read.parquet(paths.bronze).collect()) == ["n1", "n2"]
-    assert spark.read.parquet(paths.quarantine).count() == 4
+            ingest_folder(spark, inbox, base)
+    for path in (paths.bronze, paths.quarantine, paths.metrics):
+        assert markers(spark, path) == []
+    assert counts(ingest_folder(spark, inbox, base)) == (6, 2, 3, 1)
+    assert sorted(r["event_id"] for r in read_batches(spark, paths.bronze).collect()) == ["n1", "n2"]
+    assert read_batches(spark, paths.quarantine).count() == 4
+
+
+@pytest.mark.parametrize("made", [1, 3, 5])
+def test_a_crash_while_a_batch_is_published_shows_no_half(spark, tmp_path, monkeypatch, made):
+    """The driver stops after some markers, before the commit: as if it had been killed, nothing is cleaned up."""
+    inbox, base = tmp_path / "inbox", str(tmp_path / "lake")
+    inbox.mkdir()
+    paths = StreamPaths.under(base, "x")
+    (inbox / "0.jsonl").write_text("\n".join(EDGE) + "\n", encoding="utf-8")
+    create, files = pub.create_file, []
+
+    def failing(spark, path, **more):
+        if len(files) == made:
+            raise RuntimeError("killed")
+        files.append(path)
+        create(spark, path, **more)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pub, "create_file", failing)
+        patch.setattr(Publication, "drop", lambda self: None)
+        with pytest.raises(Exception, match="killed"):
+            ingest_folder(spark, inbox, base)
+    assert len(files) == made and markers(spark, paths.bronze) == markers(spark, paths.quarantine) == []
+    assert counts(ingest_folder(spark, inbox, base)) == (6, 2, 3, 1)
+    assert read_batches(spark, paths.bronze).count() == 2 and read_batches(spark, paths.quarantine).count() == 4
+    for path in (paths.bronze, paths.quarantine):
+        assert pub.sweep(spark, path, 0) == 1
+    assert read_batches(spark, paths.bronze).count() == 2
+
+
+def test_a_published_batch_is_not_repeated(spark, tmp_path):
+    """The driver stops after the commit, before the checkpoint knows: the batch comes again and is left out."""
+    inbox, base = tmp_path / "inbox", str(tmp_path / "lake")
+    inbox.mkdir()
+    (inbox / "0.jsonl").write_text("\n".join(EDGE) + "\n", encoding="utf-8")
+    assert counts(ingest_folder(spark, inbox, base)) == (6, 2, 3, 1)
+    for name in ("0", ".0.crc"):
+        (tmp_path / "lake" / "cp" / "commits" / name).unlink()
+    assert counts(ingest_folder(spark, inbox, base)) == (0, 0, 0, 0)
+    paths = StreamPaths.under(base, "x")
+    assert read_batches(spark, paths.bronze).count() == 2 and read_batches(spark, paths.quarantine).count() == 4
+    (inbox / "1.jsonl").write_text(event(event_id="n1") + "\n" + event(event_id="n8") + "\n", encoding="utf-8")
+    assert counts(ingest_folder(spark, inbox, base)) == (2, 1, 0, 1)
+
+
+def test_a_new_checkpoint_keeps_batches_and_ids(spark, tmp_path):
+    """Batch numbers start anew, but replace nothing, and ids of the first checkpoint are known."""
+    inbox, base = tmp_path / "inbox", str(tmp_path / "lake")
+    inbox.mkdir()
+    (inbox / "0.jsonl").write_text("\n".join(EDGE) + "\n", encoding="utf-8")
+    ingest_folder(spark, inbox, base)
+    (tmp_path / "lake" / "cp").rename(tmp_path / "lake" / "cp-lost")
+    assert counts(ingest_folder(spark, inbox, base)) == (6, 0, 3, 3)
+    paths = StreamPaths.under(base, "x")
+    assert read_batches(spark, paths.bronze).count() == 2 and read_batches(spark, paths.quarantine).count() == 10
+
+
+def test_the_source_is_read_once(spark, tmp_path):
+    inbox, base = tmp_path / "inbox", str(tmp_path / "lake")
+    inbox.mkdir()
+    for i in range(3):
+        (inbox / f"{i}.jsonl").write_text("\n".join([*EDGE, event(event_id=f"k{i}")]) + "\n", encoding="utf-8")
+    stream = decode_events(text_stream(spark, str(inbox), 1), EVENT_FIELDS)
+    query = ingest.start_ingest(stream, EVENTS, StreamPaths.under(base, "x"), f"{base}/cp")
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 21
+    assert all(not p["stateOperators"] for p in query.recentProgress)
+    assert counts(ingest.session_metrics(spark, StreamPaths.under(base, "x")).first()) == (21, 5, 9, 7)
+
+
+def test_batches_are_packed_while_the_stream_runs_on(spark, tmp_path, monkeypatch):
+    inbox, base = tmp_path / "inbox", str(tmp_path / "lake")
+    inbox.mkdir()
+    paths = StreamPaths.under(base, "x")
+    for i in range(4):
+        (inbox / f"{i}.jsonl").write_text("\n".join([*EDGE, event(event_id=f"k{i}")]) + "\n", encoding="utf-8")
+    ingest_folder(spark, inbox, base, files_per_batch=1)
+    seen = {p: sorted(map(str, read_batches(spark, p).select("event_id", "batch_id").collect())) for p in (paths.bronze, paths.quarantine)}
+    reader = read_batches(spark, paths.bronze)
+    reader_rows = reader.count()
+    assert ingest.tidy(spark, paths) == 8
+    for path, before in seen.items():
+        assert len(markers(spark, path)) == 1
+        assert sorted(map(str, read_batches(spark, path).select("event_id", "batch_id").collect())) == before
+        assert len(read_batches(spark, path).inputFiles()) == 1
+    assert reader.count() == reader_rows  # one that had begun with the small files
+    # the stream goes on, knows the ids, and a repeated batch is still known after it was packed
+    (inbox / "9.jsonl").write_text(event(event_id="k0") + "\n" + event(event_id="z") + "\n", encoding="utf-8")
+    assert counts(ingest_folder(spark, inbox, base)) == (2, 1, 0, 1)
+    last = markers(spark, paths.metrics)[-1].info["_as"]
+    assert pub.published(spark, paths.bronze, last) and pub.published(spark, paths.metrics, last)
+    assert ingest.tidy(spark, paths, keep_seconds=0) == 4
+    assert read_batches(spark, paths.bronze).count() == 7 and len(markers(spark, paths.bronze)) == 1
 
 
 def test_event_files_and_topic_records(spark, tmp_path):
@@ -229,19 +331,19 @@ def test_hot_and_missing_ids_in_a_stream_batch(spark, tmp_path):
     (inbox / "0.jsonl").write_text("\n".join(lines) + "\n", encoding="utf-8")
     paths = StreamPaths.under(base, "x")
     seen = {}
-    route = ingest.route_with_totals
+    route = ingest.route_events
 
     def watched(rows, *args, **more):
         seen["adaptive"] = rows.sparkSession.conf.get("spark.sql.adaptive.enabled")
         seen["partitions"] = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
         return route(rows, *args, **more)
 
-    ingest.route_with_totals = watched
+    ingest.route_events = watched
     try:
         stream = decode_events(text_stream(spark, str(inbox)), EVENT_FIELDS)
-        got = run_session(stream, EVENTS, paths, f"{base}/cp", f"{base}/audit", state_partitions=2).first()
+        got = run_session(stream, EVENTS, paths, f"{base}/cp", f"{base}/audit").first()
     finally:
-        ingest.route_with_totals = route
+        ingest.route_events = route
     assert seen == {"adaptive": "true", "partitions": spark.conf.get("spark.sql.shuffle.partitions")}
     assert (got["consumed"], got["valid"], got["invalid"], got["duplicates"]) == (5500, 501, 2000, 2999)
 
