@@ -630,9 +630,10 @@ def event_files(spark, d):
     """All events written as JSON lines and as arrays to one folder, and read back."""
     folder = new_folder(spark, "event-files")
     events = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
-    even = F.col("event_id") % 2 == 0
+    even = F.coalesce(F.col("event_id") % 2 == 0, F.lit(True))
     events.where(even).write.json(f"{folder}/lines")
-    bundles = events.where(~even).groupBy(F.pmod(F.xxhash64("event_id"), F.lit(64)).alias("b")).agg(
+    arrays = max(1, events.count() // 5000)  # some thousand events each
+    bundles = events.where(~even).groupBy(F.pmod(F.xxhash64("event_id"), F.lit(arrays)).alias("b")).agg(
         F.to_json(F.collect_list(F.struct("event_id", "user_id", "event_type", "value"))).alias("value")
     )
     # a file holds one array on one line, as producers write them
@@ -812,7 +813,7 @@ def literacy_run(spark, d):
     layout = layers.Layout(new_folder(spark, "literacy"))
     layers.run_all(spark, literacy.SOURCES, literacy.SPECS, _literacy_reader(d), layout, literacy.build_gold)
     counts = ("records_read", "records_written", "records_valid", "records_rejected")
-    runs = tb.read_table(spark, f"{layout.audit_tables}/pipeline_runs").select(
+    runs = audit.read_synced(spark, layout.audit_tables, "pipeline_runs").select(
         F.col("pipeline_name").alias("name"), "status", *counts
     )
     results = tb.read_latest_snapshot(spark, layout.gold("indicador_municipio_ano")).groupBy(
@@ -833,9 +834,9 @@ def silver_and_quarantine(spark, d):
     )
 
 
-def _write_logs(spark, d) -> str:
+def _write_logs(spark, d, path: str | None = None) -> str:
     """Audit logs derived from the tables: a run per order priority, two quality runs, a stream session per day."""
-    path = new_folder(spark, "audit")
+    path = path or new_folder(spark, "audit")
     zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("string")
     when = iso_text(F.max("o_orderdate").cast("timestamp"))
     runs = (
@@ -906,10 +907,27 @@ def monitoring_report(spark, d):
     )
 
 
+def synced_monitoring(spark, d):
+    """The report from running totals, after one sync of the logs and another one of the same lines again."""
+    path, target = _write_logs(spark, d), new_folder(spark, "audit-tables")
+    audit.sync_audit(spark, path, target)
+    _write_logs(spark, d, path)
+    audit.sync_audit(spark, path, target)
+    return audit.synced_report(spark, target).select(
+        "total_pipeline_runs",
+        F.array_join("entities", ",").alias("entities"),
+        "valid_rows",
+        "rejected_rows",
+        "rejection_pct",
+        "stream_sessions",
+        F.col("last_stream.timestamp").alias("last_stream_time"),
+    )
+
+
 def audit_tables(spark, d):
     path, target = _write_logs(spark, d), new_folder(spark, "audit-tables")
     audit.sync_audit(spark, path, target)
-    return tb.read_table(spark, f"{target}/quality_results").select(
+    return audit.read_synced(spark, target, "quality_results").select(
         "quality_run_id", "pipeline", "entity", "status", "total_read", "failures_by_rule", "rule_results"
     )
 
@@ -977,6 +995,7 @@ QUERIES = {
         literacy_run,
         silver_and_quarantine,
         monitoring_report,
+        synced_monitoring,
         audit_tables,
     )
 }

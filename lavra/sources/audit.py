@@ -13,7 +13,9 @@ from lavra.folders import exists
 from lavra.functions.jsontext import flatten_nested
 from lavra.functions.numbers import percent
 from lavra.functions.times import parse_iso, seconds_between
-from lavra.sources.tables import full_refresh
+from lavra.sources.published import Publication, markers
+from lavra.sources.tables import read_history
+from lavra.streaming.once import Once
 
 # The three logs and their fields.
 SCHEMAS = {
@@ -36,6 +38,8 @@ SCHEMAS = {
     ),
 }
 
+# Beside the audit tables: their running totals, and what the sync remembers.
+TOTALS, CHECKPOINTS = "_totals", "_checkpoints"
 # Logs with a folder per value of these columns.
 PARTITIONS = {"quality_results": ("entity",)}
 
@@ -98,35 +102,97 @@ def read_audit(spark: SparkSession, path: str, log: str) -> DataFrame:
 
 
 def sync_audit(spark: SparkSession, audit_path: str, table_path: str) -> dict[str, int]:
-    """Rewrite each log's table, nested fields as JSON; a missing log is skipped."""
-    return {
-        log: full_refresh(flatten_nested(read_audit(spark, audit_path, log)), f"{table_path}/{log}")
-        for log in SCHEMAS
-        if exists(spark, f"{audit_path}/{log}")
-    }
+    """Append what is new in each log to its table, nested fields as JSON; gives the rows of each table.
+
+    A stream over the log's files takes those that came since the last time, and appends their
+    lines together with their totals in one step, exactly once. A missing log is skipped. What
+    remembers the files taken lies with the tables.
+    """
+    for log in SCHEMAS:
+        if exists(spark, f"{audit_path}/{log}"):
+            _append_new(spark, f"{audit_path}/{log}", table_path, log)
+    return {log: sum(m.rows for m in found) for log in SCHEMAS if (found := markers(spark, f"{table_path}/{log}"))}
+
+
+def _append_new(spark: SparkSession, source: str, table_path: str, log: str) -> None:
+    table, checkpoint = f"{table_path}/{log}", f"{table_path}/{CHECKPOINTS}/{log}"
+    once = Once(spark, checkpoint, table)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        identity = once.identity(batch_id)
+        if identity is None:
+            return
+        with Publication(spark) as run:
+            run.write(flatten_nested(batch), table, identity=identity, batch_id=str(batch_id))
+            run.write(_totals(run.read(table), log), f"{table}{TOTALS}", identity=identity, batch_id=str(batch_id))
+
+    fields = spark.createDataFrame([], SCHEMAS[log]).columns
+    lines = spark.readStream.schema(SCHEMAS[log]).json(source).select(*fields)
+    query = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(availableNow=True)
+    query.start().awaitTermination()
+
+
+def read_synced(spark: SparkSession, table_path: str, log: str) -> DataFrame:
+    """The table of a log as of the last sync."""
+    return read_history(spark, f"{table_path}/{log}").drop("batch_id")
 
 
 def _last(df: DataFrame, time: str) -> Column:
     return F.max_by(F.struct(*df.columns), F.coalesce(parse_iso(F.col(time)), F.lit(0).cast("timestamp")))
 
 
-def monitoring_report(runs: DataFrame, quality: DataFrame, streams: DataFrame) -> DataFrame:
-    """One row over all logs: volumes, rejection, the last run and stream."""
-    valid = F.coalesce(F.sum("valid_count"), F.lit(0))
-    rejected = F.coalesce(F.sum("invalid_count"), F.lit(0))
-    parts = [
-        runs.agg(F.count("*").alias("total_pipeline_runs"), _last(runs, "end_time").alias("last_run")),
-        quality.agg(
+def _totals(lines: DataFrame, log: str) -> DataFrame:
+    """One row over lines of a log, which can be summed up with others of its kind."""
+    lines = lines.drop("batch_id")
+    if log == "pipeline_runs":
+        return lines.agg(F.count("*").alias("total_pipeline_runs"), _last(lines, "end_time").alias("last_run"))
+    if log == "quality_results":
+        return lines.agg(
             F.sort_array(F.collect_set("entity")).alias("entities"),
-            valid.alias("valid_rows"),
-            rejected.alias("rejected_rows"),
-            percent(rejected, valid + rejected).alias("rejection_pct"),
+            F.coalesce(F.sum("valid_count"), F.lit(0)).alias("valid_rows"),
+            F.coalesce(F.sum("invalid_count"), F.lit(0)).alias("rejected_rows"),
+        )
+    return lines.agg(F.count("*").alias("stream_sessions"), _last(lines, "timestamp").alias("last_stream"))
+
+
+def _report(parts: dict[str, DataFrame]) -> DataFrame:
+    """The report of totals, any number of rows per log."""
+
+    def newest(last: str, time: str) -> Column:
+        when = F.coalesce(parse_iso(F.col(f"{last}.{time}")), F.lit(0).cast("timestamp"))
+        return F.max_by(last, F.when(F.col(last).isNotNull(), when)).alias(last)
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    lines = [
+        parts["pipeline_runs"].agg(total("total_pipeline_runs").alias("total_pipeline_runs"), newest("last_run", "end_time")),
+        parts["quality_results"].agg(
+            F.sort_array(F.array_distinct(F.flatten(F.collect_list("entities")))).alias("entities"),
+            total("valid_rows").alias("valid_rows"),
+            total("rejected_rows").alias("rejected_rows"),
+            percent(total("rejected_rows"), total("valid_rows") + total("rejected_rows")).alias("rejection_pct"),
         ),
-        streams.agg(F.count("*").alias("stream_sessions"), _last(streams, "timestamp").alias("last_stream")),
+        parts["streaming_metrics"].agg(total("stream_sessions").alias("stream_sessions"), newest("last_stream", "timestamp")),
     ]
-    lines = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return lines.agg(*[F.first(c, ignorenulls=True).alias(c) for c in lines.columns]).select(
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lines)
+    return every.agg(*[F.first(c, ignorenulls=True).alias(c) for c in every.columns]).select(
         "*",
         F.col("last_stream.avg_latency_seconds").alias("stream_latency_seconds"),
         F.col("last_stream.duplicates").alias("stream_duplicates"),
     )
+
+
+def monitoring_report(runs: DataFrame, quality: DataFrame, streams: DataFrame) -> DataFrame:
+    """One row over all logs: volumes, rejection, the last run and stream."""
+    return _report({log: _totals(df, log) for log, df in zip(SCHEMAS, (runs, quality, streams), strict=True)})
+
+
+def synced_report(spark: SparkSession, table_path: str) -> DataFrame:
+    """The same report as of the last sync, from one row of totals per sync; no line is read again."""
+    parts = {}
+    for log in SCHEMAS:
+        found = markers(spark, f"{table_path}/{log}{TOTALS}")
+        none = _totals(flatten_nested(spark.createDataFrame([], SCHEMAS[log])), log)
+        parts[log] = read_history(spark, f"{table_path}/{log}{TOTALS}") if found else none
+    return _report(parts)

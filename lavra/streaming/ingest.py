@@ -6,7 +6,6 @@ and what is routed is published in one step: readers that go by `read_batches` n
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -15,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lavra.folders import read_text
 from lavra.functions.times import parse_iso, seconds_between
 from lavra.sources.audit import append_audit, utc_now
-from lavra.sources.published import Publication, markers, pack, published, read_copies, sweep
+from lavra.sources.published import Publication, markers, pack, read_copies, sweep
 from lavra.sources.tables import read_history, with_positions
 from lavra.streaming.events import EventSpec, validate_events
+from lavra.streaming.once import Once
 from lavra.streaming.routing import route_events
 from lavra.streaming.seen import SeenIndex
 
@@ -90,11 +89,6 @@ def write_routed(
     write(counts.select("*", consumed.alias("consumed"), F.lit(at.isoformat()).alias("timestamp")), paths.metrics)
 
 
-def _stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that a checkpoint gives its query for good, so that batch numbers of another one do not meet it."""
-    return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
-
-
 def start_ingest(
     stream: DataFrame,
     spec: EventSpec,
@@ -120,15 +114,12 @@ def start_ingest(
     # that floods the batch.
     spark = stream.sparkSession
     index = SeenIndex(spark, paths.index)
-    started: list[str] = []
+    once = Once(spark, checkpoint, paths.metrics)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        first = not started
-        if first:
-            started.append(_stream_id(spark, checkpoint))
-        identity = f"{started[0]}:{batch_id}"
-        if first and published(spark, paths.metrics, identity):
-            return  # only the first batch of a start can be a repeated one
+        identity = once.identity(batch_id)
+        if identity is None:
+            return
         at = utc_now()
         # One action reads the source; all else reads the copy.
         work = f"{paths.work}/current"

@@ -407,6 +407,14 @@ SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_shipdate < DATE '1998-0
           (SELECT strftime(max(o_orderdate), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' FROM orders) AS last_run_time,
           (SELECT latency FROM newest) AS stream_latency_seconds, (SELECT again FROM newest) AS stream_duplicates
         FROM q""",
+    "synced_monitoring": f"""WITH {_CUSTOMER_CHECK}, {_LINE_CHECK}, ct AS ({_totals('customer')}), lt AS ({_totals('lineitem')}),
+        q AS (SELECT ct.valid_count + lt.valid_count AS ok, ct.invalid_count + lt.invalid_count AS bad FROM ct, lt)
+        SELECT 2 * (SELECT count(DISTINCT o_orderpriority) FROM orders) AS total_pipeline_runs, 'customer,lineitem' AS entities,
+          2 * ok AS valid_rows, 2 * bad AS rejected_rows,
+          round_even(bad * 100.0 / CAST(ok + bad AS DOUBLE) * 100, 0) / 100 AS rejection_pct,
+          2 * (SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) AS stream_sessions,
+          (SELECT strftime(max(ts), '%Y-%m-%dT00:00:00+00:00') FROM events) AS last_stream_time
+        FROM q""",
     "literacy_run": """WITH o AS (SELECT *, year(o_orderdate) AS ano FROM orders),
         place_year AS (
           SELECT ano, o_custkey, (count(*) * 30 % 130)::DOUBLE AS goal,

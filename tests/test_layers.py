@@ -152,7 +152,7 @@ def test_all_layers(spark, layout):
         assert "id_aluno" not in product.columns
     sp = gold["ml_features_municipio"].where("id_municipio = '3550308' and ano = 2023").first()
     assert (sp["variacao_anual"], sp["atingiu_meta"]) == (10.0, 1)
-    table = tb.read_table(spark, f"{layout.audit_tables}/quality_results")
+    table = audit.read_synced(spark, layout.audit_tables, "quality_results")
     assert dict(table.dtypes)["rule_results"] == "string"
 
     report = audit.monitoring_report(
@@ -162,6 +162,7 @@ def test_all_layers(spark, layout):
     assert report["entities"] == sorted(lit.SPECS)
     assert (report["valid_rows"], report["rejected_rows"], report["rejection_pct"]) == (36, 0, 0.0)
     assert (report["stream_sessions"], report["last_stream"]) == (0, None)
+    assert audit.synced_report(spark, layout.audit_tables).first() == report
 
 
 def test_gold_without_indicator(spark, layout):
