@@ -11,8 +11,9 @@ task keeps the best `k` rows per query, so a vector that a third of all rows sha
 than others. A query with fewer than `k` finds is searched exactly.
 
 The slab width follows the distance to the `k`-th neighbour in a bounded sample of `sample` rows,
-those with the smallest id hash; every row is hashed. Vectors that are null or zero, hold nulls or
-non-finite numbers, or have another length than the sample's first take no part. Rows that share
+those with the smallest id hash; every row is hashed. Vectors that are null or zero, or hold nulls
+or non-finite numbers take no part. Vectors of different lengths have no distance: each length that
+a query has is searched among the rows of that length, with an index of its own. Rows that share
 an id are different candidates; a query does not find rows with its own id.
 """
 
@@ -197,16 +198,24 @@ def search(
         vectors.where(F.col(key).isNotNull() & usable(vector))
         .select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), queries.alias("asked"))
     )
+    lengths = rows.where("asked").groupBy(F.size("v").alias("n")).agg(F.count("*").alias("queries")).orderBy("n")
+    found = None
+    for row in lengths.collect():  # one row where all vectors have the length that a table's vectors have
+        part = _search_length(rows.where(F.size("v") == row["n"]), k, probing)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return found
+
+
+def _search_length(rows: DataFrame, k: int, probing: Probing) -> DataFrame:
+    """The search among rows (id, v, asked) whose vectors have one length."""
     sample = rows_of(rows, bounded_ids(rows, "id", probing.sample), "id").orderBy("id").limit(2 * probing.sample).collect()
-    empty = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not sample:
-        return empty
     dimension = len(sample[0]["v"])
-    x = np.array([r["v"] for r in sample if len(r["v"]) == dimension])
+    x = np.array([r["v"] for r in sample])
     square = np.maximum((x**2).sum(axis=1)[:, None] + (x**2).sum(axis=1) - 2 * (x @ x.T), 0)
     reach = np.sqrt(np.median(np.partition(square, min(k, len(x) - 1), axis=1)[:, min(k, len(x) - 1)]))
     index = Index.of(dimension, probing.slab * (reach if reach > 1e-9 else 1.0), probing)
-    rows = rows.where(F.size("v") == dimension)
     # equal queries share an id: their vectors are told apart by position only, so keep one row per id
     asked = stage(rows.where("asked").select("id", "v").dropDuplicates(["id"]), "ann-queries")
     count = rows.agg(F.count("*")).first()[0]
@@ -215,8 +224,6 @@ def search(
     for ids, q in _blocks(asked, n_asked, probing.block):
         part = _search_block(rows.select("id", "v"), ids, q, index, k)
         found = part if found is None else found.unionByName(part)
-    if found is None:
-        return empty
     found = stage(_ranked(found, k), "ann-found")
     wanted = min(k, count - 1)
     full = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= wanted)

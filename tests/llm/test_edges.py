@@ -136,3 +136,16 @@ def test_neighbours(spark):
     assert set(of) == {0, 2, 4}
     assert of[4] == [(1, 0.0), (1, 0.0), (0, 1.0), (2, 1.0), (3, 2.0)]
     assert neighbours.search(df.limit(0), F.col("vec_id") % 2 == 0).count() == 0
+
+
+def test_neighbours_of_several_lengths(spark):
+    """A stray vector of another length, wherever its id stands, costs the others nothing."""
+    rows = [(i, [float(i), 1.0]) for i in range(8)] + [(-1, [1.0, 1.0, 1.0]), (100, [1.0, 2.0, 2.0]), (50, [3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in neighbours.search(df, F.col("vec_id") % 2 == 0, k=2).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], round(r["score"], 6)))
+    assert got == {
+        0: [(1, 1.0), (2, 2.0)], 2: [(1, 1.0), (3, 1.0)], 4: [(3, 1.0), (5, 1.0)], 6: [(5, 1.0), (7, 1.0)],
+        100: [(-1, 1.414214)],
+    }
