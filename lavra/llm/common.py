@@ -43,6 +43,13 @@ def share_code(spark: SparkSession | None = None) -> None:
         context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """From now on no more than so many rows in an Arrow batch, which whole texts would make large; a smaller setting stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= rows:
+        spark.conf.set(setting, rows)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """A staged copy, after which Spark may drop the shuffle files that made it.
 

@@ -33,13 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lavra.llm.common import filtered_joins, settled, share_code
+from lavra.llm.common import filtered_joins, settled, share_code, short_batches
 from lavra.session import stage
 
 _START = "\x02"  # stands before a text
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [np.uint64(pow(int(_BASE), i, 1 << 64)) for i in range(16)]
-_CHARS = 1_500_000  # characters handled at a time
+_CHARS = 400_000  # characters handled at a time
 _BLANKS = re.compile(r"\s+")
 # Steps of log perplexity in which limits are looked for.
 _STEP = 0.002
@@ -291,6 +291,14 @@ class Table:
 _tables: dict[str, Table] = {}
 
 
+def _table(name: str, shared) -> Table:
+    """The table of one shard, made once per worker; reached by name, since what a closure holds is copied for every task."""
+    if name not in _tables:
+        _tables.clear()
+        _tables[name] = Table(*shared.value)
+    return _tables[name]
+
+
 def _score_texts(texts, languages, table: Table, order: int, shard: int, shards: int) -> np.ndarray:
     """Sum of the log probabilities of those characters of each text whose context is in this shard."""
     codes, places = _codes(texts, order)
@@ -360,12 +368,9 @@ def _score_column(shared, order: int, shard: int, shards: int):
 
     @F.arrow_udf("double")
     def scores(languages: pa.Array, texts: pa.Array) -> pa.Array:
-        if name not in _tables:
-            _tables.clear()
-            _tables[name] = Table(*shared.value)
-        names, parts = languages.to_pylist(), []
+        names, parts, table = languages.to_pylist(), [], _table(name, shared)
         for start, group in _slices(texts):
-            parts.append(_score_texts(group, names[start : start + len(group)], _tables[name], order, shard, shards))
+            parts.append(_score_texts(group, names[start : start + len(group)], table, order, shard, shards))
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64(), from_pandas=False)
 
     return scores
@@ -411,22 +416,23 @@ def classify(
 
     `_limit` is that of the row's language and length, null without characters. `trusted` holds the ids of trusted texts in its column `key`.
     """
-    judge = judge or Judge()
+    short_batches(docs.sparkSession)
+    judge, kept_columns = judge or Judge(), keep or docs.columns
+    # the text travels once: within the row where that keeps it
+    own = [] if text in kept_columns else [F.col(text).alias("_text")]
     rows = docs.select(
-        F.struct(*(keep or docs.columns)).alias("_row"),
-        F.col(key).alias("_key"),
-        F.col(language).cast("string").alias("_lang"),
-        F.col(text).alias("_text"),
+        F.struct(*kept_columns).alias("_row"), F.col(key).alias("_key"), F.col(language).cast("string").alias("_lang"), *own
     )
+    text = "_text" if own else f"_row.`{text}`"
     ids = trusted.select(F.col(key).alias("_id")).where("_id is not null")
     held = F.pmod(F.xxhash64(F.col("_key").cast("string")), F.lit(judge.held_out)) == 0
-    training = rows.select("_key", "_lang", "_text").where(~held).join(
+    training = rows.select("_key", "_lang", F.col(text).alias("_text")).where(~held).join(
         ids.hint("merge"), F.col("_key") == F.col("_id"), "left_semi"
     )
     with filtered_joins(docs.sparkSession):
         counts = settled(gram_counts(training, "_lang", "_text", judge.order), "kn-grams")
     model = language_model(counts, judge.order)
-    scored = log_perplexity(rows, model, judge, "_lang", "_text")
+    scored = log_perplexity(rows, model, judge, "_lang", text)
     scored = stage(scored.select("_row", "_key", "_lang", "_logp", "_chars"), "kn-scored")
     marked = scored.select("_key", "_lang", "_logp", "_chars").join(
         ids.distinct().withColumn("_trusted", F.lit(True)), F.col("_key") == F.col("_id"), "left"
