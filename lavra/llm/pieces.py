@@ -1,37 +1,44 @@
 """SentencePiece encoding and decoding with the pieces of a given model.
 
-A BPE model's scores are the ranks of its merges: neighbours whose union is a piece are joined, the
-best-scored pair first and the leftmost of equals, until none is left. That gives the ids of
-`SentencePieceProcessor.encode`. A character without a piece is spelled in byte pieces.
-
-The scores of a unigram model are log probabilities, and the best-scored segmentation is found in
-one pass: an Aho-Corasick automaton over the pieces reports at each position every piece that ends
-there (the longest first, then along its output links), and each of them relaxes the best score of
-that position. A character without a piece costs the lowest score less ten. Equal scores: the
-longer last piece stays.
+The best-scored segmentation of a text is found in one pass: an Aho-Corasick automaton over the
+pieces reports at each position every piece that ends there (the longest first, then along its
+output links), and each of them relaxes the best score of that position. A character without a
+piece costs the lowest score less ten and is spelled in byte pieces. Equal scores: the longer last
+piece stays.
+
+The scores of a unigram model are log probabilities. Those of a BPE model are ranks of its merges,
+which do not add up; `piece_scores` counts instead, over all documents, the places where each
+piece stands, and gives the logarithm of its share. Pieces and ids stay those of the model, nothing
+is trained; but the segmentation is the likeliest one and not the one that the merges end in, so
+ids differ from `SentencePieceProcessor.encode` here and there. Without scores the merges of a BPE
+model are followed, and ids equal those of that function.
 
 No piece holds a word boundary after another character, so the segmentation of a text is
 that of its words one after the other; a worker keeps the segmentation of words it has seen.
 The model is a fixed vocabulary file; its pieces are sent to the workers, not the file.
 
-Null text gives null ids, empty text an empty list. Texts are never cut. Decoding gives back
-the text, but for U+2581 in it, which reads as a blank, as the format has it.
+Null text gives null ids, empty text an empty list, and neither counts. Texts are never cut.
+Repeated rows count each and are encoded alike; ties among segmentations are settled as said.
+Decoding gives back the text, but for U+2581 in it, which reads as a blank, as the format has it.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+import uuid
 from array import array
+from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm.common import share_code
+from lavra.llm.common import share_code, short_batches
 
 SPACE = "▁"
 # Fixed value: how much a character without a piece costs below the worst piece.
@@ -81,20 +88,17 @@ class Segmenter:
         self.automaton = ahocorasick.Automaton()
         self.single = set()
         lowest = 0.0
-        inner = False
         for i, (piece, score, kind) in enumerate(zip(pieces, scores, kinds, strict=True)):
             if kind == 0 and piece:
                 self.automaton.add_word(piece, (i, len(piece), score))
                 lowest = min(lowest, score)
-                inner = inner or SPACE in piece.lstrip(SPACE)
                 if len(piece) == 1:
                     self.single.add(piece)
         self.automaton.make_automaton()
         self.unknown = lowest - UNKNOWN_PENALTY
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds, strict=True)) if k == 1}
         self.unknown_id = next((i for i, p in enumerate(pieces) if kinds[i] == 2 and p == "<unk>"), 0)
-        # a model with a boundary inside a piece is segmented as whole texts
-        self.word = re.compile("(?s).+" if inner else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.word = re.compile(_chunk(pieces, kinds))
         self._forget()
 
     def _forget(self):
@@ -111,22 +115,23 @@ class Segmenter:
             if not known and end > done:
                 self._spell(chunk, done, end, best, back)
                 done = end
-            total = best[end + 1 - value[1]] + value[2]
-            if total > best[end + 1]:
-                best[end + 1], back[end + 1] = total, value
+            end += 1
+            total = best[end - value[1]] + value[2]
+            if total > best[end]:
+                best[end], back[end] = total, value
         if not known:
             self._spell(chunk, done, n, best, back)
         ids: list[int] = []
         j = n
         while j:
-            piece, length, _ = back[j]
+            piece, size, _ = back[j]
             if piece >= 0:
                 ids.append(piece)
             elif self.bytes:
                 ids.extend(self.bytes[b] for b in reversed(chunk[j - 1].encode("utf-8", "replace")))
             else:
                 ids.append(self.unknown_id)
-            j -= length
+            j -= size
         return ids[::-1]
 
     def _spell(self, chunk: str, start: int, stop: int, best: list[float], back: list) -> None:
@@ -139,32 +144,34 @@ class Segmenter:
         """All ids in one array, and the number of ids per text."""
         if len(self.at) > KEPT_WORDS:
             self._forget()
-        words, counts = [], np.zeros(len(texts), np.int64)
-        at, find = self.at, self.word.findall
+        cut: list[str] = []
+        counts, find = np.zeros(len(texts), np.int64), self.word.findall
         for k, text in enumerate(texts):
-            if not text:
-                continue
-            chunks = find(SPACE + text.replace(" ", SPACE))
-            for chunk in set(chunks).difference(at):
-                ids = self.segment(chunk)
-                at[chunk] = len(at)
-                self.flat.extend(ids)
+            if text:
+                chunks = find(SPACE + text.replace(" ", SPACE))
+                cut += chunks
+                counts[k] = len(chunks)
+        new = list(set(cut).difference(self.at))
+        if new:
+            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
+            for chunk in new:
+                self.flat.extend(self.segment(chunk))
                 self.starts.append(len(self.flat))
-            words.append(np.fromiter(map(at.__getitem__, chunks), np.int64, len(chunks)))
-            counts[k] = len(chunks)
-        if not words:
+        words = np.fromiter(map(self.at.__getitem__, cut), np.int64, len(cut))
+        if not cut:
             return np.zeros(0, np.int32), counts
-        word = np.concatenate(words)
-        starts, flat = np.array(self.starts), np.array(self.flat)
-        lengths = starts[word + 1] - starts[word]
+        starts, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat, np.int32)
+        lengths = starts[words + 1] - starts[words]
         ends = np.cumsum(lengths)
-        places = np.arange(ends[-1]) - np.repeat(ends - lengths - starts[word], lengths)
+        places = np.arange(ends[-1]) - np.repeat(ends - lengths - starts[words], lengths)
         text_ends = np.concatenate([[0], ends])[np.cumsum(counts)]
-        return flat[places], np.diff(text_ends, prepend=0)
+        found = flat[places]
+        del starts, flat  # what they look into grows with the next texts
+        return found, np.diff(text_ends, prepend=0)
 
 
 class Merger(Segmenter):
-    """The merges of a BPE model, with the words seen so far."""
+    """The merges of a BPE model instead of the search, with the words seen so far."""
 
     def __init__(self, pieces, scores, kinds):
         super().__init__(pieces, scores, kinds)
@@ -201,6 +208,46 @@ class Merger(Segmenter):
         return ids
 
 
+def _chunk(pieces, kinds) -> str:
+    """What is segmented by itself: words with the boundary before them, or whole texts where a piece holds a boundary inside."""
+    inner = any(SPACE in piece.lstrip(SPACE) for piece, kind in zip(pieces, kinds, strict=True) if kind == 0)
+    return "(?s).+" if inner else f"{SPACE}*[^{SPACE}]+|{SPACE}+"
+
+
+def piece_scores(docs: DataFrame, text: str = "text", model: str | None = None) -> tuple[float, ...]:
+    """The log of each piece's share among all places where a piece stands in the texts, one place more for each piece.
+
+    Words are counted before and after one shuffle, and each distinct word runs through the
+    automaton once. What comes back is a number per piece of the vocabulary.
+    """
+    spark = docs.sparkSession
+    share_code(spark)
+    short_batches(spark)
+    vocabulary = load_pieces(model or default_model())
+    shared = spark.sparkContext.broadcast(vocabulary)  # one vocabulary file: some MB at most
+    key = uuid.uuid4().hex
+    spelled = F.concat(F.lit(SPACE), F.translate(F.col(text), " ", SPACE))
+    words = docs.where(F.col(text) != "").select(
+        F.explode(F.regexp_extract_all(spelled, F.lit(_chunk(vocabulary[0], vocabulary[2])), 0)).alias("word")
+    )
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _segmenter(key, shared.value, Segmenter).automaton
+        found = [0] * len(shared.value[0])
+        for batch in batches:
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for _, value in automaton.iter(word):
+                    found[value[0]] += n
+        ids = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(np.array(found)[ids], pa.int64())], ["id", "n"])
+
+    counted = words.groupBy("word").agg(F.count("*").alias("n")).mapInArrow(places, "id int, n long")
+    counts = np.ones(len(vocabulary[0]))
+    for row in counted.groupBy("id").agg(F.sum("n").alias("n")).collect():  # a row per piece at most
+        counts[row["id"]] += row["n"]
+    return tuple(np.log(counts / counts.sum()).tolist())
+
+
 _segmenters: dict[tuple, Segmenter] = {}
 
 
@@ -212,16 +259,19 @@ def _segmenter(key, vocabulary, kind: type[Segmenter]) -> Segmenter:
     return _segmenters[key]
 
 
-def encode(spark: SparkSession, text: Column, model: str | None = None) -> Column:
-    """The ids of each text."""
+def encode(spark: SparkSession, text: Column, model: str | None = None, scores: tuple[float, ...] | None = None) -> Column:
+    """The ids of each text: the best segmentation by `scores` or by those of the model, where these can be added up."""
     share_code(spark)
+    short_batches(spark)
     model = model or default_model()
-    shared = spark.sparkContext.broadcast(load_pieces(model))  # one vocabulary file: some MB at most
-    kind = Merger if is_bpe(model) else Segmenter
+    pieces, own, kinds = load_pieces(model)
+    kind = Merger if scores is None and is_bpe(model) else Segmenter
+    shared = spark.sparkContext.broadcast((pieces, scores or own, kinds))  # one vocabulary file: some MB at most
+    name = uuid.uuid4().hex  # under which a worker keeps what it has made of it
 
     @F.arrow_udf("array<int>")
     def ids(column: pa.Array) -> pa.Array:
-        segmenter, parts = _segmenter(model, shared.value, kind), []
+        segmenter, parts = _segmenter(name, shared.value, kind), []
         for start in range(0, len(column), 256):  # few texts at a time bound the memory
             part = column.slice(start, 256)
             flat, counts = segmenter.encode(part.to_pylist())
@@ -236,27 +286,30 @@ def encode(spark: SparkSession, text: Column, model: str | None = None) -> Colum
 def decode(spark: SparkSession, ids: Column, model: str | None = None) -> Column:
     """The text of each list of ids; control pieces are silent, wrong bytes read as U+FFFD."""
     share_code(spark)
+    short_batches(spark)
     model = model or default_model()
     shared = spark.sparkContext.broadcast(load_pieces(model))
 
     @F.arrow_udf("string")
     def texts(column: pa.Array) -> pa.Array:
         pieces, _, kinds = shared.value
-        spelled = np.array(
+        spelled = pa.array(
             [
                 bytes([int(p[3:5], 16)]) if k == 1 else b"" if k == 2 else p.replace(SPACE, " ").encode()
                 for p, k in zip(pieces, kinds, strict=True)
             ],
-            dtype=object,
+            pa.large_binary(),
         )
-        out = []
-        for row in column:
-            if not row.is_valid:
-                out.append(None)
-                continue
-            values = row.values.to_numpy(zero_copy_only=False) if len(row) else np.zeros(0, np.int32)
-            text = b"".join(spelled[values].tolist()).decode("utf-8", "replace")
-            out.append(text[1:] if text.startswith(" ") else text)  # the boundary put before the text
+        out: list[str | None] = []
+        for start in range(0, len(column), 256):  # few texts at a time bound the memory
+            part = column.slice(start, 256)
+            counts = np.asarray(pc.fill_null(pc.list_value_length(part), 0))
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+            lists = pa.LargeListArray.from_arrays(pa.array(offsets), spelled.take(part.flatten()))
+            for row, whole in zip(part, pc.binary_join(lists, pa.scalar(b"", pa.large_binary())).to_pylist(), strict=True):
+                text = whole.decode("utf-8", "replace")
+                # the boundary put before the text goes
+                out.append((text[1:] if text.startswith(" ") else text) if row.is_valid else None)
         return pa.array(out, pa.string())
 
     return texts(ids)

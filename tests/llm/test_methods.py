@@ -237,6 +237,32 @@ def test_ids_are_those_of_the_model_itself(spark):
         assert list(got[i]) == model.encode(text), text
 
 
+def test_scores_and_ids_of_the_query_equal_the_plain_version(spark):
+    rng = random.Random(5)
+    texts = ["The quick  brown fox and the products", " lead", "x" * 70, "a\x00b", "日本語 𝔘 été", "   ", "", None]
+    texts += [prose(rng, 40) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    names, own, kinds = pieces.load_pieces(pieces.default_model())
+    counts = {p: 1 for p, k in zip(names, kinds, strict=True) if k == 0}
+    longest = max(map(len, counts))
+    for text in filter(None, texts):
+        whole = "▁" + text.replace(" ", "▁")
+        for i in range(len(whole)):
+            for j in range(i + 1, min(len(whole), i + longest) + 1):
+                if whole[i:j] in counts:
+                    counts[whole[i:j]] += 1
+    total = sum(counts.values()) + sum(k != 0 for k in kinds)
+    scores = pieces.piece_scores(docs)
+    for name, score, kind in zip(names, scores, kinds, strict=True):
+        assert score == pytest.approx(math.log((counts[name] if kind == 0 else 1) / total))
+    segmenter = pieces.Segmenter(names, scores, kinds)
+    got = dict(docs.select("doc_id", pieces.encode(spark, F.col("text"), scores=scores)).collect())
+    for i, text in enumerate(texts):
+        plain = plain_viterbi(segmenter, "▁" + text.replace(" ", "▁"), names, scores, kinds) if text else text and []
+        assert got[i] == ([] if text == "" else plain), text
+    assert len(got[0]) < len(texts[0]) / 2  # whole words, not letters
+
+
 # --- secrets
 
 
