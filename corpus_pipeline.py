@@ -43,8 +43,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of every document."""
-    encoded = docs.withColumn("ids", pieces.encode(spark, F.col("text")))
+    """The piece ids of every document, by the pieces' shares in all of them."""
+    encoded = docs.withColumn("ids", pieces.encode(spark, F.col("text"), scores=pieces.piece_scores(docs)))
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
