@@ -426,18 +426,18 @@ def classify(
     text = "_text" if own else f"_row.`{text}`"
     ids = trusted.select(F.col(key).alias("_id")).where("_id is not null")
     held = F.pmod(F.xxhash64(F.col("_key").cast("string")), F.lit(judge.held_out)) == 0
-    training = rows.select("_key", "_lang", F.col(text).alias("_text")).where(~held).join(
+    trusted_rows = rows.select("_key", "_lang", F.col(text).alias("_text")).join(
         ids.hint("merge"), F.col("_key") == F.col("_id"), "left_semi"
     )
     with filtered_joins(docs.sparkSession):
-        counts = settled(gram_counts(training, "_lang", "_text", judge.order), "kn-grams")
-    model = language_model(counts, judge.order)
+        counts = settled(gram_counts(trusted_rows.where(~held), "_lang", "_text", judge.order), "kn-grams")
+    model = stage(language_model(counts, judge.order), "kn-model")
+    # the limits ask for the scores of trusted texts alone; no copy of all texts is kept
+    with filtered_joins(docs.sparkSession):
+        known = log_perplexity(trusted_rows, model, judge, "_lang", "_text").select("_key", "_lang", "_logp", "_chars")
+        marked = stage(known.withColumns({"_trusted": F.lit(True), "_held": held}), "kn-trusted")
+    found = stage(limits(marked, judge, "_lang"), "kn-limits")
     scored = log_perplexity(rows, model, judge, "_lang", text)
-    scored = stage(scored.select("_row", "_key", "_lang", "_logp", "_chars"), "kn-scored")
-    marked = scored.select("_key", "_lang", "_logp", "_chars").join(
-        ids.distinct().withColumn("_trusted", F.lit(True)), F.col("_key") == F.col("_id"), "left"
-    )
-    found = stage(limits(marked.withColumn("_held", held), judge, "_lang"), "kn-limits")
     judged = scored.join(F.broadcast(found), F.col("_lang").eqNullSafe(F.col("_l")), "left")  # a row per language
     limit = F.col("_middle") + F.col("_reach") * (1 + judge.prior / F.when(F.col("_chars") > 0, F.col("_chars")))
     # no reach: a language without trusted text; no value with a reach: a text without characters
