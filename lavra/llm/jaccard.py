@@ -8,7 +8,7 @@ one order for all sets. Within the distance limit at most a fifth of a set diffe
 in the Voronoi region of its first member, and its boundary window is the members that could come
 first in a near set: it is replicated to those regions, and any two linked sets meet in one. The
 order is by hash at first, to drop texts whose window is not shared enough for a link, and then,
-for the few that are left, by frequency, rarest first.
+for the few that are left, by frequency in half powers of two, rarest first, and then by hash.
 
 Second level: regions that overlap form groups. A group of at most `leaf` sets is joined in one
 task; sets are sorted by distance to a pivot set, and only those within the limit of each other
@@ -193,15 +193,25 @@ def regions(docs: DataFrame, members: DataFrame, key: str, text: str, join: Join
     rows = sets.select("doc", F.explode("set").alias("h"))
     shared = settled(rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-df")
     listed = (
-        rows.join(shared.withColumnRenamed("h", "h2"), F.col("h") == F.col("h2"))
+        rows.join(shared.select(F.col("h").alias("h2"), _ordered(F.col("h"), F.col("df")).alias("m")), F.col("h") == F.col("h2"))
         .groupBy("doc")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("shared"))  # one text's members
+        .agg(F.sort_array(F.collect_list("m")).alias("shared"))  # one text's members
         .join(sets.select("doc", F.size("set").alias("n")), "doc")
     )
     # members no other set has come first in the order and use up the window
     length = F.floor(F.col("n") * (100 - join.percent) / 100) + 1 - (F.col("n") - F.size("shared"))
     windows = listed.where(length > 0).select("doc", F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("m"))
-    return settled(windows.select(F.col("m.h").alias("h"), "doc"), "jaccard-regions"), sets
+    return settled(windows.select(F.col("m").alias("h"), "doc"), "jaccard-regions"), sets
+
+
+def _ordered(member: Column, df: Column) -> Column:
+    """A member in one long that sorts by frequency, in half powers of two, and then by hash.
+
+    It is the same for all sets. Members that agree in the 57 bits kept share a region, which costs
+    a comparison and no link: two sets whose windows share a member also share what it maps to.
+    """
+    level = F.least(F.floor(2 * F.log2(df)), F.lit(63)).cast("long")
+    return F.shiftleft(level, 57).bitwiseOR(member.bitwiseAND(F.lit((1 << 57) - 1)))
 
 
 def _linked(docs, sets, label, side, join: Join) -> list[tuple[int, int]]:
@@ -336,9 +346,10 @@ def links(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
         ends = known.groupBy(F.col("h").alias("h2")).agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc").alias("first")
         )
+        # a written copy, so that its size is known before rows of a hot region are dealt by it
+        ends = stage(ends.where("low <> high").select("h2", "first"), "jaccard-ends")
         known = stage(
-            known.join(ends.where("low <> high"), F.col("h") == F.col("h2")).select("h", "doc", "component", "first"),
-            "jaccard-open",
+            known.join(ends, F.col("h") == F.col("h2")).select("h", "doc", "component", "first"), "jaccard-open"
         )
         if known.isEmpty():
             break
