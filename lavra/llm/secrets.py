@@ -1,6 +1,7 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of key-like characters. The forest looks at its length, its character
+A candidate is a run of key-like characters, or what stands behind a name such as `password:` and
+need not be long; `=` parts a name from its value and belongs to it at the end only. The forest looks at its length, its character
 transitions (against bigrams of the corpus), how much of it dictionary words cover, whether it
 sits in a path, and the words beside it. It is trained from labelled findings: given ones, or
 those of `labelled_findings`, which spells secrets and look-alikes by rule with a fixed seed.
@@ -38,7 +39,12 @@ HARMLESS_WORDS = frozenset(
     "build call card checksum commit digest etag fax file hash href id image ip isbn mail md5 order phone revision sha"
     " sha1 sha256 src tel url uuid version www".split()
 )
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.\-]{12,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.\-]{12,}(?:={1,2}(?![A-Za-z0-9+/_=.\-]))?")
+_NAMED = re.compile(
+    r"(?i)(?:auth|credentials?|key|passwd|password|pwd|secret|token)[\"']?[ \t]*[=:][ \t]*"
+    r"(?=\"([^\s\"]{8,})\"|'([^\s']{8,})'|([^\s\"',;=]{8,}={0,2}))"
+)
+_SIGNS = frozenset("#$%&*!?@^+~" + string.digits)
 _WORD = re.compile(r"[A-Za-z]+")
 _CLASSES = np.zeros(128, np.int8)
 for _i, _set in enumerate((string.ascii_lowercase, string.ascii_uppercase, string.digits), start=1):
@@ -62,14 +68,24 @@ class Finding:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans of key-like runs: with a digit, or of 24 characters."""
+    """Spans in order: named values of 8 characters with a digit or sign, and other key-like runs of 12 with a digit or of 24."""
     found = []
+    for m in _NAMED.finditer(text):
+        start, end = m.span(m.lastindex)
+        value = text[start:end].rstrip(".:)]}>") if m.lastindex == 3 else text[start:end]
+        if len(value) >= 8 and "://" not in value and not _SIGNS.isdisjoint(value):
+            if not found or start >= found[-1][1]:
+                found.append((start, start + len(value)))
+    named, k = len(found), 0
     for m in _CANDIDATE.finditer(text):
-        value = m[0].strip("-=./_+") if m[0][-1] in "-./_+" or m[0][0] in "-=./_+" else m[0]
+        value = m[0].strip("-./_+") if m[0][-1] in "-./_+" or m[0][0] in "-./_+" else m[0]
         if len(value) >= 12 and (len(value) >= 24 or any(c.isdigit() for c in value)):
             start = m.start() + m[0].index(value)
-            found.append((start, start + len(value)))
-    return found
+            while k < named and found[k][1] <= start:
+                k += 1
+            if k == named or found[k][0] >= start + len(value):
+                found.append((start, start + len(value)))
+    return sorted(found)
 
 
 def features(before: str, value: str, after: str, context: Context) -> list[float]:
@@ -135,6 +151,8 @@ def labelled_findings(dictionary: Sequence[str], per_kind: int = 150, seed: int
             text(mixed, rng.randint(20, 44)),
             "AKIA" + text(string.ascii_uppercase + string.digits, 16),
             "ghp_" + text(mixed, 36),
+            text(string.ascii_lowercase, rng.randint(5, 8)) + text(string.digits, rng.randint(3, 4)),
+            text(mixed, rng.randint(4, 7)) + text("#$%!?@^~", 2) + text(mixed, rng.randint(3, 7)),
         ):
             found.append(Finding(f"{prose()} {name}{sign}", value, f"{end} {prose()}", True))
         for before, value, after in (
@@ -149,6 +167,9 @@ def labelled_findings(dictionary: Sequence[str], per_kind: int = 150, seed: int
             (f"{prose()} https:/", f"/www{rng.randint(1, 9)}.example.org/{rng.choice(vocabulary)}/{rng.randint(1, 999)}", " "),
             (f"{prose()} ", "".join(rng.choices(vocabulary, k=6))[:40].ljust(24, "e"), f" {prose()}"),
             (f"{prose()} ", "-".join(rng.choices(vocabulary, k=4)) + str(rng.randint(1, 99)), f" {prose()}"),
+            (f"{prose()} ", text(hexes, 32), f" {prose()}"),
+            (f"{prose()} {name}{sign}", f"20{rng.randint(10, 40)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", f"{end} {prose()}"),
+            (f"{prose()} {name}{sign}", rng.choice("*#?") * rng.randint(8, 16), f"{end} {prose()}"),
             (f"{prose()} {name} ", "_".join(rng.choices(vocabulary, k=4)) + str(rng.randint(1, 9)), f" {prose()}"),
         ):
             found.append(Finding(before, value, after, False))
@@ -216,7 +237,7 @@ class Scanner:
         spans = candidates(text) if text else []
         if not spans:
             return []
-        x = [features(text[max(0, a - 64) : a], text[a:b], text[b : b + 8], self.context) for a, b in spans]
+        x = [_at(text, a, b, self.context) for a, b in spans]
         return [(a, b, float(s)) for (a, b), s in zip(spans, self.forest.predict(np.array(x)), strict=True)]
 
     def mask(self, text: str | None) -> str | None:
@@ -250,8 +271,22 @@ def corpus_context(docs: DataFrame, text: str, least_share: float = 1e-6) -> Con
 def train(context: Context, findings: Sequence[Finding] | None = None, threshold: float = 0.5) -> Scanner:
     """A scanner from labelled findings."""
     rows = list(findings) if findings is not None else labelled_findings(sorted(context.dictionary))
-    x = np.array([features(r.before, r.value, r.after, context) for r in rows])
-    return Scanner(context, Forest().fit(x, np.array([r.secret for r in rows], float)), threshold)
+    seen = [(x, r.secret) for r in rows if (x := scanned(r, context))]
+    x, y = (np.array(part, float) for part in zip(*seen, strict=True))
+    return Scanner(context, Forest().fit(x, y), threshold)
+
+
+def scanned(finding: Finding, context: Context) -> list[float] | None:
+    """The features under which a scan of the finding in its place meets it; None if it is no candidate there."""
+    text, start = finding.before + finding.value + finding.after, len(finding.before)
+    for a, b in candidates(text):
+        if a < start + len(finding.value) and start < b:
+            return _at(text, a, b, context)
+    return None
+
+
+def _at(text: str, a: int, b: int, context: Context) -> list[float]:
+    return features(text[max(0, a - 64) : a], text[a:b], text[b : b + 8], context)
 
 
 def scanner_for(docs: DataFrame, text: str = "text", **options) -> Scanner:

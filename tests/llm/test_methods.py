@@ -284,6 +284,47 @@ def test_mask_keeps_everything_but_the_secret():
     assert [(text[a:b], s >= 0.5) for a, b, s in scanner.scan(text)][0] == (value, True)
 
 
+def test_values_behind_names_and_equals_signs():
+    context = secrets.Context(frozenset(WORDS), np.full((27, 27), math.log(1 / 27)))
+    scanner = secrets.train(context)
+    value = "3f9a04bd" * 5
+    spoken = {
+        f"oak token={value} pine": value,
+        f"oak API_KEY={value}, pine": value,
+        "elm password: hunter2024 maple": "hunter2024",
+        'elm password = "Xk9#mQ2v!pT" maple': "Xk9#mQ2v!pT",
+        f"elm secret='{value}' maple": value,
+        "key=QWxhZGRpbjpvcGVuIHNlc2FtZQ== oak": "QWxhZGRpbjpvcGVuIHNlc2FtZQ==",
+    }
+    for text, secret in spoken.items():
+        assert scanner.mask(text) == text.replace(secret, secrets.MASK), text
+    for text in (
+        "", "oak pine", f"oak commit {value} pine", "elm password: 2024-11-12 maple", "elm password: ******** maple",
+        "elm password: maple", f"oak {value[:32]} pine", "oak key: token= pine",
+    ):
+        assert scanner.mask(text) == text, text
+
+
+def test_candidates_in_order_and_apart():
+    rng = random.Random(3)
+    alphabet = ["key", "token", "=", ":", '"', "'", " ", "a1", "b-", "9f", "/", ".", "é", "password: ", "#", "\n", "abcdefgh1"]
+    for _ in range(3000):
+        text = "".join(rng.choices(alphabet, k=rng.randint(0, 30)))
+        spans = secrets.candidates(text)
+        assert all(0 <= a < b <= len(text) for a, b in spans)
+        assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_held_out_findings_as_the_scan_meets_them():
+    context = secrets.Context(frozenset(WORDS), np.full((27, 27), math.log(1 / 27)))
+    scanner = secrets.train(context)
+    held_out = secrets.labelled_findings(WORDS, per_kind=40, seed=99)
+    seen = [(x, f.secret) for f in held_out if (x := secrets.scanned(f, context))]
+    x, y = (np.array(part, float) for part in zip(*seen, strict=True))
+    assert np.mean((scanner.forest.predict(x) >= scanner.threshold) == (y > 0)) > 0.97
+    assert sum(f.secret for f in held_out) == y.sum()  # no secret escapes the candidates
+
+
 def test_dictionary_and_pairs_of_all_documents(spark):
     spelled = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
     rows = [(i, f"oak {spelled(i)} elm") for i in range(4000)]
