@@ -188,7 +188,8 @@ def regions(docs: DataFrame, members: DataFrame, key: str, text: str, join: Join
         wanted.where("n_shared > 0").hint("merge"), F.col("doc") == F.col("_doc"), "left_semi"
     )
     with filtered_joins(docs.sparkSession):
-        sets = found.select("doc", shingles(F.col("_text"), join.words).alias("set")).dropDuplicates(["doc"])
+        # rows of an id meet in the join already, so repeated ones go there and sets need not move
+        sets = found.dropDuplicates(["doc"]).select("doc", shingles(F.col("_text"), join.words).alias("set"))
         sets = settled(sets, "jaccard-sets")
     rows = sets.select("doc", F.explode("set").alias("h"))
     shared = settled(rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-df")
