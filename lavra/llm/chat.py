@@ -2,22 +2,24 @@
 
 For each speaker of a conversation the whole dialogue is rendered with that speaker as the
 assistant and all others as named users; the mask holds the spans the assistant is trained on.
-Only built-in functions. Turns are joined with the speakers of their conversation, so a long
-conversation spreads over tasks; it is rendered in segments of `segment_turns` turns, each a row.
-
-Null text is empty, a null role is the speaker "unknown". Rows of a conversation that agree in
-turn, role and text are one message. Messages of one turn stand in order of role, then text; a
-null turn stands in segment 0 before all others. Roles in `narrators` set the scene: they are
-shown as they are and get no side of their own, so a conversation of narrators alone gives no
-row. Markers inside a text are broken up by a blank.
+Only built-in functions. Messages are numbered within their conversation, which spreads over tasks
+however long it is: ranges of messages are counted each by itself, and only their counts meet. A
+dialogue is one row up to `segment_messages` messages, a longer one goes on in further rows, which
+start without the messages before.
+
+Null text is empty, a null role is the speaker "unknown". Messages stand in order of turn, then role,
+then text, a null turn before all others; rows that agree in all of them are as many equal messages.
+Roles in `narrators` set the scene: they are shown as they are and get no side of their own, so a
+conversation of narrators alone gives no row. Markers inside a text are broken up by a blank.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.llm.common import let
+from lavra.session import stage
 
 # The markers around a message.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -28,6 +30,39 @@ def _head(side: Column, role: Column, narrators: tuple[str, ...]) -> Column:
     return F.concat(F.lit(OPEN), F.coalesce(name, F.concat(F.lit("user name="), role)), F.lit("\n"))
 
 
+def _numbered(messages: DataFrame) -> DataFrame:
+    """Each different message with its times and the number of its first one in the conversation, from 0."""
+    order = ["turn", "role", "body"]
+    ranged = stage(
+        messages.groupBy("conversation", *order).agg(F.count("*").alias("times"))
+        .repartitionByRange("conversation", *order)
+        .withColumn("part", F.spark_partition_id()),
+        "messages",
+    )
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("conversation", "part").agg(F.sum("times").alias("n"))
+    before = F.sum("n").over(earlier.partitionBy("conversation").orderBy("part"))
+    starts = parts.select(F.col("conversation").alias("c"), F.col("part").alias("p"), F.coalesce(before, F.lit(0)).alias("start"))
+    inside = F.sum("times").over(earlier.partitionBy("conversation", "part").orderBy(*order))
+    same = F.col("conversation").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))
+    counted = ranged.withColumn("inside", F.coalesce(inside, F.lit(0)))
+    return counted.join(starts, same).select("conversation", *order, "times", (F.col("start") + F.col("inside")).alias("place"))
+
+
+def _segments(messages: DataFrame, length: int) -> DataFrame:
+    """The messages of each conversation and segment, in order."""
+    first, last = F.col("place"), F.col("place") + F.col("times") - 1
+    cut = _numbered(messages).withColumn(
+        "segment", F.explode(F.sequence(F.floor(first / length), F.floor(last / length)))
+    )
+    start = F.greatest(first, F.col("segment") * length)
+    end = F.least(last, F.col("segment") * length + length - 1)
+    held = F.struct(start.alias("place"), "role", "body", (end - start + 1).cast("int").alias("times"))
+    grouped = cut.groupBy("conversation", "segment").agg(F.array_sort(F.collect_list(held)).alias("ms"))
+    each = F.flatten(F.transform("ms", lambda m: F.array_repeat(F.struct(m["role"], m["body"]), m["times"])))
+    return grouped.withColumn("ms", each)
+
+
 def rotate(
     turns: DataFrame,
     conversation: str = "conv_id",
@@ -35,7 +70,7 @@ def rotate(
     role: str = "role",
     text: str = "text",
     narrators: tuple[str, ...] = ("system",),
-    segment_turns: int = 256,
+    segment_messages: int = 1024,
 ) -> DataFrame:
     """One row per conversation, speaker and segment: the text and its trained spans.
 
@@ -47,22 +82,19 @@ def rotate(
         F.col(turn).cast("long").alias("turn"),
         F.coalesce(F.regexp_replace(F.col(role), r"[\n<|]", " "), F.lit("unknown")).alias("role"),
         body.alias("body"),
-    ).distinct()
+    )
     sides = rows.where(~F.col("role").isin(*narrators)).select(
         F.col("conversation").alias("c"), F.col("role").alias("side")
     ).distinct()
-    head = _head(F.col("side"), F.col("role"), narrators)
-    segment = F.coalesce(F.floor(F.col("turn") / segment_turns), F.lit(0)).cast("long")
-    seen = rows.join(sides, F.col("conversation").eqNullSafe(F.col("c"))).select(
-        "conversation",
-        "side",
-        segment.alias("segment"),
-        F.struct(
-            "turn", "role", "body", F.concat(head, F.col("body"), F.lit(CLOSE + "\n")).alias("shown")
-        ).alias("m"),
+    seen = _segments(rows, segment_messages).join(sides, F.col("conversation").eqNullSafe(F.col("c")))
+    shown = F.transform(
+        "ms",
+        lambda m: F.struct(
+            m["role"].alias("role"),
+            F.concat(_head(F.col("side"), m["role"], narrators), m["body"], F.lit(CLOSE + "\n")).alias("shown"),
+        ),
     )
-    grouped = seen.groupBy("conversation", "side", "segment").agg(F.array_sort(F.collect_list("m")).alias("ms"))
-    return grouped.select(
+    return seen.withColumn("ms", shown).select(
         F.col("conversation").alias(conversation),
         F.col("side").alias("participant"),
         "segment",

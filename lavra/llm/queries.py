@@ -161,23 +161,24 @@ FROM b
 
 _PERSPECTIVES = r"""
 WITH m AS (
-  SELECT DISTINCT conv_id, turn::BIGINT AS turn, coalesce(regexp_replace(role, '[\n<|]', ' ', 'g'), 'unknown') AS role,
-         replace(coalesce(text, ''), '<|', '< |') AS body
-  FROM conversations),
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, body) - 1 AS place FROM (
+    SELECT conv_id, turn::BIGINT AS turn, coalesce(regexp_replace(role, '[\n<|]', ' ', 'g'), 'unknown') AS role,
+           replace(coalesce(text, ''), '<|', '< |') AS body
+    FROM conversations)),
 sides AS (SELECT DISTINCT conv_id, role AS side FROM m WHERE role <> 'system'),
 shown AS (
-  SELECT m.*, side, coalesce(turn // 256, 0)::BIGINT AS segment,
+  SELECT m.*, side, (place // 1024)::BIGINT AS segment,
          '<|im_start|>' || CASE WHEN role = side THEN 'assistant' WHEN role = 'system' THEN role
                                 ELSE 'user name=' || role END || chr(10) || body || '<|im_end|>' || chr(10) AS shown
   FROM m JOIN sides ON m.conv_id IS NOT DISTINCT FROM sides.conv_id),
 placed AS (
   SELECT *, coalesce(sum(length(shown)) OVER (PARTITION BY conv_id, side, segment
-             ORDER BY turn NULLS FIRST, role, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+             ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
   FROM shown)
 SELECT conv_id, side AS participant, segment, count(*)::INTEGER AS n_messages,
-       string_agg(shown, '' ORDER BY turn NULLS FIRST, role, body) AS text,
+       string_agg(shown, '' ORDER BY place) AS text,
        string_agg((off + 22)::BIGINT || '-' || (off + length(shown) - 1)::BIGINT, ','
-                  ORDER BY turn NULLS FIRST, role, body) FILTER (WHERE role = side) AS trained
+                  ORDER BY place) FILTER (WHERE role = side) AS trained
 FROM placed GROUP BY 1, 2, 3
 """
 

@@ -119,11 +119,40 @@ def test_chat(spark):
     df = spark.createDataFrame([r + ("clash",) for r in rows], "conv_id long, turn int, role string, text string, side string")
     got = {(r["conv_id"], r["participant"]): r for r in chat.rotate(df).collect()}
     assert set(got) == {(1, "user"), (1, "unknown"), (None, "bot")}
-    assert got[1, "user"]["n_messages"] == 2
+    assert got[1, "user"]["n_messages"] == 3  # equal messages all stay
     assert "< |x" in got[1, "unknown"]["text"]
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+def plain_sides(rows, length):
+    """Rows (conversation, turn, role, text) without nulls but in turn, from each speaker's side, one message after the other."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        told = sorted((r[1:] for r in rows if r[0] == conv), key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+        for side in {r[1] for r in told}:
+            for at in range(0, len(told), length):
+                text, spans = "", []
+                for _, role, body in told[at : at + length]:
+                    name = "assistant" if role == side else f"user name={role}"
+                    if role == side:
+                        spans.append((len(text) + len("<|im_start|>assistant\n"), len(text) + len(f"<|im_start|>assistant\n{body}<|im_end|>")))
+                    text += f"<|im_start|>{name}\n{body}<|im_end|>\n"
+                out[conv, side, at // length] = (text, spans)
+    return out
+
+
+def test_long_chats_with_equal_messages(spark):
+    """Over 256 turns, and many equal messages on one turn or none, all stand in their place."""
+    rows = [(1, i, ("ann", "bob")[i % 2], f"line {i}") for i in range(300)]
+    rows += [(2, None, "ann", "ok")] * 37 + [(2, 4, "bob", "ok")] * 25 + [(2, 4, "ann", "x"), (3, 0, "ann", "alone")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)
+    for length in (10, 1024):
+        found = chat.rotate(df, segment_messages=length).collect()
+        got = {(r["conv_id"], r["participant"], r["segment"]): (r["text"], [tuple(s) for s in r["trained"]]) for r in found}
+        assert len(found) == len(got) and got == plain_sides(rows, length)
+    assert sum(r["conv_id"] == 1 for r in found) == 2  # one row for each side
+
+
 def test_neighbours(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [float(i), 1.0]) for i in range(4)] + [(4, [1.0, 1.0]), (5, None), (6, [0.0, 0.0]), (7, [nan, 1.0])]
