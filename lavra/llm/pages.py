@@ -6,6 +6,11 @@ takes the label of its nearest decided neighbours. Within an article or main ele
 as such, both ends count as good neighbours, and where a page has such a landmark with text,
 nothing outside it is part of the article; an element counts for more than a name.
 
+A class, id or role names furniture only as a whole ("cookie-notice", "siteFooter"), not because one of
+its words does ("overflow-hidden", "social-science", "no-sidebar"); an element that also bears the name of
+a landmark is none, and an article element is only what names of companions of a text make of it. Of two
+decided neighbours equally far the later one counts. Each row is read by itself, repeated rows alike.
+
 Null, empty and textless html give an empty text. Cut-off tags and comments end with the page,
 white space within a block is one blank. Each page is handled on its own, at any length.
 """
@@ -65,6 +70,18 @@ FURNITURE_NAMES = frozenset(
     """.split()
 )
 HEADER_NAMES = frozenset(("header", "topbar"))
+# Furniture that pages also mark up as article elements.
+COMPANION_NAMES = frozenset(
+    "ad ads advert advertisement comment comments promo recommended related replies reply sponsored teaser widget".split()
+)
+# Words that tell where furniture stands or what it is made of, and change nothing.
+PLAIN_NAMES = frozenset(
+    """
+    area article articles bar block body bottom box button buttons card container content element entry form global
+    group icons inner item items layer left link links list main message outer page panel post posts primary right row
+    secondary section site slot stories sub text thread title top unit wrap wrapper zone
+    """.split()
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -75,7 +92,7 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
-_PART = re.compile(r"[a-z]+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"[ \t\n\x0b\x0c\r\xa0]+")
 
 
@@ -139,8 +156,11 @@ class _Reader:
         top = self.stack[-1] if self.stack else _NOTHING
         furniture = top.furniture or tag in FURNITURE or (tag == "header" and not top.region)
         region, element = top.region, top.element
-        if attributes and not furniture and tag not in ("html", "body", "main"):
-            furniture = _names_furniture(attributes, bool(region))
+        if attributes and not furniture and tag not in ("html", "body"):
+            furniture = bool(_HIDDEN.search(attributes))
+            if tag != "main" and not furniture and not _names_landmark(attributes):
+                known = COMPANION_NAMES if tag == "article" else FURNITURE_NAMES
+                furniture = _names_furniture(attributes, known if region or tag == "article" else known | HEADER_NAMES)
         if not furniture and not element and (tag in LANDMARKS or (not region and _names_landmark(attributes))):
             self.regions += 1
             region, element = self.regions, tag in LANDMARKS
@@ -173,20 +193,22 @@ class _Reader:
                 return
 
 
-def _names_furniture(attributes: str, in_article: bool) -> bool:
-    if _HIDDEN.search(attributes):
-        return True
-    for match in _NAMES.finditer(attributes):
-        for part in _PART.findall(match[2].lower()):
-            if part in FURNITURE_NAMES or (part in HEADER_NAMES and not in_article):
-                return True
+def _names(attributes: str) -> list[str]:
+    """The single names in class, id and role."""
+    return [name for match in _NAMES.finditer(attributes) for name in match[2].strip("\"'").split()]
+
+
+def _names_furniture(attributes: str, known: frozenset[str]) -> bool:
+    """Whether one name consists of known words for furniture and of plain words."""
+    for name in _names(attributes):
+        parts = [part.lower() for part in _PART.findall(name)]
+        if not known.isdisjoint(parts) and all(part in known or part in PLAIN_NAMES for part in parts):
+            return True
     return False
 
 
 def _names_landmark(attributes: str) -> bool:
-    return any(
-        name in LANDMARK_NAMES for match in _NAMES.finditer(attributes) for name in match[2].lower().strip("\"'").split()
-    )
+    return any(name.lower() in LANDMARK_NAMES for name in _names(attributes))
 
 
 def read_blocks(html: str) -> list[Block]:

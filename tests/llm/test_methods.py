@@ -195,6 +195,51 @@ def test_article_by_its_name():
     assert pages.main_text(html.replace("<h2>", "<article><h2>").replace("Short.</p>", "Short.</p></article><p>Not in it.</p>")) == "Title\nShort."
 
 
+NAMED = "The text of the day is for all of the people who have come to read it in the hall of the town."
+
+
+@pytest.mark.parametrize(
+    "tag",
+    ['div class="overflow-hidden"', 'article class="post comments-open"', 'div class="entry-content no-sidebar"',
+     'div id="search-results"', 'div class="post social-science"', 'article class="notice"', 'main class="page menu"'],
+)
+def test_a_word_within_a_name_drops_no_text(tag):
+    end = tag.split()[0]
+    assert pages.main_text(f'<{tag}><p>{NAMED}</p><p class="notice-board">{NAMED}</p></{end}>') == f"{NAMED}\n{NAMED}"
+
+
+@pytest.mark.parametrize(
+    "tag",
+    ['div class="cookie-notice"', 'div class="siteFooter"', 'div id=adSlot', 'section class="related-posts"', 'div role=banner',
+     'div class="x comment-list"', 'div hidden', 'div style="display: none"', 'article class="comment-body"', 'div class="page-header"',
+     'div class="ad-container wide"', 'ul class="main-nav"', 'div class="sidebar"', 'div class="SIDEBAR"'],
+)
+def test_names_of_furniture_as_a_whole(tag):
+    end = tag.split()[0]
+    assert pages.main_text(f"<{tag}><p>{NAMED}</p></{end}><div><p>{NAMED} Yes.</p></div>") == f"{NAMED} Yes."
+
+
+def test_densities_and_neighbours_decide(monkeypatch):
+    """Without the rules of the two passes, link lists and their captions would stay."""
+    links = " ".join(f"<a href={i}>Other page {i}</a>" for i in range(4))
+    html = f"<div><p>Read on</p><p>{links}</p></div><p>{NAMED}</p><p>Brief.</p><p>{NAMED}</p><div>{links}</div><p>More</p>"
+    assert pages.main_text(html) == f"{NAMED}\nBrief.\n{NAMED}"
+    monkeypatch.setattr(pages, "first_pass", lambda block, rules: not block.furniture)
+    assert pages.main_text(html) != f"{NAMED}\nBrief.\n{NAMED}"
+
+
+def test_of_equally_near_neighbours_the_later_counts():
+    links = " ".join(f"<a href={i}>Other page {i}</a>" for i in range(4))
+    assert pages.main_text(f"<p>{NAMED}</p><p>Between</p><p>{links}</p>") == NAMED
+    assert pages.main_text(f"<p>{links}</p><p>Between</p><p>{NAMED}</p>") == f"Between\n{NAMED}"
+
+
+def test_repeated_pages_and_columns_of_the_same_name(spark):
+    df = spark.createDataFrame([(1, PAGE, "t"), (1, PAGE, "t"), (2, None, None)], "page_id long, html string, text string")
+    got = [tuple(r) for r in df.select("page_id", pages.extract(F.col("html")).alias("text"), F.col("text").alias("mine")).collect()]
+    assert sorted(got, key=str) == [(1, pages.main_text(PAGE), "t")] * 2 + [(2, "", None)]
+
+
 # --- pieces
 
 
