@@ -13,8 +13,9 @@ is trained; but the segmentation is the likeliest one and not the one that the m
 ids differ from `SentencePieceProcessor.encode` here and there. Without scores the merges of a BPE
 model are followed, and ids equal those of that function.
 
-No piece holds a word boundary after another character, so the segmentation of a text is
-that of its words one after the other; a worker keeps the segmentation of words it has seen.
+No piece holds a word boundary after another character, or a letter beside a full stop, so the
+segmentation of a text is that of its words and their parts one after the other; a worker keeps the
+segmentation of parts it has seen.
 The model is a fixed vocabulary file; its pieces are sent to the workers, not the file.
 
 Null text gives null ids, empty text an empty list, and neither counts. Texts are never cut.
@@ -28,7 +29,7 @@ import heapq
 import re
 import uuid
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import ahocorasick
@@ -81,6 +82,17 @@ def is_bpe(path: str) -> bool:
     return spec.model_type == spec.BPE
 
 
+class _Kept(dict):
+    """Numbers of chunks, each made when it is first asked for."""
+
+    def __init__(self, make: Callable[[str], int]):
+        self.make = make
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = self.make(chunk)
+        return number
+
+
 class Segmenter:
     """Viterbi over the matches of the automaton, with the words seen so far."""
 
@@ -90,7 +102,7 @@ class Segmenter:
         lowest = 0.0
         for i, (piece, score, kind) in enumerate(zip(pieces, scores, kinds, strict=True)):
             if kind == 0 and piece:
-                self.automaton.add_word(piece, (i, len(piece), score))
+                self.automaton.add_word(piece, (len(piece), score, i))
                 lowest = min(lowest, score)
                 if len(piece) == 1:
                     self.single.add(piece)
@@ -98,76 +110,83 @@ class Segmenter:
         self.unknown = lowest - UNKNOWN_PENALTY
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds, strict=True)) if k == 1}
         self.unknown_id = next((i for i, p in enumerate(pieces) if kinds[i] == 2 and p == "<unk>"), 0)
-        self.word = re.compile(_chunk(pieces, kinds))
+        self.word = re.compile(_part(pieces, kinds))
         self._forget()
 
     def _forget(self):
-        self.at, self.starts, self.flat = {}, array("q", [0]), array("i")
+        self.starts, self.flat = array("q", [0]), array("i")
+        self.at = _Kept(self._keep)
+
+    def _keep(self, chunk: str) -> int:
+        """The number of a chunk that is met for the first time."""
+        self.flat.extend(self.segment(chunk))
+        self.starts.append(len(self.flat))
+        return len(self.starts) - 2
 
     def segment(self, chunk: str) -> list[int]:
         """Ids of the best segmentation of one chunk."""
         n = len(chunk)
-        best = [0.0] + [float("-inf")] * n
-        back: list = [None] * (n + 1)  # the last piece of the best way here
-        known = self.single.issuperset(chunk)
-        done = 0
-        for end, value in self.automaton.iter(chunk):
-            if not known and end > done:
-                self._spell(chunk, done, end, best, back)
-                done = end
-            end += 1
-            total = best[end - value[1]] + value[2]
-            if total > best[end]:
-                best[end], back[end] = total, value
-        if not known:
+        # by the last character of a way; the last place, read as -1, is the empty one
+        best = [float("-inf")] * n + [0.0]
+        back: list = [None] * n  # the last piece of the best way here
+        if self.single.issuperset(chunk):
+            for end, value in self.automaton.iter(chunk):
+                size, score, _ = value
+                total = best[end - size] + score
+                if total > best[end]:
+                    best[end], back[end] = total, value
+        else:
+            done = 0
+            for end, value in self.automaton.iter(chunk):
+                if end > done:
+                    self._spell(chunk, done, end, best, back)
+                    done = end
+                size, score, _ = value
+                total = best[end - size] + score
+                if total > best[end]:
+                    best[end], back[end] = total, value
             self._spell(chunk, done, n, best, back)
         ids: list[int] = []
-        j = n
-        while j:
-            piece, size, _ = back[j]
+        j = n - 1
+        while j >= 0:
+            size, _, piece = back[j]
             if piece >= 0:
                 ids.append(piece)
             elif self.bytes:
-                ids.extend(self.bytes[b] for b in reversed(chunk[j - 1].encode("utf-8", "replace")))
+                ids.extend(self.bytes[b] for b in reversed(chunk[j].encode("utf-8", "replace")))
             else:
                 ids.append(self.unknown_id)
             j -= size
-        return ids[::-1]
+        ids.reverse()
+        return ids
 
     def _spell(self, chunk: str, start: int, stop: int, best: list[float], back: list) -> None:
-        """Relax the ends of the characters from `start` to `stop` that have no piece of their own."""
+        """Relax the characters from `start` to `stop` that have no piece of their own."""
         for j in range(start, stop):
-            if chunk[j] not in self.single and best[j] + self.unknown > best[j + 1]:
-                best[j + 1], back[j + 1] = best[j] + self.unknown, (-1, 1, self.unknown)
+            if chunk[j] not in self.single and best[j - 1] + self.unknown > best[j]:
+                best[j], back[j] = best[j - 1] + self.unknown, (1, self.unknown, -1)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of ids per text."""
         if len(self.at) > KEPT_WORDS:
             self._forget()
-        cut: list[str] = []
-        counts, find = np.zeros(len(texts), np.int64), self.word.findall
+        found, counts = [np.zeros(0, np.int64)], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             if text:
-                chunks = find(SPACE + text.replace(" ", SPACE))
-                cut += chunks
+                chunks = self.word.findall(SPACE + text.replace(" ", SPACE))
+                found.append(np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks)))
                 counts[k] = len(chunks)
-        new = list(set(cut).difference(self.at))
-        if new:
-            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
-            for chunk in new:
-                self.flat.extend(self.segment(chunk))
-                self.starts.append(len(self.flat))
-        words = np.fromiter(map(self.at.__getitem__, cut), np.int64, len(cut))
-        if not cut:
+        words = np.concatenate(found)
+        if not len(words):
             return np.zeros(0, np.int32), counts
         starts, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat, np.int32)
         lengths = starts[words + 1] - starts[words]
         ends = np.cumsum(lengths)
         places = np.arange(ends[-1]) - np.repeat(ends - lengths - starts[words], lengths)
         text_ends = np.concatenate([[0], ends])[np.cumsum(counts)]
-        found = flat[places]
+        ids = flat[places]
         del starts, flat  # what they look into grows with the next texts
-        return found, np.diff(text_ends, prepend=0)
+        return ids, np.diff(text_ends, prepend=0)
 
 
 class Merger(Segmenter):
@@ -214,6 +233,23 @@ def _chunk(pieces, kinds) -> str:
     return "(?s).+" if inner else f"{SPACE}*[^{SPACE}]+|{SPACE}+"
 
 
+def _part(pieces, kinds) -> str:
+    """A word as `_chunk` has it, cut also between neighbours that stand beside each other in no piece."""
+    if any(SPACE in piece.lstrip(SPACE) for piece, kind in zip(pieces, kinds, strict=True) if kind == 0):
+        return _chunk(pieces, kinds)
+    group: dict[str, set[str]] = {}  # of each character, those it hangs together with by pieces
+    for piece, kind in zip(pieces, kinds, strict=True):
+        inner = piece.lstrip(SPACE) if kind == 0 else ""
+        for a, b in zip(inner, inner[1:], strict=False):
+            one, other = group.setdefault(a, {a}), group.setdefault(b, {b})
+            if one is not other:
+                one |= other
+                group.update(dict.fromkeys(other, one))
+    together = sorted({id(g): "".join(sorted(g)) for g in group.values()}.values(), key=lambda g: (-len(g), g))
+    runs = "".join(f"[{re.escape(g)}]+|" for g in together)
+    return f"(?s){SPACE}*(?:{runs}[^{SPACE}])|{SPACE}+"
+
+
 def piece_scores(docs: DataFrame, text: str = "text", model: str | None = None) -> tuple[float, ...]:
     """The log of each piece's share among all places where a piece stands in the texts, one place more for each piece.
 
@@ -237,7 +273,7 @@ def piece_scores(docs: DataFrame, text: str = "text", model: str | None = None)
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for _, value in automaton.iter(word):
-                    found[value[0]] += n
+                    found[value[2]] += n
         ids = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(np.array(found)[ids], pa.int64())], ["id", "n"])
 
