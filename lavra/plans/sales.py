@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lavra.folders import folder_bytes
 from lavra.functions import numbers as N
 from lavra.functions import predicates as P
 from lavra.functions.jsontext import flatten_nested
@@ -28,6 +29,7 @@ from lavra.session import apply_settings, new_folder, stage
 from lavra.sources import audit
 from lavra.sources import tables as tb
 from lavra.sources.bronze import to_bronze, write_bronze
+from lavra.sources.bucketed import buckets_for, read_bucketed, write_bucketed
 from lavra.sources.contracts import ColumnContract, Source, contract_report
 from lavra.sources.events import read_event_file, topic_records
 from lavra.sources.extraction import directory_scan, observed_scan, ordered_sample, target_scan
@@ -626,6 +628,21 @@ def flattened_rows(spark, d):
     return flatten_nested(events)
 
 
+def bucketed_order_lines(spark, d):
+    """Orders and lines kept in buckets of the order, joined and grouped where they lie."""
+    count = buckets_for(folder_bytes(spark, f"{d}/lineitem.parquet"))
+    kept = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey"]}
+    paths = {name: new_folder(spark, name) for name in kept}
+    for name, keys in kept.items():
+        write_bucketed(table(spark, d, name), paths[name], keys, count)
+    orders, lines = (read_bucketed(spark, paths[name]) for name in kept)
+    return (
+        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        .groupBy("o_orderkey", "o_custkey")
+        .agg(F.count("*").alias("n_lines"), F.max("l_extendedprice").alias("top_price"))
+    )
+
+
 def event_files(spark, d):
     """All events written as JSON lines and as arrays to one folder, and read back."""
     folder = new_folder(spark, "event-files")
@@ -982,6 +999,7 @@ QUERIES = {
         iso_times,
         decoded_properties,
         flattened_rows,
+        bucketed_order_lines,
         event_files,
         topic_messages,
         routed_events,

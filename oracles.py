@@ -358,6 +358,8 @@ SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_shipdate < DATE '1998-0
     "flattened_rows": """SELECT event_id,
         '{"event_type":"' || event_type || '","user_id":' || user_id || '}' AS who,
         '["' || event_type || '","x"]' AS tags, value FROM events""",
+    "bucketed_order_lines": """SELECT o_orderkey, o_custkey, count(*) AS n_lines, max(l_extendedprice) AS top_price
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2""",
     "event_files": "SELECT event_id, user_id, event_type, value FROM events",
     "topic_messages": """SELECT CAST(event_id AS VARCHAR) AS key, '{"event_id":' || event_id || ',"user_id":' || user_id
         || ',"event_type":"' || event_type || '","value":' || value || '}' AS value FROM events""",
