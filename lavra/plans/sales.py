@@ -38,6 +38,7 @@ from lavra.streaming.events import EventSpec, decode_events, validate_events
 from lavra.streaming.ingest import StreamPaths, read_batches, run_session
 from lavra.streaming.routing import new_events, route_events
 from lavra.streaming.seen import SeenIndex
+from lavra.streaming.variants import decode_variant_events, extra_field, extra_names
 
 # Times that stand for two runs, so that no result holds the current time.
 FIRST_RUN = datetime(2024, 1, 1, 6, tzinfo=timezone.utc)
@@ -618,6 +619,24 @@ def decoded_properties(spark, d):
     return decoded.select("event_id", F.col("k").cast("bigint").alias("k"))
 
 
+def variant_properties(spark, d):
+    """Events as text with nested further fields, kept as VARIANT in a table and asked there."""
+    user = F.struct(F.col("user_id").alias("id"), F.array(F.col("event_type"), F.lit("x")).alias("tags"))
+    raw = table(spark, d, "events").select(
+        F.to_json(F.struct("event_id", "event_type", user.alias("user"), F.from_json("props", "k bigint").alias("props"))).alias("value")
+    )
+    kept = stage(decode_variant_events(raw, {"event_id": "bigint", "event_type": "string"}), "variants")
+    return kept.select(
+        "event_id",
+        "event_type",
+        extra_field("$.user.id", "bigint").alias("user_id"),
+        extra_field("$.user.tags[0]", "string").alias("tag"),
+        extra_field("$.props.k", "bigint").alias("k"),
+        F.array_join(extra_names(), ",").alias("further"),
+        F.col("_bad_json").alias("bad_json"),
+    )
+
+
 def flattened_rows(spark, d):
     events = table(spark, d, "events").select(
         "event_id",
@@ -998,6 +1017,7 @@ QUERIES = {
         coerced_numbers,
         iso_times,
         decoded_properties,
+        variant_properties,
         flattened_rows,
         bucketed_order_lines,
         event_files,

@@ -355,6 +355,8 @@ SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_shipdate < DATE '1998-0
         round_even(CAST(epoch_us(TIMESTAMP '2024-02-01') - epoch_us(ts) AS DOUBLE) / 1000, 0) / 1000 AS latency_s
         FROM events""",
     "decoded_properties": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+    "variant_properties": """SELECT event_id, event_type, user_id, event_type AS tag,
+        CAST(json_extract(props, '$.k') AS BIGINT) AS k, 'props,user' AS further, false AS bad_json FROM events""",
     "flattened_rows": """SELECT event_id,
         '{"event_type":"' || event_type || '","user_id":' || user_id || '}' AS who,
         '["' || event_type || '","x"]' AS tags, value FROM events""",
