@@ -89,12 +89,12 @@ def check_rows(df: DataFrame, spec: QualitySpec) -> DataFrame:
     return standardize(checked, {c: hash_text for c in spec.pseudonymise})
 
 
-def check_keys(checked: DataFrame, spec: QualitySpec, firsts: DataFrame | None = None) -> DataFrame:
+def check_keys(checked: DataFrame, spec: QualitySpec, marks: DataFrame | None = None) -> DataFrame:
     """Add the uniqueness rule. It looks at all rows, also those that fail others."""
     keys = spec.present_keys(checked)
     if not keys:
         return checked
-    flagged = flag_repeats(checked, keys, spec.order_by, firsts=firsts)
+    flagged = flag_repeats(checked, keys, spec.order_by, marks=marks)
     return flagged.withColumn(FAILS, F.col(FAILS).withField(f"r{len(spec.rules)}", F.col("_repeat"))).drop("_repeat")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lavra.operators import quality as Q
 from lavra.operators.keys import with_row_id
-from lavra.operators.uniqueness import first_rows
+from lavra.operators.uniqueness import first_marks
 from lavra.session import stage
 from lavra.sources import audit
 from lavra.sources import tables as tb
@@ -142,8 +142,8 @@ def build_silver(
     those loaded are as many as the valid ones.
 
     The rows are marked once for each of the two sinks. Marking is a scan plus
-    a join with the few repeated keys, which are staged, so this is cheaper than
-    keeping a marked copy of the whole table, and both passes agree.
+    a look-up of the row's bit among the staged marks of first rows, so whole rows
+    are neither shuffled nor kept as a marked copy, and both passes agree.
     """
     spark = bronze.sparkSession
     started = at or audit.utc_now()
@@ -153,8 +153,8 @@ def build_silver(
     bronze_count = rows.count()
     checked = Q.check_rows(rows, spec)
     keys = spec.present_keys(checked)
-    firsts = stage(first_rows(checked, keys, spec.order_by), "firsts") if keys else None
-    marked = Q.check_keys(checked, spec, firsts)
+    marks = stage(first_marks(checked, keys, spec.order_by), "first-marks") if keys else None
+    marked = Q.check_keys(checked, spec, marks)
     rules = spec.all_rules(marked)
     valid, invalid = Q.split(marked, spec)
 

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from lavra.folders import exists
 from lavra.operators import integrity as I
-from lavra.operators import median
+from lavra.operators import median, uniqueness
+from lavra.operators import quality as Q
 from lavra.operators.median import exact_median
 from lavra.operators.uniqueness import duplicated_keys, flag_repeats
-from lavra.plans import sales
+from lavra.plans import layers, sales
 from lavra.session import drop_stages, shared_folder, stage
 from lavra.sources import tables as tb
+from lavra.sources.published import Publication
 
 SF = "/root/testdata/sf0.001"
 
@@ -148,3 +150,46 @@ def test_stages_lie_in_the_shared_folder_and_go(spark):
     assert shared_folder(spark).removeprefix("file:") in file
     drop_stages(spark)
     assert not exists(spark, file)
+
+
+def test_silver_moves_no_whole_rows_and_marks_first_rows_by_their_bits(spark, hot, tmp_path, monkeypatch):
+    """Rows of repeated keys, a hot null key among them, in several files; the first one by value is valid."""
+    moved = []
+    written = Publication.write
+
+    def seen(self, df, path, *args, **kwargs):
+        moved.append(plan(df))
+        return written(self, df, path, *args, **kwargs)
+
+    monkeypatch.setattr(Publication, "write", seen)
+    rows = tb.with_positions(hot)
+    spec = Q.QualitySpec("hot", ["k"], [], unique_keys=["k"], order_by=["v"])
+    with settings(spark, **LARGE_TABLES):
+        result = layers.build_silver(rows, spec, layers.Layout(str(tmp_path / "lake")))
+        want = hot.groupBy("k").agg(F.min("v").alias("v"))
+        assert result.valid_count == want.count() and result.valid_count + result.invalid_count == hot.count()
+        valid = layers.read_silver(spark, layers.Layout(str(tmp_path / "lake")), "hot").select("k", "v")
+        assert valid.exceptAll(want).isEmpty() and want.exceptAll(valid).isEmpty()
+    sinks = [p for p in moved if "body" in p]
+    assert len(sinks) == 2 and all("Exchange hashpartitioning" not in p for p in sinks)
+
+
+def test_many_marks_are_joined_by_blocks_with_the_same_result(spark, hot, monkeypatch):
+    rows = tb.with_positions(hot)
+    marks = stage(uniqueness.first_marks(rows, ["k"], ["v"]), "marks")
+    few = uniqueness.flag_marked(rows, marks)
+    monkeypatch.setattr(uniqueness, "MOST_MARKS", 0)
+    with settings(spark, **LARGE_TABLES):
+        many = uniqueness.flag_marked(rows, marks)
+        assert "BroadcastHashJoin" in plan(few) and "BroadcastHashJoin" not in plan(many)
+        one, two = (df.select("v", "_repeat") for df in (few, many))
+        assert one.exceptAll(two).isEmpty() and one.count() == two.count() == hot.count()
+        plain = flag_repeats(rows, ["k"], ["v"]).select("v", "_repeat")
+        assert plain.exceptAll(one).isEmpty()
+
+
+def test_equal_rows_are_told_apart_by_position(spark, tmp_path):
+    same = stage(spark.range(40_000).repartition(3).select(F.lit(1).alias("k"), F.lit(None).cast("string").alias("o")), "same")
+    rows = tb.with_positions(same)
+    flagged = flag_repeats(rows, ["k"], ["o"], marks=stage(uniqueness.first_marks(rows, ["k"], ["o"]), "marks"))
+    assert flagged.where("not _repeat").count() == 1 and flagged.count() == 40_000
