@@ -647,9 +647,13 @@ def flattened_rows(spark, d):
     return flatten_nested(events)
 
 
+# Bytes of packed lines in a bucket: one task sorts it, and a line takes some 20 times as much there.
+LINE_BUCKET_BYTES = 16 << 20
+
+
 def bucketed_order_lines(spark, d):
     """Orders and lines kept in buckets of the order, joined and grouped where they lie."""
-    count = buckets_for(folder_bytes(spark, f"{d}/lineitem.parquet"))
+    count = buckets_for(folder_bytes(spark, f"{d}/lineitem.parquet"), LINE_BUCKET_BYTES)
     kept = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey"]}
     paths = {name: new_folder(spark, name) for name in kept}
     for name, keys in kept.items():

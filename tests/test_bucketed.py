@@ -77,3 +77,11 @@ def test_null_keys_empty_tables_and_odd_names(spark, tmp_path, rows):
 def test_number_of_buckets():
     assert [bucketed.buckets_for(n << 20) for n in (0, 1, 256, 257, 1000, 1025)] == [1, 1, 1, 2, 4, 8]
     assert bucketed.buckets_for(100 << 40) == 1 << 19
+
+
+def test_buckets_of_lines_stay_small_enough_for_one_task():
+    from lavra.plans.sales import LINE_BUCKET_BYTES
+
+    # a byte of packed lines takes some 20 in the task that sorts it
+    for size in (50 << 20, 460 << 20, 2760 << 20, 30 << 30):
+        assert size / bucketed.buckets_for(size, LINE_BUCKET_BYTES) * 20 <= 400 << 20
