@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from lavra.functions.predicates import holds
 from lavra.functions.text import hash_text
-from lavra.operators.keys import ROW_ID
-from lavra.operators.uniqueness import flag_repeats
+from lavra.operators.keys import ROW_ID, with_row_id
+from lavra.operators.uniqueness import flag_repeats, row_order
 
 FAILS = "_fails"
 FAILED = "_failed_rules"
@@ -140,6 +140,20 @@ def count_failures(checked: DataFrame, spec: QualitySpec) -> DataFrame:
     )
 
 
+def count_by_key(checked: DataFrame, spec: QualitySpec) -> DataFrame:
+    """The same row from checked rows without the key rule: one shuffle, of one row per key and task.
+
+    Of a key's rows the first one is valid if it passes the other rules, and the rest fail the key rule.
+    """
+    keys, n = spec.present_keys(checked), len(spec.rules)
+    good = ~any_failure(spec.rules)
+    first = F.min(F.struct(row_order(spec.order_by).alias("order"), good.alias("good")))
+    per_key = checked.groupBy(*keys).agg(F.count("*").alias("copies"), first["good"].alias("good"))
+    by_key = per_key.agg(F.count_if("good").alias("valid_count"), F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias(f"c{n}"))
+    by_row = checked.agg(F.count("*").alias("total_read"), *[F.count_if(_failing(i)).alias(f"c{i}") for i in range(n)])
+    return by_row.crossJoin(by_key).select("total_read", "valid_count", *[f"c{i}" for i in range(n + 1)])  # a row each
+
+
 def count_written(invalid: DataFrame, rules: Sequence[tuple], total: int, valid: int) -> DataFrame:
     """The same row from the invalid rows alone: a valid row fails no rule."""
     return invalid.agg(
@@ -219,9 +233,13 @@ def report_status(invalid: Column) -> Column:
 
 def run_quality(df: DataFrame, spec: QualitySpec, run_id: str = "", layer: str = "silver") -> QualityResult:
     """Check `df` against `spec`; raises when a required column is missing."""
-    checked = check_keys(check_rows(df, spec), spec)
+    rows = check_rows(df, spec)
+    keyed = bool(spec.present_keys(rows))
+    rows = with_row_id(rows) if keyed else rows
+    checked = check_keys(rows, spec)
     valid, invalid = split(checked, spec)
     rules = spec.all_rules(checked)
-    lines = report(count_failures(checked, spec), spec.entity, rules, run_id, layer=layer)
+    counts = count_by_key(rows, spec) if keyed else count_failures(checked, spec)
+    lines = report(counts, spec.entity, rules, run_id, layer=layer)
     tagged = checked.withColumn(FAILED, failed_names(rules)).drop(FAILS, ROW_ID)
     return QualityResult(tagged, valid, invalid, lines)

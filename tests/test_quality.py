@@ -3,9 +3,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from lavra.operators import quality as Q
 from lavra.operators.quality import CriticalSchemaError, run_quality
 from lavra.operators.uniqueness import duplicated_keys, flag_repeats, keep_first
 from lavra.plans.literacy import SOURCES, SPECS
+from lavra.sources import tables as tb
 
 BASE = [("3550308", "  São Paulo ", "sp"), ("3304557", "Rio de Janeiro", "RJ")]
 
@@ -123,3 +125,20 @@ def test_specs_agree_with_contracts(spark):
 def test_shipped_specs(spark, entity, data, schema, expected):
     report = run_quality(spark.createDataFrame(data, schema), SPECS[entity]()).report.first()
     assert report["failures_by_rule"] == expected
+
+
+def test_report_counts_keys_in_one_shuffle(spark, tmp_path):
+    """The counts of the marked rows, null keys, order ties and a first row that fails another rule among them."""
+    path = str(tmp_path / "t")
+    spark.range(3000).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 500).alias("k"), (F.col("id") % 9).cast("string").alias("o"), (F.col("id") % 4).alias("v")
+    ).repartition(3).write.parquet(path)
+    rows = tb.with_positions(spark.read.parquet(path))
+    spec = Q.QualitySpec("t", ["k"], [Q.Rule("v.some", F.col("v") > 0, "v"), Q.Rule("k.set", F.col("k").isNotNull(), "k")], ["k"], ["o"])
+    plain = Q.count_failures(Q.check_keys(Q.check_rows(rows, spec), spec), spec)
+    result = Q.run_quality(rows, spec)
+    line, want = result.report.first(), plain.first()
+    assert (line["total_read"], line["valid_count"]) == (want["total_read"], want["valid_count"])
+    assert [r["failed_count"] for r in line["rule_results"]] == [want["c0"], want["c1"], want["c2"]]
+    assert "Join" not in result.report._jdf.queryExecution().executedPlan().toString().replace("NestedLoopJoin", "")
+    assert Q.run_quality(rows.where("k < 0"), spec).report.first()["valid_count"] == 0
