@@ -46,8 +46,10 @@ def _shifted(value: Column, bits: Column) -> Column:
     return F.call_function("shiftleft", value, bits.cast("int"))
 
 
-def first_marks(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """A bit per row position, set for the first row of each key: (_file, _block, _bits).
+def first_marks(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), known: DataFrame | None = None
+) -> DataFrame:
+    """A bit per row position, set for the first row of each key that is not `known`: (_file, _block, _bits).
 
     Keys and order values move once, after a minimum before the shuffle; what comes out is an
     eighth of a byte per row, whatever the width of rows and keys and however many of these repeat.
@@ -59,7 +61,9 @@ def first_marks(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
     place = _shifted(F.col("_no").cast("long"), F.lit(_ROW_BITS)).bitwiseOR(F.col("_at.row"))
     order = F.struct(*[F.col(f"_o{i}") for i in range(len(order_by))], place.alias("place"))
     narrow = own.join(F.broadcast(files), F.col("_at.file") == F.col("_file")).select(*keys, order.alias("_order"))  # a row per file
-    at = narrow.groupBy(*keys).agg(F.min("_order").alias("_first")).select(F.col("_first.place").alias("at"))
+    firsts = narrow.groupBy(*keys).agg(F.min("_order").alias("_first"))
+    firsts = firsts if known is None else semi(firsts, known, keys, "left_anti")
+    at = firsts.select(F.col("_first.place").alias("at"))
     word = F.shiftright(F.col("at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)), 6)
     words = (
         at.select(

@@ -20,7 +20,7 @@ from lavra.sources.published import Publication, markers, pack, read_copies, swe
 from lavra.sources.tables import read_history, with_positions
 from lavra.streaming.events import EventSpec, validate_events
 from lavra.streaming.once import Once
-from lavra.streaming.routing import route_events
+from lavra.streaming.routing import route_marked, route_marks
 from lavra.streaming.seen import SeenIndex
 
 
@@ -110,8 +110,7 @@ def start_ingest(
     that is repeated after that is left out, one that stopped before is written anew.
     """
     events = validate_events(stream, spec)
-    # The batch's own session has no adaptive plans; routing runs in this one, which splits an id
-    # that floods the batch.
+    # The batch's own session has no adaptive plans; routing runs in this one.
     spark = stream.sparkSession
     index = SeenIndex(spark, paths.index)
     once = Once(spark, checkpoint, paths.metrics)
@@ -127,7 +126,9 @@ def start_ingest(
         rows = with_positions(spark.read.schema(batch.schema).parquet(work))
         again = index.known(rows.where(F.size("errors") == 0).select(spec.id_column).distinct())
         known = again if seen is None else again.unionByName(seen.select(spec.id_column))
-        routed = route_events(rows, spec, known, order_by)
+        marks, placed = route_marks(rows, spec, known, order_by), f"{paths.work}/marks"
+        marks.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(placed)
+        routed = route_marked(rows, spark.read.schema(marks.schema).parquet(placed))
         with Publication(spark) as run:
             write_routed(run, enrich(routed, at, spec), paths, identity, batch_id, at)
             index.add(run, run.read(paths.bronze).select(spec.id_column), identity.replace(":", "-"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lavra.operators.keys import ROW_ID, left_lookup, semi, with_row_id
-from lavra.operators.uniqueness import row_order
+from lavra.operators.uniqueness import first_marks, flag_marked, row_order
 from lavra.streaming.events import DUPLICATE, EventSpec
 
 
@@ -61,6 +61,21 @@ def route_events(
     return _route(events, touched, spec, order_by)
 
 
+def route_marks(events: DataFrame, spec: EventSpec, known: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """Marks of the events that `route_marked` finds valid: the first valid one of each id that is not `known`."""
+    return first_marks(_valid(events), [spec.id_column], order_by, known)
+
+
+def route_marked(events: DataFrame, marks: DataFrame) -> DataFrame:
+    """The same as `route_events`, by staged marks: the two sinks of a batch look up bits and shuffle no events."""
+    good = flag_marked(_valid(events), marks, "_later")
+    route = F.when(F.col("_later"), F.lit("duplicate")).otherwise(F.lit("valid"))
+    errors = F.when(F.col("_later"), F.array(F.lit(DUPLICATE))).otherwise(F.col("errors"))
+    good = good.withColumn("errors", errors).withColumn("route", route).drop("_later", ROW_ID)
+    bad = events.where(F.size("errors") > 0).withColumn("route", F.lit("invalid")).drop(ROW_ID)
+    return good.unionByName(bad)
+
+
 def new_events(
     events: DataFrame, id_column: str, seen: DataFrame | None = None, order_by: Sequence[str] = ()
 ) -> DataFrame:

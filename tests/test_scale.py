@@ -19,6 +19,7 @@ from lavra.plans import layers, sales
 from lavra.session import drop_stages, shared_folder, stage
 from lavra.sources import tables as tb
 from lavra.sources.published import Publication
+from lavra.streaming.routing import route_events, route_marked, route_marks
 
 SF = "/root/testdata/sf0.001"
 
@@ -193,3 +194,18 @@ def test_equal_rows_are_told_apart_by_position(spark, tmp_path):
     rows = tb.with_positions(same)
     flagged = flag_repeats(rows, ["k"], ["o"], marks=stage(uniqueness.first_marks(rows, ["k"], ["o"]), "marks"))
     assert flagged.where("not _repeat").count() == 1 and flagged.count() == 40_000
+
+
+def test_a_batch_is_routed_by_marks_as_by_joins_and_moves_no_events(spark):
+    ids = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("e"), F.col("id") % 700))
+    bad = F.when(F.col("id") % 11 == 0, F.array(F.lit("bad"))).otherwise(F.array().cast("array<string>"))
+    events = stage(spark.range(9000).repartition(3).select(ids.alias("event_id"), (F.col("id") % 5).alias("o"), "id", bad.alias("errors")), "events")
+    rows, spec = tb.with_positions(events), sales.LINE_EVENTS
+    known = spark.createDataFrame([("e1",), ("e2",), ("never",)], "event_id string")
+    with settings(spark, **LARGE_TABLES):
+        for seen in (known, known.limit(0)):
+            marks = stage(route_marks(rows, spec, seen, ["o", "id"]), "marks")
+            routed = route_marked(rows, marks)
+            want = route_events(rows, spec, seen, ["o", "id"]).select(routed.columns)
+            assert routed.exceptAll(want).isEmpty() and routed.count() == want.count() == 9000
+            assert "hashpartitioning" not in plan(routed)
