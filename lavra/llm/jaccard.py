@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lavra.llm.common import filtered_joins, settled, share_code
+from lavra.llm.common import filtered_joins, let_go, settled, share_code
 from lavra.llm.components import components
 from lavra.session import stage
 
@@ -113,6 +113,7 @@ def signatures(text: Column, words: int) -> Column:
 
     @F.arrow_udf("struct<n:int,s1:long,s2:long>")
     def sums(column: pa.Array) -> pa.Array:
+        let_go()
         parts = []
         for part in _groups(column):
             keys, at = shingle_sets(part, words)
@@ -133,6 +134,7 @@ def shingles(text: Column, words: int, window: bool = False) -> Column:
 
     @F.arrow_udf("array<long>")
     def sets(column: pa.Array) -> pa.Array:
+        let_go()
         parts = []
         for part in _groups(column):
             keys, at = shingle_sets(part, words)
@@ -264,6 +266,7 @@ def _task_links(join: Join, sided: bool):
     """Links found in one task, which gets at most a leaf, or two of its blocks."""
 
     def links(group: pa.Table) -> pa.Table:
+        let_go()
         docs = group.column("doc").to_numpy()
         order = np.argsort(docs)
         column = group.column("set").combine_chunks()

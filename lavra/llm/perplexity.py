@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lavra.llm.common import filtered_joins, settled, share_code, short_batches
+from lavra.llm.common import filtered_joins, settled, share_code, short_batches, worker_keeps
 from lavra.session import stage
 
 _START = "\x02"  # stands before a text
@@ -288,15 +288,9 @@ class Table:
         return out
 
 
-_tables: dict[str, Table] = {}
-
-
 def _table(name: str, shared) -> Table:
     """The table of one shard, made once per worker; reached by name, since what a closure holds is copied for every task."""
-    if name not in _tables:
-        _tables.clear()
-        _tables[name] = Table(*shared.value)
-    return _tables[name]
+    return worker_keeps(name, lambda: Table(*shared.value))
 
 
 def _score_texts(texts, languages, table: Table, order: int, shard: int, shards: int) -> np.ndarray:

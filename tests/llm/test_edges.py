@@ -178,3 +178,22 @@ def test_neighbours_of_several_lengths(spark):
         0: [(1, 1.0), (2, 2.0)], 2: [(1, 1.0), (3, 1.0)], 4: [(3, 1.0), (5, 1.0)], 6: [(5, 1.0), (7, 1.0)],
         100: [(-1, 1.414214)],
     }
+
+
+def test_a_worker_frees_the_classifiers_table_when_the_join_comes():
+    import weakref
+
+    import numpy as np
+    import pyarrow as pa
+
+    from lavra.llm import jaccard, perplexity
+
+    class Shared:
+        value = (np.arange(1, 100, dtype=np.uint64), np.zeros(99, np.float32))
+
+    kept = weakref.ref(perplexity._table("a", Shared))
+    assert kept() is not None and perplexity._table("a", Shared) is kept()
+    jaccard._task_links(jaccard.Join(), False)(
+        pa.table({"doc": [1, 2], "set": pa.array([[1, 2], [1, 2]], pa.list_(pa.int64())), "component": [1, 2]})
+    )
+    assert kept() is None
