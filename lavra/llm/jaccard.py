@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,7 @@ from pyspark.sql import Window as W
 
 from lavra.llm.common import filtered_joins, let_go, settled, share_code
 from lavra.llm.components import components
-from lavra.session import stage
+from lavra.session import drop_copies, stage
 
 _CHARS = 4_000_000  # characters handled at a time
 
@@ -53,6 +54,7 @@ class Join:
     leaf: int = 1024
     pivots: int = 8
     levels: int = 1  # rounds of pivots
+    parts: int = 3  # of all members, shuffled one after the other
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -155,19 +157,21 @@ def similar(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return both, len(a) + len(b) - both
 
 
-def survivors(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
-    """Ids of texts whose window holds as many shared shingles as a link needs.
+def survivors(docs: DataFrame, members: DataFrame, key: str, text: str, join: Join) -> DataFrame:
+    """A copy of the ids of texts whose window holds as many shared shingles as a link needs, one id per class.
 
     Of two linked sets the members they share come within the windows of both, up to the smaller of
     the two twentieths, and that is at least a twenty-fifth of either set.
     """
     rows = docs.select(F.col(key).alias("doc"), F.explode(shingles(F.col(text), join.words, window=True)).alias("h"))
     shared = rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").select(F.col("h").alias("h2"))
-    return (
-        rows.join(settled(shared, "jaccard-shared"), F.col("h") == F.col("h2"), "left_semi")
-        .groupBy("doc")
-        .agg(F.count("*").alias("n_shared"))
-    )
+    shared = settled(shared, "jaccard-shared")
+    near = rows.join(shared, F.col("h") == F.col("h2"), "left_semi").groupBy("doc").agg(F.count("*").alias("n_shared"))
+    heads = members.where("n > 0 and doc = class").select("doc", "n").distinct()
+    enough = near.join(heads, "doc").where(F.col("n_shared") >= F.floor((F.col("n") + 24) / 25))
+    found = settled(enough.select(F.col("doc").alias("_doc"), "n_shared"), "jaccard-near")
+    drop_copies(shared)
+    return found
 
 
 def classes(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
@@ -180,12 +184,7 @@ def classes(docs: DataFrame, key: str, text: str, join: Join) -> DataFrame:
 
 def regions(docs: DataFrame, members: DataFrame, key: str, text: str, join: Join) -> tuple[DataFrame, DataFrame]:
     """(h, doc) of all regions, and (doc, n, set) of the classes in them."""
-    near = survivors(docs, key, text, join)
-    heads = members.where("n > 0 and doc = class").select("doc", "n").distinct()
-    wanted = settled(
-        near.join(heads, "doc").where(F.col("n_shared") >= F.floor((F.col("n") + 24) / 25)).select(F.col("doc").alias("_doc"), "n_shared"),
-        "jaccard-near",
-    )
+    wanted = survivors(docs, members, key, text, join)
     found = docs.select(F.col(key).alias("doc"), F.col(text).alias("_text")).join(
         wanted.where("n_shared > 0").hint("merge"), F.col("doc") == F.col("_doc"), "left_semi"
     )
@@ -193,10 +192,17 @@ def regions(docs: DataFrame, members: DataFrame, key: str, text: str, join: Join
         # rows of an id meet in the join already, so repeated ones go there and sets need not move
         sets = found.dropDuplicates(["doc"]).select("doc", shingles(F.col("_text"), join.words).alias("set"))
         sets = settled(sets, "jaccard-sets")
+    drop_copies(wanted)
     rows = sets.select("doc", F.explode("set").alias("h"))
-    shared = settled(rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-df")
+    parts = []
+    for part in range(join.parts):  # no shuffle holds the members of all sets
+        own = rows.where(F.pmod("h", F.lit(join.parts)) == part)
+        shared = settled(own.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-df")
+        with_df = own.join(shared.select(F.col("h").alias("h2"), "df"), F.col("h") == F.col("h2"))
+        parts.append(settled(with_df.select("doc", _ordered(F.col("h"), F.col("df")).alias("m")), "jaccard-members"))
+        drop_copies(shared)
     listed = (
-        rows.join(shared.select(F.col("h").alias("h2"), _ordered(F.col("h"), F.col("df")).alias("m")), F.col("h") == F.col("h2"))
+        reduce(DataFrame.unionByName, parts)
         .groupBy("doc")
         .agg(F.sort_array(F.collect_list("m")).alias("shared"))  # one text's members
         .join(sets.select("doc", F.size("set").alias("n")), "doc")
@@ -204,7 +210,9 @@ def regions(docs: DataFrame, members: DataFrame, key: str, text: str, join: Join
     # members no other set has come first in the order and use up the window
     length = F.floor(F.col("n") * (100 - join.percent) / 100) + 1 - (F.col("n") - F.size("shared"))
     windows = listed.where(length > 0).select("doc", F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("m"))
-    return settled(windows.select(F.col("m").alias("h"), "doc"), "jaccard-regions"), sets
+    found = settled(windows.select(F.col("m").alias("h"), "doc"), "jaccard-regions")
+    drop_copies(*parts)
+    return found, sets
 
 
 def _ordered(member: Column, df: Column) -> Column:
@@ -386,7 +394,9 @@ def join_components(docs: DataFrame, join: Join | None = None, key: str = "doc_i
     join = join or Join()
     members = stage(classes(docs, key, text, join), "jaccard-classes")
     rows, sets = regions(docs, members, key, text, join)
-    labels = stage(components(links(rows, sets, join), "a", "b"), "jaccard-components")
+    found = links(rows, sets, join)
+    drop_copies(rows, sets)  # the links are written
+    labels = stage(components(found, "a", "b"), "jaccard-components")
     joined = members.join(labels, F.col("class") == F.col("node"), "left")
     return joined.select(
         F.col("doc").alias(key),

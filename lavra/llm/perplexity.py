@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lavra.llm.common import filtered_joins, settled, share_code, short_batches, worker_keeps
-from lavra.session import stage
+from lavra.session import drop_copies, stage
 
 _START = "\x02"  # stands before a text
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -345,6 +345,7 @@ def log_perplexity(docs: DataFrame, model: DataFrame, judge: Judge, language: st
         shared = spark.sparkContext.broadcast((keys, own.column("value").to_numpy()))  # a shard: size checked above
         part = _score_column(shared, judge.order, shard, shards)(F.col(language).cast("string"), F.col(text))
         scored = scored.withColumn("_logp", part if not shard else F.col("_logp") + part)
+    drop_copies(entries)  # every shard is sent
     length = F.length(F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"(?U)\s+", " ")))
     scored = scored.withColumn("_chars", length)
     mean = -F.col("_logp") / F.when(F.col("_chars") > 0, F.col("_chars"))
@@ -426,12 +427,14 @@ def classify(
     with filtered_joins(docs.sparkSession):
         counts = settled(gram_counts(trusted_rows.where(~held), "_lang", "_text", judge.order), "kn-grams")
     model = stage(language_model(counts, judge.order), "kn-model")
+    drop_copies(counts)
     # the limits ask for the scores of trusted texts alone; no copy of all texts is kept
     with filtered_joins(docs.sparkSession):
         known = log_perplexity(trusted_rows, model, judge, "_lang", "_text").select("_key", "_lang", "_logp", "_chars")
         marked = stage(known.withColumns({"_trusted": F.lit(True), "_held": held}), "kn-trusted")
     found = stage(limits(marked, judge, "_lang"), "kn-limits")
     scored = log_perplexity(rows, model, judge, "_lang", text)
+    drop_copies(marked, model)
     judged = scored.join(F.broadcast(found), F.col("_lang").eqNullSafe(F.col("_l")), "left")  # a row per language
     limit = F.col("_middle") + F.col("_reach") * (1 + judge.prior / F.when(F.col("_chars") > 0, F.col("_chars")))
     # no reach: a language without trusted text; no value with a reach: a text without characters

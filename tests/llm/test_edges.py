@@ -197,3 +197,36 @@ def test_a_worker_frees_the_classifiers_table_when_the_join_comes():
         pa.table({"doc": [1, 2], "set": pa.array([[1, 2], [1, 2]], pa.list_(pa.int64())), "component": [1, 2]})
     )
     assert kept() is None
+
+
+def test_the_join_takes_members_in_parts_and_frees_its_copies(spark):
+    import random
+    from pathlib import Path
+
+    from lavra import session
+
+    rng = random.Random(6)
+    texts = []
+    for k in range(30):
+        words = [f"w{rng.randrange(400)}" for _ in range(60)]
+        texts += [" ".join(words), " ".join([*words[:-1], f"z{k}"]), " ".join(words)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before = set(session._staged)
+    found = by_id(jaccard.join_components(docs), "n_shingles", "component_id")
+    assert {r[0]: r[2] for r in found} == {i: i - i % 3 for i in range(len(texts))}
+    left = {Path(path).name.rsplit("-", 1)[0] for path in session._staged if path not in before}
+    assert "jaccard-components" in left
+    assert not left & {"jaccard-shared", "jaccard-near", "jaccard-sets", "jaccard-df", "jaccard-members", "jaccard-regions"}
+    assert by_id(jaccard.join_components(docs, jaccard.Join(parts=1)), "n_shingles", "component_id") == found
+
+
+def test_the_classifier_frees_its_copies(spark):
+    from pathlib import Path
+
+    from lavra import session
+
+    docs = spark.createDataFrame([(i, "en", f"the text of day {i} is here") for i in range(40)], "doc_id long, lang string, text string")
+    before = set(session._staged)
+    assert perplexity.classify(docs, docs.select("doc_id")).count() == 40
+    left = {Path(path).name.rsplit("-", 1)[0] for path in session._staged if path not in before}
+    assert not left & {"kn-grams", "kn-model", "kn-entries", "kn-trusted"}
