@@ -262,7 +262,7 @@ def piece_scores(docs: DataFrame, text: str = "text", model: str | None = None)
     vocabulary = load_pieces(model or default_model())
     shared = spark.sparkContext.broadcast(vocabulary)  # one vocabulary file: some MB at most
     key = uuid.uuid4().hex
-    spelled = F.concat(F.lit(SPACE), F.translate(F.col(text), " ", SPACE))
+    spelled = F.concat(F.lit(SPACE), F.replace(F.col(text), F.lit(" "), F.lit(SPACE)))
     words = docs.where(F.col(text) != "").select(
         F.explode(F.regexp_extract_all(spelled, F.lit(_chunk(vocabulary[0], vocabulary[2])), 0)).alias("word")
     )
@@ -297,23 +297,11 @@ def _segmenter(key, vocabulary, kind: type[Segmenter]) -> Segmenter:
 
 def encode(spark: SparkSession, text: Column, model: str | None = None, scores: tuple[float, ...] | None = None) -> Column:
     """The ids of each text: the best segmentation by `scores` or by those of the model, where these can be added up."""
-    share_code(spark)
-    short_batches(spark)
-    model = model or default_model()
-    pieces, own, kinds = load_pieces(model)
-    kind = Merger if scores is None and is_bpe(model) else Segmenter
-    shared = spark.sparkContext.broadcast((pieces, scores or own, kinds))  # one vocabulary file: some MB at most
-    name = uuid.uuid4().hex  # under which a worker keeps what it has made of it
+    encoded = _encoder(spark, model, scores)
 
     @F.arrow_udf("array<int>")
     def ids(column: pa.Array) -> pa.Array:
-        segmenter, parts = _segmenter(name, shared.value, kind), []
-        for start in range(0, len(column), 256):  # few texts at a time bound the memory
-            part = column.slice(start, 256)
-            flat, counts = segmenter.encode(part.to_pylist())
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            missing = pa.array(np.asarray(part.is_null()))
-            parts.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()), mask=missing))
+        parts = [encoded(part) for part in _parts(column)]
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return ids(text)
@@ -321,31 +309,79 @@ def encode(spark: SparkSession, text: Column, model: str | None = None, scores:
 
 def decode(spark: SparkSession, ids: Column, model: str | None = None) -> Column:
     """The text of each list of ids; control pieces are silent, wrong bytes read as U+FFFD."""
+    decoded = _decoder(spark, model)
+
+    @F.arrow_udf("string")
+    def texts(column: pa.Array) -> pa.Array:
+        parts = [decoded(part) for part in _parts(column)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+    return texts(ids)
+
+
+def encode_and_decode(spark: SparkSession, text: Column, model: str | None = None, scores: tuple[float, ...] | None = None) -> Column:
+    """A struct of `ids` and the text `back` from them. Spark would encode a text twice for a column of its ids and one that decodes them."""
+    encoded, decoded = _encoder(spark, model, scores), _decoder(spark, model)
+
+    @F.arrow_udf("struct<ids:array<int>,back:string>")
+    def both(column: pa.Array) -> pa.Array:
+        parts = []
+        for part in _parts(column):
+            ids = encoded(part)
+            parts.append(pa.StructArray.from_arrays([ids, decoded(ids)], ["ids", "back"]))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("back", pa.string())]))
+
+    return both(text)
+
+
+def _parts(column: pa.Array) -> Iterator[pa.Array]:
+    """Few texts at a time, which bounds the memory."""
+    for start in range(0, len(column), 256):
+        yield column.slice(start, 256)
+
+
+def _encoder(spark: SparkSession, model: str | None, scores: tuple[float, ...] | None) -> Callable[[pa.Array], pa.Array]:
+    """What a task makes of texts: their ids."""
     share_code(spark)
     short_batches(spark)
     model = model or default_model()
-    shared = spark.sparkContext.broadcast(load_pieces(model))
+    pieces, own, kinds = load_pieces(model)
+    kind = Merger if scores is None and is_bpe(model) else Segmenter
+    shared = spark.sparkContext.broadcast((pieces, scores or own, kinds))  # one vocabulary file: some MB at most
+    name = uuid.uuid4().hex  # under which a worker keeps what it has made of it
 
-    @F.arrow_udf("string")
-    def texts(column: pa.Array) -> pa.Array:
-        pieces, _, kinds = shared.value
-        spelled = pa.array(
-            [
+    def encoded(part: pa.Array) -> pa.Array:
+        flat, counts = _segmenter(name, shared.value, kind).encode(part.to_pylist())
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        missing = pa.array(np.asarray(part.is_null()))
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()), mask=missing)
+
+    return encoded
+
+
+def _decoder(spark: SparkSession, model: str | None) -> Callable[[pa.Array], pa.Array]:
+    """What a task makes of lists of ids: their texts."""
+    share_code(spark)
+    short_batches(spark)
+    shared = spark.sparkContext.broadcast(load_pieces(model or default_model()))
+    spelled: list[pa.Array] = []  # made once in a task
+
+    def decoded(part: pa.Array) -> pa.Array:
+        if not spelled:
+            pieces, _, kinds = shared.value
+            found = [
                 bytes([int(p[3:5], 16)]) if k == 1 else b"" if k == 2 else p.replace(SPACE, " ").encode()
                 for p, k in zip(pieces, kinds, strict=True)
-            ],
-            pa.large_binary(),
-        )
+            ]
+            spelled.append(pa.array(found, pa.large_binary()))
+        counts = np.asarray(pc.fill_null(pc.list_value_length(part), 0))
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        lists = pa.LargeListArray.from_arrays(pa.array(offsets), spelled[0].take(part.flatten()))
         out: list[str | None] = []
-        for start in range(0, len(column), 256):  # few texts at a time bound the memory
-            part = column.slice(start, 256)
-            counts = np.asarray(pc.fill_null(pc.list_value_length(part), 0))
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-            lists = pa.LargeListArray.from_arrays(pa.array(offsets), spelled.take(part.flatten()))
-            for row, whole in zip(part, pc.binary_join(lists, pa.scalar(b"", pa.large_binary())).to_pylist(), strict=True):
-                text = whole.decode("utf-8", "replace")
-                # the boundary put before the text goes
-                out.append((text[1:] if text.startswith(" ") else text) if row.is_valid else None)
+        for row, whole in zip(part, pc.binary_join(lists, pa.scalar(b"", pa.large_binary())).to_pylist(), strict=True):
+            text = whole.decode("utf-8", "replace")
+            # the boundary put before the text goes
+            out.append((text[1:] if text.startswith(" ") else text) if row.is_valid else None)
         return pa.array(out, pa.string())
 
-    return texts(ids)
+    return decoded

@@ -199,6 +199,18 @@ def test_a_worker_frees_the_classifiers_table_when_the_join_comes():
     assert kept() is None
 
 
+def test_a_text_is_encoded_once_for_its_ids_and_their_decoding(spark, tmp_path):
+    from lavra.llm import queries
+
+    texts = ["The quick  brown fox", " lead", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.QUERIES["op9_pieces"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    asked = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+    assert len(asked) == 1 and asked[0].count("(text#") == 1, plan
+    assert {r["doc_id"]: r["round_trip"] for r in found.collect()} == dict.fromkeys(range(4), True)
+
+
 def test_the_join_takes_members_in_parts_and_frees_its_copies(spark):
     import random
     from pathlib import Path
